@@ -21,6 +21,7 @@ def make_spark(cpus: str = "8", name: str = "riskloom-check") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.driver.host", "localhost")
         .getOrCreate()
