@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.session import materialise
-from riskloom.operators import metrics, sampling
-from riskloom.plans.apps import APPS_SQL, applications, long_predictions, scored
+from riskloom.operators import explain, metrics, models, preparation, registry, sampling, scoring, search
+from riskloom.plans.apps import APPS_SQL, NUMERIC, PREDICTIONS_SQL, SCORED_SQL, applications, long_predictions, scored
 from riskloom.plans.catalogue import PREDS, SCORES, SPLIT, query, u, with_micro
-from riskloom.plans.apps import SCORED_SQL, PREDICTIONS_SQL
 
 
 def _preds(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,3 +145,216 @@ def champion_challenger(spark: SparkSession, sf: str) -> DataFrame:
 def score_distribution(spark: SparkSession, sf: str) -> DataFrame:
     out = metrics.score_distribution(scored(applications(spark, sf)), 0.45, "y", "p_goods")
     return with_micro(out.select("y", "bin", "n", "pct", "zone"), "pct")
+
+
+# -- training, registry, scoring --------------------------------------------------------------------------
+
+
+def _split(spark: SparkSession, sf: str) -> DataFrame:
+    return materialise(sampling.split_rows(materialise(applications(spark, sf), "apps"), "app_id", "target"), "split")
+
+
+_CAT = ["cat_segment", "cat_status"]
+
+
+def _fitted(spark: SparkSession, sf: str, family: str, params: dict, max_trees: int | None = None):
+    split = _split(spark, sf)
+    model, prep = models.fit_model(split.where("split = 'train'"), "target", family, params, NUMERIC, _CAT, max_trees=max_trees)
+    return split, model, prep
+
+
+@query(
+    "halving_schedule",
+    f"""{SPLIT}, n AS (SELECT count(*) AS n FROM sp WHERE split = 'train'),
+    r AS (SELECT i AS rung, cast(500 * 3 ** i AS bigint) AS n_resources FROM range(4) g(i) WHERE 500 * 3 ** i <= (SELECT n FROM n))
+    SELECT cast(rung AS int) AS rung, cast([64, 22, 8, 3][rung + 1] AS int) AS n_candidates, n_resources FROM r""",
+)
+def halving_schedule(spark: SparkSession, sf: str) -> DataFrame:
+    n = _split(spark, sf).where("split = 'train'").count()
+    return search.schedule_table(spark, search.halving_schedule(64, 3, n))
+
+
+@query("halving_search")
+def halving_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Three logistic candidates, factor 3: the trial table."""
+    train = _split(spark, sf).where("split = 'train'")
+    found = search.halving_search(train, "app_id", "target", "logistic", {"C": [0.001, 0.1, 1.0]}, NUMERIC, _CAT, factor=3)
+    return found.trials
+
+
+@query("learning_curve")
+def learning_curve(spark: SparkSession, sf: str) -> DataFrame:
+    train = _split(spark, sf).where("split = 'train'")
+    return search.learning_curve(train, "app_id", "target", "logistic", {"C": 1.0}, NUMERIC, _CAT, sizes=(0.1, 1.0), folds=2)
+
+
+@query("fold_sizes", f"{APPS_SQL} SELECT target, count(*) AS n, cast(ceil(count(*) / 3) AS bigint) AS largest, count(*) // 3 AS smallest FROM apps GROUP BY 1")
+def fold_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    apps = materialise(applications(spark, sf).select("app_id", "target"), "apps")
+    per_fold = sampling.stratified_folds(apps, "app_id", "target", 3).groupBy("target", "fold").agg(F.count("*").alias("c"))
+    return per_fold.groupBy("target").agg(F.sum("c").alias("n"), F.max("c").alias("largest"), F.min("c").alias("smallest"))
+
+
+def _registrations(spark: SparkSession, sf: str) -> DataFrame:
+    """One run per segment and priority: its cheapest threshold; promoted when cheaper than 1."""
+    apps = applications(spark, sf)
+    rows = materialise(
+        scored(apps).join(apps.select("app_id", "cat_segment", "cat_priority"), "app_id").select(
+            F.col("cat_segment").alias("name"), F.col("cat_priority").alias("run_id"), "y", F.col("p_goods").alias("p")
+        ),
+        "registrations",
+    )
+    best = metrics.optimal_threshold(rows, ["name", "run_id"])
+    return best.select(
+        "name",
+        "run_id",
+        F.substring("run_id", 1, 1).cast("long").alias("logged_at"),
+        (F.floor(F.col("min_cost") * 1000) % 2 == 0).alias("promote"),
+        "threshold",
+        "min_cost",
+    )
+
+
+_REG_SQL = f"""{SCORES}, th AS (SELECT i, i * 0.01::double AS threshold FROM range(101) g(i)),
+ cu AS (SELECT cat_segment AS name, cat_priority AS run_id, i, threshold, count(*) FILTER (y = 0 AND p_goods >= threshold) AS fp,
+   count(*) FILTER (y = 1 AND p_goods < threshold) AS fn, count(*) AS n FROM scored JOIN apps USING (app_id) CROSS JOIN th GROUP BY ALL),
+ best AS (SELECT name, run_id, threshold, (10.0::double * fn + fp) / n AS min_cost FROM cu
+   QUALIFY row_number() OVER (PARTITION BY name, run_id ORDER BY 10 * fn + fp, i) = 1),
+ reg AS (SELECT *, cast(floor(min_cost * 1000) AS bigint) % 2 = 0 AS promote, row_number() OVER (PARTITION BY name ORDER BY run_id) AS version FROM best),
+ st AS (SELECT *, max(CASE WHEN promote THEN version END) OVER (PARTITION BY name) AS live FROM reg)"""
+
+
+@query(
+    "registry_stages",
+    f"""{_REG_SQL} SELECT name, cast(version AS int) AS version, run_id,
+    CASE WHEN NOT promote THEN 'None' WHEN version = live THEN 'Production' ELSE 'Archived' END AS stage FROM st""",
+)
+def registry_stages(spark: SparkSession, sf: str) -> DataFrame:
+    return registry.current_stages(registry.assign_versions(_registrations(spark, sf).drop("threshold", "min_cost")))
+
+
+@query(
+    "registry_production",
+    f"""{_REG_SQL} SELECT name, cast(version AS int) AS version, run_id, {u('threshold')} AS threshold, {u('min_cost')} AS min_cost
+    FROM st WHERE version = live""",
+)
+def registry_production(spark: SparkSession, sf: str) -> DataFrame:
+    runs = materialise(_registrations(spark, sf), "runs")
+    live = registry.production_versions(registry.assign_versions(runs.drop("threshold", "min_cost")))
+    return with_micro(live.join(runs.select("name", "run_id", "threshold", "min_cost"), ["name", "run_id"]), "threshold", "min_cost")
+
+
+@query("logistic_scores")
+def logistic_scores(spark: SparkSession, sf: str) -> DataFrame:
+    split, model, _ = _fitted(spark, sf, "logistic", {"C": 1.0})
+    return scoring.score_batch(model, split.where("split <> 'train'"), "app_id", 0.45, "target")
+
+
+@query("forest_evaluation")
+def forest_evaluation(spark: SparkSession, sf: str) -> DataFrame:
+    """Validation and test metrics of two fitted families with their gaps."""
+    split, forest, _ = _fitted(spark, sf, "forest", {"n_estimators": 10, "max_depth": 5, "min_samples_leaf": 5})
+    train = split.where("split = 'train'")
+    boosted, _ = models.fit_model(
+        train, "target", "boosting", {"n_estimators": 5, "learning_rate": 0.1, "num_leaves": 15, "min_child_samples": 20}, NUMERIC, _CAT
+    )
+    held = split.where("split <> 'train'")
+    parts = [
+        models.score(m, held, ["split", "target"]).select(F.lit(name).alias("model"), "split", F.col("target").alias("y"), "p")
+        for name, m in (("forest", forest), ("boosting", boosted))
+    ]
+    return metrics.generalisation_gap(materialise(parts[0].unionByName(parts[1]), "predictions"))
+
+
+@query("tree_importance")
+def tree_importance(spark: SparkSession, sf: str) -> DataFrame:
+    _, model, prep = _fitted(spark, sf, "forest", {"n_estimators": 10, "max_depth": 5, "min_samples_leaf": 5})
+    return models.feature_importance(model, prep.feature_names(), 20)
+
+
+# -- explanations -------------------------------------------------------------------------------------------
+
+# Fixed coefficients for the checks of the linear explanation.
+_COEF = {"amt_credit": 0.5, "amt_income": -0.25, "amt_goods": 0.75, "qty": -1.0, "disc": 0.125, "n_lines": 0.3}
+_INTERCEPT = -1.5
+
+_LIN = f"""{APPS_SQL}, p AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}, quantile_cont({c}, 0.5) AS d_{c}" for c in NUMERIC)} FROM apps),
+ z AS (SELECT app_id, {", ".join(f"(coalesce({c}, d_{c}) - m_{c}) / s_{c} AS {c}" for c in NUMERIC)} FROM apps CROSS JOIN p),
+ zm AS (SELECT {", ".join(f"avg({c}) AS a_{c}" for c in NUMERIC)} FROM z),
+ lc AS ({" UNION ALL ".join(f"SELECT app_id, 'num__{c}' AS feature, {k} * ({c} - a_{c}) AS contribution, {c} AS value FROM z CROSS JOIN zm" for c, k in _COEF.items())}),
+ fin AS (SELECT app_id, {_INTERCEPT} + {" + ".join(f"{k} * a_{c}" for c, k in _COEF.items())} AS base_value FROM z CROSS JOIN zm),
+ tot AS (SELECT app_id, sum(contribution) AS s FROM lc GROUP BY 1)"""
+
+
+def _linear(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    apps = materialise(applications(spark, sf), "apps")
+    prep = preparation.Preprocessor.fit(apps, NUMERIC, [])
+    names = [f"num__{c}" for c in NUMERIC]
+    rows = prep.transform(apps, ["app_id"]).select("app_id", F.array(*names).alias("x"))
+    means = explain.feature_means(rows, "x", len(names))
+    return explain.linear_contributions(rows, "x", [_COEF[c] for c in NUMERIC], means, _INTERCEPT), names
+
+
+@query(
+    "linear_contributions",
+    f"{_LIN} SELECT app_id, feature, {u('contribution')} AS contribution FROM lc",
+)
+def linear_contributions(spark: SparkSession, sf: str) -> DataFrame:
+    rows, names = _linear(spark, sf)
+    long_df = rows.select("app_id", F.posexplode("contributions").alias("pos", "contribution"))
+    named = long_df.select("app_id", F.get(F.array(*map(F.lit, names)), F.col("pos")).alias("feature"), "contribution")
+    return with_micro(named, "contribution")
+
+
+@query("global_importance", f"{_LIN} SELECT feature, {u('avg(abs(contribution))')} AS importance FROM lc GROUP BY 1")
+def global_importance(spark: SparkSession, sf: str) -> DataFrame:
+    rows, names = _linear(spark, sf)
+    return with_micro(explain.global_importance(rows, names), "importance")
+
+
+@query(
+    "local_explanations",
+    f"""{_LIN} SELECT app_id, row_number() OVER (PARTITION BY app_id ORDER BY abs(contribution) DESC, feature) AS rank, feature,
+      {u('contribution')} AS contribution, {u('base_value')} AS base_value, {u('base_value + s')} AS final_value
+    FROM lc JOIN fin USING (app_id) JOIN tot USING (app_id) QUALIFY rank <= 3""",
+)
+def local_explanations(spark: SparkSession, sf: str) -> DataFrame:
+    rows, names = _linear(spark, sf)
+    out = explain.local_explanations(rows, "app_id", "x", names, 3).drop("label", "value")
+    return with_micro(out, "contribution", "base_value", "final_value")
+
+
+@query("explained_scores")
+def explained_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Fitted logistic model: local explanations of the validation rows."""
+    split, model, prep = _fitted(spark, sf, "logistic", {"C": 1.0})
+    return scoring.explain_batch(model, split.where("split = 'val'"), "app_id", prep.feature_names())
+
+
+def _tree_check(spark: SparkSession, sf: str, family: str, params: dict) -> DataFrame:
+    """Base plus contributions against the model's own output, for the explanation sample."""
+    split, model, _ = _fitted(spark, sf, family, params)
+    sample = sampling.sample_rows(split, "app_id", 500)
+    final = model.stages[-1]
+    out = model.transform(sample.withColumn(models.WEIGHT, F.lit(1.0)))
+    p = vector_to_array("probability")[1]
+    margin = p if family == "forest" else F.log(p / (1 - p))
+    rows = out.select("app_id", vector_to_array("features").alias("x"), margin.alias("margin"))
+    told = explain.tree_contributions(final, rows)
+    total = F.col("base_value") + F.aggregate("contributions", F.lit(0.0), lambda s, c: s + c)
+    return told.select("app_id", (F.abs(total - F.col("margin")) < 1e-6).alias("adds_up"))
+
+
+_SAMPLE_500 = f"{APPS_SQL} SELECT app_id, true AS adds_up FROM apps ORDER BY md5(cast(app_id AS varchar) || '|42') LIMIT 500"
+
+
+@query("forest_contributions", _SAMPLE_500)
+def forest_contributions(spark: SparkSession, sf: str) -> DataFrame:
+    return _tree_check(spark, sf, "forest", {"n_estimators": 5, "max_depth": 4, "min_samples_leaf": 5})
+
+
+@query("boosting_contributions", _SAMPLE_500)
+def boosting_contributions(spark: SparkSession, sf: str) -> DataFrame:
+    return _tree_check(
+        spark, sf, "boosting", {"n_estimators": 4, "learning_rate": 0.1, "num_leaves": 15, "min_child_samples": 20}
+    )
