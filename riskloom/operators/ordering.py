@@ -80,16 +80,22 @@ def in_segment(value: Column) -> Column:
     return (F.col("lo").isNull() | (value > F.col("lo"))) & (F.col("hi").isNull() | (value < F.col("hi")))
 
 
-def exact_quantiles(long_df: DataFrame, probs: Sequence[float], row_limit: int = ROW_LIMIT) -> DataFrame:
+def exact_quantiles(
+    long_df: DataFrame, probs: Sequence[float], row_limit: int = ROW_LIMIT, counts: dict[str, int] | None = None
+) -> DataFrame:
     """``(feature, n, q array<double>)``: exact linearly interpolated quantiles of ``(feature, value)`` rows.
 
+    ``counts`` are the non-null values per feature where the caller already knows them.
+
     Up to ``row_limit`` values per feature the built-in exact ``percentile`` is used. Beyond it
     the wanted ranks are located by range counts, and only the ranges that hold a wanted rank are
     read again and cut further.
     """
     spark = long_df.sparkSession
     rows = long_df.where(F.col("value").isNotNull())
-    counts = {r["feature"]: r["n"] for r in rows.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    if counts is None:
+        counts = {r["feature"]: r["n"] for r in rows.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    counts = {f: n for f, n in counts.items() if n}
     fractions = F.array(*[F.lit(float(p)) for p in probs])
     if max(counts.values(), default=0) <= row_limit:
         return rows.groupBy("feature").agg(

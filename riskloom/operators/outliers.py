@@ -61,6 +61,7 @@ def fit_bounds(
     long_df = unpivot_numeric(df, columns)
     stats = small_table(
         long_df.groupBy("feature").agg(
+            F.count("value").alias("n"),
             F.avg("value").alias("mean"),
             F.stddev_samp("value").alias("std"),
             F.min("value").alias("min"),
@@ -68,7 +69,8 @@ def fit_bounds(
         )
     )
     if any(METHODS[m][0] in ("iqr", "quantile") for m in methods):
-        quantiles = small_table(exact_quantiles(long_df, _PROBS, row_limit))
+        counts = {r["feature"]: r["n"] for r in stats.select("feature", "n").collect()}
+        quantiles = small_table(exact_quantiles(long_df, _PROBS, row_limit, counts))
         stats = stats.join(quantiles.select("feature", "q"), "feature", "left")
     pairs = []
     for m in methods:

@@ -36,18 +36,24 @@ def presence_indicators(
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(feature, mean, scale)``: population standard deviation, 1 for a constant column; nulls skipped."""
+    """``(feature, n, mean, scale)``: population standard deviation, 1 for a constant column; nulls skipped."""
     spread = F.stddev_pop("value")
     return small_table(
         unpivot_numeric(df, columns)
         .groupBy("feature")
-        .agg(F.avg("value").alias("mean"), F.when(spread > 0, spread).when(spread == 0, 1.0).alias("scale"))
+        .agg(
+            F.count("value").alias("n"),
+            F.avg("value").alias("mean"),
+            F.when(spread > 0, spread).when(spread == 0, 1.0).alias("scale"),
+        )
     )
 
 
-def fit_medians(df: DataFrame, columns: Sequence[str], row_limit: int = ROW_LIMIT) -> DataFrame:
+def fit_medians(
+    df: DataFrame, columns: Sequence[str], row_limit: int = ROW_LIMIT, counts: dict[str, int] | None = None
+) -> DataFrame:
     """``(feature, median)``: exact, interpolated; an all-null column has no row."""
-    found = exact_quantiles(unpivot_numeric(df, columns), (0.5,), row_limit)
+    found = exact_quantiles(unpivot_numeric(df, columns), (0.5,), row_limit, counts)
     return small_table(found.select("feature", F.get("q", F.lit(0)).alias("median")))
 
 
@@ -83,7 +89,8 @@ class Preprocessor:
         out = cls(list(numeric), list(categorical))
         if numeric:
             scale = {r["feature"]: r for r in fit_scaler(df, numeric).collect()}
-            median = {r["feature"]: r["median"] for r in fit_medians(df, numeric, row_limit).collect()}
+            counts = {c: r["n"] for c, r in scale.items()}
+            median = {r["feature"]: r["median"] for r in fit_medians(df, numeric, row_limit, counts).collect()}
             for c in numeric:
                 if c not in median:
                     out.dropped.append(c)

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.functions.expr import col, columns_of_kind, top_n, unpivot_numeric
-from riskloom.functions.session import small_table
+from riskloom.functions.session import local_table, small_table
 from riskloom.operators.ordering import ROW_LIMIT, bin_counts, exact_quantiles
 
-_PAIRS_PER_PASS = 300
+_WIDE_FROM = 12
 
 
 def target_distribution(df: DataFrame, target: str, keep_null: bool = True) -> DataFrame:
@@ -21,36 +23,72 @@ def target_distribution(df: DataFrame, target: str, keep_null: bool = True) -> D
     return rows.groupBy(col(target).alias("target")).agg(F.count("*").alias("n"))
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def _pearson(a: str, b: str) -> Column:
+    """Aggregate: correlation over the rows that have both values; NULL when one of them is constant.
+
+    The built-in ``corr`` divides by zero there, which is an error in ANSI mode.
+    """
+    both = col(a).isNotNull() & col(b).isNotNull()
+    x, y = (F.when(both, col(c).cast("double")) for c in (a, b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
+def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None, wide_from: int = _WIDE_FROM) -> DataFrame:
     """Full Pearson matrix in long form ``(row, col, i, j, corr)``; pairs with a null are left out pairwise.
 
-    All pairs of one pass are one aggregate; a very wide table is read once per 300 pairs so that
-    the generated code stays small.
+    Few columns are one aggregate over all pairs. From ``wide_from`` columns on that aggregate
+    would be thousands of expressions, so each task adds up the pair sums of its rows as matrix
+    products and the sums are merged.
     """
     columns = list(columns or columns_of_kind(df))
+    spark = df.sparkSession
+    if len(columns) >= wide_from:
+        sums = small_table(_pair_sums(df, columns), 10 * len(columns) ** 2)
+        vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
+        vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+        cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+        corr = F.when((vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy")), F.try_divide(cov, F.sqrt(vx * vy)))
+        values = sums.where("n > 0").select("i", "j", corr.alias("corr"))
+        names = local_table(spark, list(enumerate(columns)), "k int, name string")
+        grid = names.select(F.col("k").alias("i"), F.col("name").alias("row"), F.explode(F.sequence(F.lit(0), F.lit(len(columns) - 1))).alias("j"))
+        grid = grid.join(names.select(F.col("k").alias("j"), F.col("name").alias("col")), "j")
+        return grid.join(values, ["i", "j"], "left").select("row", "col", "i", "j", "corr")
     pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1)]
-    parts = []
-    for start in range(0, len(pairs), _PAIRS_PER_PASS):
-        block = pairs[start : start + _PAIRS_PER_PASS]
-        aggs = [F.corr(col(columns[i]).cast("double"), col(columns[j]).cast("double")).alias(f"c_{i}_{j}") for i, j in block]
-        cells = []
-        for i, j in block:
-            value = F.nanvl(F.col(f"c_{i}_{j}"), F.lit(None).cast("double"))
-            for a, b in {(i, j), (j, i)}:
-                cells.append(
-                    F.struct(
-                        F.lit(columns[a]).alias("row"),
-                        F.lit(columns[b]).alias("col"),
-                        F.lit(a).alias("i"),
-                        F.lit(b).alias("j"),
-                        value.alias("corr"),
-                    )
+    cells = []
+    for i, j in pairs:
+        for a, b in {(i, j), (j, i)}:
+            cells.append(
+                F.struct(
+                    F.lit(columns[a]).alias("row"),
+                    F.lit(columns[b]).alias("col"),
+                    F.lit(a).alias("i"),
+                    F.lit(b).alias("j"),
+                    F.col(f"c_{i}_{j}").alias("corr"),
                 )
-        parts.append(df.agg(*aggs).select(F.inline(F.array(*cells))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+            )
+    return df.agg(*[_pearson(columns[i], columns[j]).alias(f"c_{i}_{j}") for i, j in pairs]).select(F.inline(F.array(*cells)))
+
+
+def _pair_sums(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(i, j, n, sx, sy, sxx, syy, sxy)`` over rows having both values, shifted by the column means."""
+    picked = df.select(*[col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    means = picked.agg(*[F.avg(c).alias(c) for c in picked.columns]).first()
+    shift = np.array([0.0 if means[k] is None else means[k] for k in range(len(columns))])
+    d = len(columns)
+    ii, jj = (g.ravel().astype("int32") for g in np.meshgrid(np.arange(d), np.arange(d), indexing="ij"))
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((6, d, d))
+        for b in batches:
+            x = b.to_numpy(dtype="float64") - shift
+            have = ~np.isnan(x)
+            x, m = np.where(have, x, 0.0), have.astype("float64")
+            sq = x * x
+            total += np.stack([m.T @ m, x.T @ m, m.T @ x, sq.T @ m, m.T @ sq, x.T @ x])
+        yield pd.DataFrame(dict(zip(["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"], [ii, jj, *(t.ravel() for t in total)])))
+
+    parts = picked.mapInPandas(add_up, "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
 
 
 def lower_triangle(pairs: DataFrame) -> DataFrame:

@@ -4,12 +4,14 @@ Rows are ordered by ``md5(id | seed)``, which every engine computes alike and wh
 depend on partitioning. A sample is never made by ranking all rows: the key of the r-th row is
 located by counting hash prefixes, and the sample is then a plain filter on that key. The data
 rows are not shuffled and a stratum holding most of the table costs no more than any other.
+``id`` must be unique.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +19,11 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from riskloom.functions.expr import col
-from riskloom.functions.session import local_table, small_table
+from riskloom.functions.session import local_table, materialise, small_table
 
-_PREFIX_STEP = 2  # hex digits per level: 256 counters per stratum
-_LEVELS = 2
-_COUNT_ROWS = 200_000  # counter rows held by the driver; more strata than that stay distributed
+_STEP = 2  # hex digits per level: 256 counters per stratum
+MAX_COUNTERS = 100_000  # counters the driver holds (about 390 strata)
+BUCKET_ROWS = 500_000  # rows of one hash bucket that one task may sort
 
 
 def sample_key(id_col: str, seed: int = 42) -> Column:
@@ -34,91 +36,150 @@ def _keyed(df: DataFrame, id_col: str, stratum: str | None, seed: int) -> DataFr
     return keyed.where(F.col("stratum").isNotNull()) if stratum else keyed
 
 
-def _prefix_counts(scoped: DataFrame, group: list[str], prefix: str) -> DataFrame:
-    return scoped.groupBy(*group, prefix).agg(F.count("*").alias("n"))
-
-
-def hash_counts(df: DataFrame, id_col: str, stratum: str | None = None, seed: int = 42) -> DataFrame:
-    """``(stratum, p1, n)``: rows per stratum and first hex digits, evaluated once."""
-    keyed = _keyed(df, id_col, stratum, seed).withColumn("p1", F.substring("key", 1, _PREFIX_STEP))
-    return small_table(_prefix_counts(keyed, ["stratum"], "p1"), _COUNT_ROWS)
-
-
-def stratum_sizes(counts: DataFrame) -> DataFrame:
-    """``(stratum, n)`` from :func:`hash_counts`."""
-    return small_table(counts.groupBy("stratum").agg(F.sum("n").alias("n")))
-
-
-def rank_keys(
-    df: DataFrame, id_col: str, ranks: DataFrame, counts: DataFrame, stratum: str | None = None, seed: int = 42
-) -> DataFrame:
-    """Sample key of the row at each wanted rank.
-
-    ``ranks`` is ``(stratum, cut, rank)``, rank counted from 1 inside the stratum; ``counts`` comes
-    from :func:`hash_counts`. Ranks outside the stratum are left out of the result
-    ``(stratum, cut, key)``. Only the rows that share the first four hex digits of a wanted key
-    are ever sorted.
-    """
-    scoped = _keyed(df, id_col, stratum, seed)
-    ranks = ranks.where(F.col("rank") >= 1)
-    group = ["stratum"]
-    for level in range(1, _LEVELS + 1):
-        prefix = f"p{level}"
-        scoped = scoped.withColumn(prefix, F.substring("key", 1, _PREFIX_STEP * level))
-        if level > 1:
-            counts = _prefix_counts(scoped, group, prefix)
-        upto = Window.partitionBy(*group).orderBy(prefix).rowsBetween(Window.unboundedPreceding, 0)
+@dataclass
+class HashCounts:
+    """Rows per stratum and first hash digits of one table, id and seed."""
+
+    keyed: DataFrame
+    table: DataFrame
+    local: dict | None  # stratum -> {prefix: rows}; None when there are too many strata
+
+    @classmethod
+    def of(cls, df: DataFrame, id_col: str, stratum: str | None = None, seed: int = 42) -> HashCounts:
+        keyed = _keyed(df, id_col, stratum, seed)
+        counts = keyed.groupBy("stratum", F.substring("key", 1, _STEP).alias("prefix")).agg(F.count("*").alias("n"))
+        rows = counts.limit(MAX_COUNTERS + 1).collect()
+        if len(rows) > MAX_COUNTERS:
+            return cls(keyed, materialise(counts, "hash_counts"), None)
+        local: dict = {}
+        for r in rows:
+            local.setdefault(r["stratum"], {})[r["prefix"]] = r["n"]
+        return cls(keyed, counts, local)
+
+    def sizes(self) -> dict:
+        if self.local is None:
+            raise ValueError("too many classes")
+        return {s: sum(c.values()) for s, c in self.local.items()}
+
+    def _schema(self, extra: str) -> T.StructType:
+        kind = T.StructField("stratum", self.keyed.schema["stratum"].dataType)
+        return T.StructType([kind, *T.StructType.fromDDL(extra).fields])
+
+    def keys_at(self, wanted: Sequence[tuple]) -> list[tuple]:
+        """``(stratum, cut, key)`` for wanted ``(stratum, cut, rank)``; ranks outside are left out.
+
+        Only rows sharing the first digits of a wanted key are read again, and only those of the
+        last bucket are sorted. Buckets too large for one task are counted by further digits.
+        """
+        pending = []
+        for s, cut, rank in wanted:
+            pending += _place(s, cut, rank, self.local.get(s, {}))
+        digits = _STEP
+        spark = self.keyed.sparkSession
+        while pending and max(p[4] for p in pending) > BUCKET_ROWS and digits < 32:
+            inside = self._inside(spark, pending, digits)
+            digits += _STEP
+            finer: dict = {}
+            for r in inside.groupBy("stratum", "bucket", F.substring("key", 1, digits).alias("prefix")).count().collect():
+                finer.setdefault((r["stratum"], r["bucket"]), {})[r["prefix"]] = r["count"]
+            pending = [q for s, cut, rank, b, _ in pending for q in _place(s, cut, rank, finer[s, b])]
+        if not pending:
+            return []
+        order = Window.partitionBy("stratum", "bucket").orderBy("key")
+        ranked = self._inside(spark, pending, digits).withColumn("rank", F.row_number().over(order).cast("long"))
+        asked = local_table(spark, [(s, b, rank, cut) for s, cut, rank, b, _ in pending], self._schema("bucket string, rank long, cut string"))
+        hits = ranked.join(asked, ["stratum", "bucket", "rank"]).select("stratum", "cut", "key")
+        return [tuple(r) for r in hits.collect()]
+
+    def _inside(self, spark, pending: list, digits: int) -> DataFrame:
+        buckets = sorted({(s, b) for s, _, _, b, _ in pending})
+        table = local_table(spark, buckets, self._schema("bucket string"))
+        return self.keyed.withColumn("bucket", F.substring("key", 1, digits)).join(table, ["stratum", "bucket"])
+
+    def key_table(self, ranks: DataFrame) -> DataFrame:
+        """:meth:`keys_at` for more strata than the driver may hold: the same steps as joins.
+
+        ``ranks`` is ``(stratum, cut, rank)``; one bucket holds a 256th of one stratum.
+        """
+        upto = Window.partitionBy("stratum").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
         hits = (
-            counts.withColumn("upto", F.sum("n").over(upto))
-            .join(ranks, group)
+            self.table.withColumn("upto", F.sum("n").over(upto))
+            .join(ranks.where("rank >= 1"), "stratum")
             .where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
-            .select(*group, prefix, "cut", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
+            .select("stratum", F.col("prefix").alias("p1"), "cut", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
         )
-        ranks = small_table(hits)
-        group = [*group, prefix]
-        scoped = scoped.join(ranks.select(*group).distinct(), group, "left_semi")
-    order = Window.partitionBy(*group).orderBy("key")
-    placed = scoped.withColumn("rank", F.row_number().over(order))
-    return small_table(placed.join(ranks, [*group, "rank"]).select("stratum", "cut", "key"))
+        scoped = self.keyed.withColumn("p1", F.substring("key", 1, _STEP))
+        scoped = scoped.join(hits.select("stratum", "p1").distinct(), ["stratum", "p1"], "left_semi")
+        scoped = scoped.withColumn("p2", F.substring("key", 1, 2 * _STEP))
+        finer = scoped.groupBy("stratum", "p1", "p2").agg(F.count("*").alias("n"))
+        upto = Window.partitionBy("stratum", "p1").orderBy("p2").rowsBetween(Window.unboundedPreceding, 0)
+        spots = (
+            finer.withColumn("upto", F.sum("n").over(upto))
+            .join(hits, ["stratum", "p1"])
+            .where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
+            .select("stratum", "p2", "cut", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
+        )
+        order = Window.partitionBy("stratum", "p2").orderBy("key")
+        placed = scoped.withColumn("rank", F.row_number().over(order).cast("long"))
+        return materialise(placed.join(spots, ["stratum", "p2", "rank"]).select("stratum", "cut", "key"), "keys")
 
 
-def _rank_rows(df: DataFrame, rows: list, stratum_type: T.DataType) -> DataFrame:
-    fields = [("stratum", stratum_type), ("cut", T.StringType()), ("rank", T.LongType())]
-    return local_table(df.sparkSession, rows, T.StructType([T.StructField(n, t) for n, t in fields]))
+def _place(stratum, cut, rank: int, counts: Mapping[str, int]) -> list[tuple]:
+    """The bucket that holds a rank, with the rank inside it: ``(stratum, cut, rank, bucket, rows)``."""
+    if rank < 1:
+        return []
+    for prefix in sorted(counts):
+        if rank <= counts[prefix]:
+            return [(stratum, cut, rank, prefix, counts[prefix])]
+        rank -= counts[prefix]
+    return []
 
 
 def _last_key(df: DataFrame, id_col: str, n: int, seed: int) -> str | None:
     """Sample key of the n-th row overall; None when there are fewer rows."""
-    rank = _rank_rows(df, [(0, "last", n)], T.IntegerType())
-    found = rank_keys(df, id_col, rank, hash_counts(df, id_col, None, seed), seed=seed).collect()
-    return found[0]["key"] if found else None
+    found = HashCounts.of(df, id_col, None, seed).keys_at([(0, "last", n)])
+    return found[0][2] if found else None
 
 
 def sample_rows(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows without replacement. ``id_col`` must be unique."""
+    """Exactly ``min(n, rows)`` rows without replacement."""
     if n <= 0:
         return df.limit(0)
     last = _last_key(df, id_col, n, seed)
     return df if last is None else df.where(sample_key(id_col, seed) <= F.lit(last))
 
 
-def _with_cuts(df: DataFrame, stratum: str, cuts: DataFrame, names: Sequence[str]) -> DataFrame:
-    wide = cuts.groupBy("stratum").agg(*[F.max(F.when(F.col("cut") == c, F.col("key"))).alias(f"cut_{c}") for c in names])
-    wide = small_table(wide.withColumnRenamed("stratum", stratum))
-    return df.join(wide, stratum, "left")
+def _join_cuts(df: DataFrame, stratum: str, cuts: list[tuple], names: Sequence[str]) -> DataFrame:
+    """Add ``cut_<name>`` columns: one broadcast row per class."""
+    wide: dict = {}
+    for s, cut, key in cuts:
+        wide.setdefault(s, {})[cut] = key
+    fields = [T.StructField(stratum, df.schema[stratum].dataType)] + [T.StructField(f"cut_{n}", T.StringType()) for n in names]
+    rows = [(s, *[found.get(n) for n in names]) for s, found in wide.items()]
+    return df.join(local_table(df.sparkSession, rows, T.StructType(fields)), stratum, "left")
 
 
-def _quota_sample(
-    df: DataFrame, id_col: str, stratum: str, quotas: DataFrame, counts: DataFrame, n: int, seed: int
-) -> DataFrame:
-    """Per-stratum quotas, then a top-up by global hash order to ``n`` rows."""
-    sized = small_table(quotas)
-    ranks = sized.where("quota > 0").select("stratum", F.lit("q").alias("cut"), F.col("quota").alias("rank"))
-    cuts = rank_keys(df, id_col, ranks, counts, stratum, seed)
-    taken = sized.agg(F.sum("quota").alias("s")).first()["s"] or 0
-    marked = _with_cuts(df, stratum, cuts, ["q"]).withColumn(
-        "_in", F.coalesce(sample_key(id_col, seed) <= F.col("cut_q"), F.lit(False))
-    )
+def _quota_sample(df: DataFrame, id_col: str, stratum: str, counts: HashCounts, quota, n: int, seed: int) -> DataFrame:
+    """Per-stratum quotas, then a top-up by global hash order to ``n`` rows.
+
+    ``quota(stratum, rows, total, strata)`` works on numbers and, for very many strata, on columns.
+    """
+    if counts.local is not None:
+        sizes = counts.sizes()
+        total = sum(sizes.values())
+        quotas = {s: quota(s, c, total, len(sizes)) for s, c in sizes.items()}
+        taken = sum(quotas.values())
+        cuts = counts.keys_at([(s, "q", q) for s, q in quotas.items()])
+        marked = _join_cuts(df, stratum, cuts, ["q"])
+    else:
+        sized = counts.table.groupBy("stratum").agg(F.sum("n").alias("n"))
+        head = sized.agg(F.sum("n").alias("total"), F.count("*").alias("strata")).first()
+        each = quota(F.col("stratum"), F.col("n"), head["total"], head["strata"])
+        ranks = sized.select("stratum", F.lit("q").alias("cut"), each.cast("long").alias("rank"))
+        taken = ranks.agg(F.sum("rank").alias("s")).first()["s"]
+        keys = counts.key_table(ranks).select(F.col("stratum").alias(stratum), F.col("key").alias("cut_q"))
+        marked = df.join(keys, stratum, "left")
+    marked = marked.withColumn("_in", F.coalesce(sample_key(id_col, seed) <= F.col("cut_q"), F.lit(False)))
     if n > taken:
         last = _last_key(marked.where(~F.col("_in")), id_col, n - taken, seed)
         extra = F.lit(True) if last is None else sample_key(id_col, seed) <= F.lit(last)
@@ -126,37 +187,42 @@ def _quota_sample(
     return marked.where("_in").select(*map(col, df.columns))
 
 
+def _total(counts: HashCounts) -> int:
+    if counts.local is not None:
+        return sum(counts.sizes().values())
+    return counts.table.agg(F.sum("n").alias("n")).first()["n"]
+
+
 def stratified_sample(df: DataFrame, id_col: str, stratum: str, n: int, seed: int = 42) -> DataFrame:
     """Proportional sample: ``floor(n * share)`` rows per stratum, topped up to ``n``."""
-    counts = hash_counts(df, id_col, stratum, seed)
-    sizes = stratum_sizes(counts)
-    total = sizes.agg(F.sum("n").alias("total")).first()["total"] or 0
-    if total <= n:
-        return df.where(col(stratum).isNotNull())
-    quotas = sizes.select(
-        "stratum",
-        F.floor(F.lit(n).cast("decimal(20,0)") * F.col("n").cast("decimal(20,0)") / F.lit(total).cast("decimal(20,0)"))
-        .cast("long")
-        .alias("quota"),
-    )
-    return _quota_sample(df.where(col(stratum).isNotNull()), id_col, stratum, quotas, counts, n, seed)
+    labelled = df.where(col(stratum).isNotNull())
+    counts = HashCounts.of(df, id_col, stratum, seed)
+    if _total(counts) <= n:
+        return labelled
+
+    def quota(_, rows, total, __):
+        if isinstance(rows, Column):
+            exact = F.lit(n).cast("decimal(20,0)") * rows.cast("decimal(20,0)")
+            return F.floor(exact / F.lit(total).cast("decimal(20,0)"))
+        return n * rows // total
+
+    return _quota_sample(labelled, id_col, stratum, counts, quota, n, seed)
 
 
 def noise_capped_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int = 42) -> DataFrame:
     """Cluster sample: label -1 gets at most 20 %, the others share 80 % evenly, then a top-up."""
-    counts = hash_counts(df, id_col, label, seed)
-    sizes = stratum_sizes(counts)
-    seen = sizes.agg(F.sum("n").alias("total"), F.count("*").alias("labels")).first()
-    if (seen["total"] or 0) <= n:
-        return df.where(col(label).isNotNull())
-    each = int(n * 0.8 / max(1, seen["labels"] - 1))
-    quotas = sizes.select(
-        "stratum",
-        F.least(F.col("n"), F.when(F.col("stratum") == -1, F.lit(int(n * 0.2))).otherwise(F.lit(each)))
-        .cast("long")
-        .alias("quota"),
-    )
-    return _quota_sample(df.where(col(label).isNotNull()), id_col, label, quotas, counts, n, seed)
+    labelled = df.where(col(label).isNotNull())
+    counts = HashCounts.of(df, id_col, label, seed)
+    if _total(counts) <= n:
+        return labelled
+
+    def quota(s, rows, _, strata):
+        noise, each = int(n * 0.2), int(n * 0.8 / max(1, strata - 1))
+        if isinstance(rows, Column):
+            return F.least(rows, F.when(s == -1, F.lit(noise)).otherwise(F.lit(each)))
+        return min(rows, noise if s == -1 else each)
+
+    return _quota_sample(labelled, id_col, label, counts, quota, n, seed)
 
 
 def allocate(draws: int, sizes: Mapping) -> dict:
@@ -180,17 +246,15 @@ def split_rows(
     Every id falls in one split by construction. ``val_size`` is a share of what is left after
     the test rows. Rows without a target are left out.
     """
-    counts = hash_counts(df, id_col, target, seed)
-    sizes = {r["stratum"]: r["n"] for r in stratum_sizes(counts).collect()}
+    counts = HashCounts.of(df, id_col, target, seed)
+    sizes = counts.sizes()
     test = allocate(math.ceil(test_size * sum(sizes.values())), sizes)
     left = {k: sizes[k] - test[k] for k in sizes}
     val = allocate(math.ceil(val_size * sum(left.values())), left)
-    rows = [(k, "test", test[k]) for k in sizes] + [(k, "val", test[k] + val[k]) for k in sizes]
-    labelled = df.where(col(target).isNotNull())
-    cuts = rank_keys(labelled, id_col, _rank_rows(df, rows, df.schema[target].dataType), counts, target, seed)
+    cuts = counts.keys_at([(k, "test", test[k]) for k in sizes] + [(k, "val", test[k] + val[k]) for k in sizes])
     key = sample_key(id_col, seed)
     return (
-        _with_cuts(labelled, target, cuts, ["test", "val"])
+        _join_cuts(df.where(col(target).isNotNull()), target, cuts, ["test", "val"])
         .withColumn(
             "split",
             F.when(key <= F.col("cut_test"), "test_final").when(key <= F.col("cut_val"), "val").otherwise("train"),
@@ -208,11 +272,10 @@ def split_sets(split_df: DataFrame) -> dict[str, DataFrame]:
 
 def split_summary(split_df: DataFrame) -> DataFrame:
     """Rows per split. Train and validation shares are of train + validation, test is of all rows."""
-    counts = split_df.groupBy("split").agg(F.count("*").alias("n"))
-    totals = small_table(
-        counts.agg(F.sum("n").alias("n_all"), F.sum(F.when(F.col("split") != "test_final", F.col("n"))).alias("n_tv"))
-    ).first()
-    base = F.when(F.col("split") == "test_final", F.lit(totals["n_all"])).otherwise(F.lit(totals["n_tv"]))
+    counts = small_table(split_df.groupBy("split").agg(F.count("*").alias("n")))
+    n = {r["split"]: r["n"] for r in counts.collect()}
+    everything = sum(n.values())
+    base = F.when(F.col("split") == "test_final", F.lit(everything)).otherwise(F.lit(everything - n.get("test_final", 0)))
     return counts.select("split", "n", (F.lit(100.0) * F.col("n") / base).alias("pct"))
 
 
@@ -227,19 +290,18 @@ def split_overlap(df: DataFrame, id_col: str, split_col: str = "split") -> DataF
 
 def stratified_folds(df: DataFrame, id_col: str, target: str, k: int = 3, seed: int = 42) -> DataFrame:
     """Add ``fold`` 0..k-1: consecutive hash ranges per class, sizes differing by at most one."""
-    counts = hash_counts(df, id_col, target, seed)
-    sizes = {r["stratum"]: r["n"] for r in stratum_sizes(counts).collect()}
-    rows = []
-    for label, n in sizes.items():
+    counts = HashCounts.of(df, id_col, target, seed)
+    wanted = []
+    for label, n in counts.sizes().items():
         upto = 0
         for j in range(k - 1):
             upto += n // k + (1 if j < n % k else 0)
-            rows.append((label, str(j), upto))
-    labelled = df.where(col(target).isNotNull())
-    cuts = rank_keys(labelled, id_col, _rank_rows(df, rows, df.schema[target].dataType), counts, target, seed)
+            wanted.append((label, str(j), upto))
+    cuts = counts.keys_at(wanted)
     key = sample_key(id_col, seed)
     fold = F.lit(k - 1)
     for j in reversed(range(k - 1)):
         fold = F.when(key <= F.col(f"cut_{j}"), F.lit(j)).otherwise(fold)
     names = [str(j) for j in range(k - 1)]
-    return _with_cuts(labelled, target, cuts, names).withColumn("fold", fold.cast("int")).select(*map(col, df.columns), "fold")
+    rows = _join_cuts(df.where(col(target).isNotNull()), target, cuts, names)
+    return rows.withColumn("fold", fold.cast("int")).select(*map(col, df.columns), "fold")

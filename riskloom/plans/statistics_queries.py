@@ -253,7 +253,7 @@ def long_to_grid(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def scaler_parameters(spark: SparkSession, sf: str) -> DataFrame:
-    return with_micro(preparation.fit_scaler(_train(spark, sf), NUMERIC), "mean", "scale")
+    return with_micro(preparation.fit_scaler(_train(spark, sf), NUMERIC).drop("n"), "mean", "scale")
 
 
 @query(
