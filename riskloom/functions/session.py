@@ -41,6 +41,15 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash ``df`` over the cores when its files give fewer splits than there are cores.
+
+    A table of many files is returned as it is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

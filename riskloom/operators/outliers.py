@@ -130,48 +130,30 @@ def outlier_summary(
 ) -> DataFrame:
     """One row per method and feature with counts, bounds, means and spread with and without outliers.
 
-    One pass over the data after the bounds: each feature meets all its methods' bounds as one
-    array, so the rows are not multiplied by the number of methods. All-null columns are skipped.
+    One pass after the bounds: values meet the few bounds of their feature by broadcast, and the
+    sums per method and feature are combined before the shuffle. Narrow aggregates keep the
+    generated code small enough to be compiled. All-null columns are skipped.
     """
     columns = [c for c in (columns or columns_of_kind(df, "strict")) if c in df.columns]
     methods = list(methods or METHODS)
     if bounds is None:
         bounds = fit_bounds(df, columns, methods, row_limit)
-    limits = bounds.groupBy("feature").agg(
-        *[F.max(F.when(F.col("method") == m, F.col("lower"))).alias(f"lo_{i}") for i, m in enumerate(methods)],
-        *[F.max(F.when(F.col("method") == m, F.col("upper"))).alias(f"hi_{i}") for i, m in enumerate(methods)],
-    )
-    rows = unpivot_numeric(df, columns).where(F.col("value").isNotNull()).join(small_table(limits), "feature")
+    limits = small_table(bounds.where(F.col("method").isin(methods)).select("method", "feature", "lower", "upper"))
+    rows = unpivot_numeric(df, columns).where(F.col("value").isNotNull()).join(limits, "feature")
     v = F.col("value")
-    aggs = [F.count("*").alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), corrected_skewness(v).alias("skewness")]
-    for i in range(len(methods)):
-        below = F.coalesce(v < F.col(f"lo_{i}"), F.lit(False))
-        above = F.coalesce(v > F.col(f"hi_{i}"), F.lit(False))
-        inside = F.when(~(below | above), v)
-        aggs += [
-            F.max(f"lo_{i}").alias(f"lo_{i}"),
-            F.max(f"hi_{i}").alias(f"hi_{i}"),
-            F.count_if(below).alias(f"below_{i}"),
-            F.count_if(above).alias(f"above_{i}"),
-            F.avg(inside).alias(f"clean_mean_{i}"),
-            F.stddev_samp(inside).alias(f"clean_std_{i}"),
-        ]
-    wide = rows.groupBy("feature").agg(*aggs)
-    per_method = F.array(
-        *[
-            F.struct(
-                F.lit(m).alias("method"),
-                F.col(f"lo_{i}").alias("lower"),
-                F.col(f"hi_{i}").alias("upper"),
-                F.col(f"below_{i}").alias("n_below"),
-                F.col(f"above_{i}").alias("n_above"),
-                F.col(f"clean_mean_{i}").alias("clean_mean"),
-                F.col(f"clean_std_{i}").alias("clean_std"),
-            )
-            for i, m in enumerate(methods)
-        ]
+    below = F.coalesce(v < F.col("lower"), F.lit(False))
+    above = F.coalesce(v > F.col("upper"), F.lit(False))
+    inside = F.when(~(below | above), v)
+    long_out = rows.groupBy("method", "feature", "lower", "upper").agg(
+        F.count("*").alias("n"),
+        F.count_if(below).alias("n_below"),
+        F.count_if(above).alias("n_above"),
+        F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("std"),
+        corrected_skewness(v).alias("skewness"),
+        F.avg(inside).alias("clean_mean"),
+        F.stddev_samp(inside).alias("clean_std"),
     )
-    long_out = wide.select("feature", "n", "mean", "std", "skewness", F.inline(per_method))
     change = F.when(
         F.col("clean_mean").isNotNull() & (F.col("clean_mean") != 0),
         (F.col("mean") - F.col("clean_mean")) / F.when(F.col("clean_mean") != 0, F.col("clean_mean")) * 100,

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.session import spread
+
 NUMERIC = ["amt_credit", "amt_income", "amt_goods", "qty", "disc", "n_lines"]
 CATEGORICAL = ["cat_priority", "cat_segment", "cat_status"]
 RATIOS = {
@@ -45,8 +47,11 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     def money(c: str, out: str):
         return F.sum(F.col(c).cast("decimal(18,2)")).cast("double").alias(out)
 
+    lineitem = read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_extendedprice", "l_quantity", "l_discount", "l_returnflag"
+    )
     lines = (
-        read(spark, sf_dir, "lineitem")
+        spread(lineitem, "l_orderkey")
         .groupBy("l_orderkey")
         .agg(
             F.count("*").alias("n_lines"),
@@ -56,7 +61,7 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(F.col("l_returnflag") == "R").alias("n_ret"),
         )
     )
-    orders = read(spark, sf_dir, "orders")
+    orders = spread(read(spark, sf_dir, "orders"), "o_orderkey")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     joined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(
         customer, F.col("o_custkey") == F.col("c_custkey"), "left"

@@ -62,7 +62,8 @@ def test_dbscan_crowded_cells_and_duplicates(spark):
     check(spark, x, 0.08, 5, direct_pairs=4)
 
 
-def test_dbscan_small_boxes_and_distributed_components(spark):
+def test_dbscan_small_boxes_and_distributed_components(spark, monkeypatch):
+    monkeypatch.setattr(D, "CHEAP_PAIRS", 10)
     rng = np.random.default_rng(11)
     x = np.vstack([rng.random((250, 2)) * [1.0, 0.2], rng.random((50, 2)) + 2])
     check(spark, x, 0.09, 4, direct_pairs=6, small_edges=0)
