@@ -1,13 +1,14 @@
 """Tail probabilities of the drift tests.
 
-The Kolmogorov tail is a Column expression. The chi-square tail is evaluated on one row per
-tested feature only, through a small vector helper.
+The Kolmogorov tail is a Column expression. The chi-square tail and the exact tail for small
+samples are evaluated on one row per tested feature only, through small vector helpers.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -62,3 +63,30 @@ def chi_square_tail(x: float, dof: float) -> float:
 @F.pandas_udf(DoubleType())
 def chi_square_tail_udf(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(a) or pd.isna(b) else chi_square_tail(float(a), float(b)) for a, b in zip(x, dof)])
+
+
+def exact_ks_tail(n_ref: int, n_cur: int, d: float) -> float:
+    """P(D >= d) when both samples come from one distribution without ties.
+
+    A random interleaving of the samples is a lattice path; the share of paths that ever reach a
+    gap of ``d`` is carried along the anti-diagonals. Gaps are compared as whole numbers.
+    """
+    limit = round(d * n_ref * n_cur)
+    if limit <= 0:
+        return 1.0
+    i = np.arange(n_ref + 1, dtype="float64")
+    reached = np.zeros(n_ref + 1)
+    for t in range(1, n_ref + n_cur + 1):
+        step = np.empty_like(reached)
+        step[0] = reached[0]
+        step[1:] = (i[1:] * reached[:-1] + (t - i[1:]) * reached[1:]) / t
+        j = t - i
+        step[np.abs(i * n_cur - j * n_ref) >= limit - 0.5] = 1.0
+        step[(j < 0) | (j > n_cur)] = 0.0
+        reached = step
+    return float(min(1.0, max(0.0, reached[n_ref])))
+
+
+@F.pandas_udf(DoubleType())
+def exact_ks_tail_udf(n_ref: pd.Series, n_cur: pd.Series, d: pd.Series) -> pd.Series:
+    return pd.Series([None if pd.isna(x) else exact_ks_tail(int(a), int(b), float(x)) for a, b, x in zip(n_ref, n_cur, d)])

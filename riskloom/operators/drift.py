@@ -10,9 +10,10 @@ from pyspark.sql.window import Window
 
 from riskloom.functions.expr import align_common, col, columns_of_kind, drift_status, unpivot_numeric
 from riskloom.functions.session import local_table, small_table
-from riskloom.functions.special import chi_square_tail_udf, kolmogorov_tail
+from riskloom.functions.special import chi_square_tail_udf, exact_ks_tail_udf, kolmogorov_tail
 from riskloom.operators.ordering import N_CUTS, ROW_LIMIT, bin_counts, cut_points, in_segment, range_index
 
+EXACT_ROWS = 10_000  # values per sample up to which the p-value is exact
 _KS_SCHEMA = "feature string, n_ref long, n_cur long, null_ref long, null_cur long, d double"
 
 
@@ -111,18 +112,33 @@ def _narrow(spark, rows: DataFrame, wide: list, heads: dict, best: dict) -> list
 
 
 def ks_test(
-    reference: DataFrame, current: DataFrame, features: Sequence[str], nan_policy: str = "propagate", row_limit: int = ROW_LIMIT
+    reference: DataFrame,
+    current: DataFrame,
+    features: Sequence[str],
+    nan_policy: str = "propagate",
+    row_limit: int = ROW_LIMIT,
+    p_method: str = "auto",
 ) -> DataFrame:
-    """Two-sample test per numeric feature with the asymptotic p-value.
+    """Two-sample test per numeric feature.
 
     ``propagate``: a feature with any missing value has no p-value. ``omit``: missing values are
-    left out of the test.
+    left out of the test. The p-value is exact while both samples have at most 10,000 values and
+    asymptotic beyond; ``p_method='asymptotic'`` never uses the exact one.
     """
+    if p_method not in ("auto", "asymptotic"):
+        raise ValueError("p_method must be 'auto' or 'asymptotic'")
     if nan_policy not in ("propagate", "omit"):
         raise ValueError("nan_policy must be 'propagate' or 'omit'")
     stats = ks_statistics(reference, current, features, row_limit)
     a, b = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
-    p = kolmogorov_tail(F.sqrt(a * b / (a + b)) * F.col("d"))
+    p = kolmogorov_tail(F.sqrt(F.try_divide(a * b, a + b)) * F.col("d"))
+    if p_method == "auto":
+        heads = stats.select("n_ref", "n_cur").collect()
+        if any(max(h["n_ref"], h["n_cur"]) <= EXACT_ROWS for h in heads):
+            few = F.greatest("n_ref", "n_cur") <= EXACT_ROWS
+            exact = exact_ks_tail_udf(F.col("n_ref"), F.col("n_cur"), F.when(few, F.col("d")))
+            stats = stats.withColumn("exact", exact)
+            p = F.when(few, F.col("exact")).otherwise(p)
     empty = (F.col("n_ref") == 0) | (F.col("n_cur") == 0)
     dirty = (F.col("null_ref") + F.col("null_cur")) > 0
     bad = empty | dirty if nan_policy == "propagate" else empty
@@ -196,6 +212,7 @@ def drift_tests(
     categorical: Sequence[str],
     nan_policy: str = "propagate",
     row_limit: int = ROW_LIMIT,
+    p_method: str = "auto",
 ) -> DataFrame:
     """All features with statistic, p-value and status. Absent features are inconclusive, not fatal."""
     present = set(reference.columns) & set(current.columns)
@@ -204,7 +221,7 @@ def drift_tests(
     num = [c for c in numeric if c in present]
     cat = [c for c in categorical if c in present]
     if num:
-        parts.append(ks_test(reference, current, num, nan_policy, row_limit))
+        parts.append(ks_test(reference, current, num, nan_policy, row_limit, p_method))
     if cat:
         parts.append(chi_square_test(reference, current, cat))
     lost = [(c, "ks", None, None, "column not in both sets") for c in numeric if c not in present]

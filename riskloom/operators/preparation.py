@@ -81,6 +81,7 @@ class Preprocessor:
     params: dict[str, tuple[float, float, float]] = field(default_factory=dict)
     levels: dict[str, list[str]] = field(default_factory=dict)
     dropped: list[str] = field(default_factory=list)
+    too_wide: bool = False  # more categories than single columns are made for
 
     @classmethod
     def fit(
@@ -98,22 +99,28 @@ class Preprocessor:
                 mean, by = scale[c]["mean"], scale[c]["scale"]
                 out.params[c] = (mean, by, (median[c] - mean) / by)
         if categorical:
-            for r in fit_levels(df, categorical).limit(MAX_WIDE_LEVELS + 1).collect():
+            rows = fit_levels(df, categorical).limit(MAX_WIDE_LEVELS + 1).collect()
+            out.too_wide = len(rows) > MAX_WIDE_LEVELS
+            for r in [] if out.too_wide else rows:
                 out.levels.setdefault(r["feature"], []).append(r["level"])
-            if sum(map(len, out.levels.values())) > MAX_WIDE_LEVELS:
-                raise ValueError("too many categories for one column each; use vector_stages()")
             for c in out.levels:
                 out.levels[c].sort()
         return out
 
+    def _need_levels(self) -> None:
+        if self.too_wide:
+            raise ValueError("too many categories for one column each; use vector_stages()")
+
     # -- output names -------------------------------------------------------------------------
     def feature_names(self) -> list[str]:
+        self._need_levels()
         names = [f"num__{c}" for c in self.numeric if c in self.params]
         names += [f"ind__{c}_origin" for c in self.numeric]
         return names + [f"cat__{c}_{v}" for c in self.categorical for v in self.levels[c]]
 
     # -- apply ---------------------------------------------------------------------------------
     def expressions(self) -> list[Column]:
+        self._need_levels()
         out = []
         for c in self.numeric:
             if c in self.params:
@@ -174,6 +181,7 @@ class Preprocessor:
     # -- parameter table -------------------------------------------------------------------------
     def to_table(self, spark: SparkSession) -> DataFrame:
         """``(kind, feature, stat, level, value, position)``, one row per fitted number or category."""
+        self._need_levels()
         rows = []
         for i, c in enumerate(self.numeric):
             if c not in self.params:

@@ -368,10 +368,17 @@ _NULLS = _union("SELECT '{c}' AS feature, count(*) - count({c}) AS n_null FROM a
 )
 def ks_drift(spark: SparkSession, sf: str) -> DataFrame:
     ref, cur = reference_current(_apps(spark, sf))
-    out = drift.ks_test(ref, cur, NUMERIC, nan_policy="omit").select("feature", "statistic", "p_value")
+    out = drift.ks_test(ref, cur, NUMERIC, nan_policy="omit", p_method="asymptotic").select("feature", "statistic", "p_value")
     return with_micro(out, "statistic", "p_value")
 
 
+@query("ks_p_values")
+def ks_p_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact p-values while the samples are small; the exact tail is checked by enumeration in the tests."""
+    ref, cur = reference_current(_apps(spark, sf))
+    return drift.ks_test(ref, cur, NUMERIC, nan_policy="omit").select("feature", "statistic", "p_value")
+
+
 _CHI = f"""o AS ({_union(f"SELECT '{{c}}' AS feature, {{c}} AS cat, count(*) FILTER ({_REF})::double AS a, count(*) FILTER (NOT ({_REF}))::double AS b FROM apps WHERE {{c}} IS NOT NULL GROUP BY 2", CATEGORICAL)}),
  t AS (SELECT feature, sum(a) AS ta, sum(b) AS tb, count(*) AS k FROM o GROUP BY 1),
  e AS (SELECT feature, k, a, b, (a + b) / (ta + tb) * ta AS ea, (a + b) / (ta + tb) * tb AS eb FROM o JOIN t USING (feature)),
@@ -402,7 +409,7 @@ def chi_square_p_values(spark: SparkSession, sf: str) -> DataFrame:
 )
 def drift_status(spark: SparkSession, sf: str) -> DataFrame:
     ref, cur = reference_current(_apps(spark, sf))
-    return drift.drift_tests(ref, cur, NUMERIC, []).select("feature", "status", "reason")
+    return drift.drift_tests(ref, cur, NUMERIC, [], p_method="asymptotic").select("feature", "status", "reason")
 
 
 @query(
@@ -415,7 +422,7 @@ def drift_status(spark: SparkSession, sf: str) -> DataFrame:
 )
 def drift_verdict(spark: SparkSession, sf: str) -> DataFrame:
     ref, cur = reference_current(_apps(spark, sf))
-    out = drift.drift_verdict(drift.drift_tests(ref, cur, NUMERIC, []))
+    out = drift.drift_verdict(drift.drift_tests(ref, cur, NUMERIC, [], p_method="asymptotic"))
     return with_micro(out.drop("dataset_drift"), "share_drifted")
 
 
@@ -435,7 +442,7 @@ _MOMENTS = _union(
 )
 def drift_statistics(spark: SparkSession, sf: str) -> DataFrame:
     ref, cur = reference_current(_apps(spark, sf))
-    tests = drift.drift_tests(ref, cur, NUMERIC, [])
+    tests = drift.drift_tests(ref, cur, NUMERIC, [], p_method="asymptotic")
     out = drift.statistics_report(ref, cur, NUMERIC, tests).drop("status")
     return with_micro(out, "mean_ref", "std_ref", "mean_cur", "std_cur", "mean_pct_change", "p_value")
 

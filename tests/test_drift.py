@@ -1,9 +1,10 @@
+import itertools
 import math
 
 import numpy as np
 import pytest
 
-from riskloom.functions.special import chi_square_tail
+from riskloom.functions.special import chi_square_tail, exact_ks_tail
 from riskloom.operators import drift as D
 
 
@@ -46,6 +47,25 @@ def test_ks_edge_cases(spark):
     assert omit["hole"]["statistic"] == pytest.approx(1 / 6)
 
 
+@pytest.mark.parametrize("m,n", [(3, 4), (5, 5), (2, 7), (4, 6)])
+def test_exact_ks_tail_by_enumeration(m, n):
+    found = []
+    for spots in itertools.combinations(range(m + n), m):
+        a = np.array(spots, float)
+        b = np.array([i for i in range(m + n) if i not in spots], float)
+        found.append(brute_ks(a, b))
+    for d in sorted(set(np.round(found, 12))):
+        assert exact_ks_tail(m, n, d) == pytest.approx(np.mean(np.array(found) >= d - 1e-9), rel=1e-12)
+
+
+def test_exact_and_asymptotic_agree_for_larger_samples(spark):
+    rng = np.random.default_rng(12)
+    ref, cur = frames(spark, {"x": rng.normal(size=2000)}, {"x": rng.normal(0.04, 1, 1500)})
+    exact = D.ks_test(ref, cur, ["x"]).first()["p_value"]
+    limit = D.ks_test(ref, cur, ["x"], p_method="asymptotic").first()["p_value"]
+    assert exact != limit and exact == pytest.approx(limit, rel=0.05)
+
+
 def test_chi_square_tail_known_values():
     # Fixed values from published tables.
     for x, dof, p in [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (18.307038053275146, 10, 0.05), (6.634896601021213, 1, 0.01)]:

@@ -65,3 +65,13 @@ def test_too_many_donors_are_refused(spark, monkeypatch):
     df = spark.range(5).select(F.col("id"), F.col("id").cast("double").alias("x"))
     with pytest.raises(ValueError):
         P.NeighbourImputer.fit(df, ["x"], "id")
+
+
+def test_many_categories_only_as_a_vector(spark, monkeypatch):
+    monkeypatch.setattr(P, "MAX_WIDE_LEVELS", 2)
+    df = spark.createDataFrame([(c,) for c in "abcd"], "c string")
+    prep = P.Preprocessor.fit(df, [], ["c"])
+    with pytest.raises(ValueError):
+        prep.transform(df)
+    got = [r["features"].toArray().tolist() for r in prep.pipeline().fit(df).transform(df).collect()]
+    assert got == np.eye(4).tolist()
