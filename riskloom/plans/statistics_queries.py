@@ -395,10 +395,15 @@ def chi_square_drift(spark: SparkSession, sf: str) -> DataFrame:
     return with_micro(drift.chi_square_test(ref, cur, CATEGORICAL).select("feature", "statistic"), "statistic")
 
 
-@query("chi_square_p_values")
+# The tail has a closed form for an even number of degrees of freedom, here 2 and 4.
+@query(
+    "chi_square_p_values",
+    f"""{APPS_SQL}, {_CHI}, s AS (SELECT feature, max(k) AS k, sum(da * da / ea + db * db / eb) AS s FROM x GROUP BY 1)
+    SELECT feature, {u('exp(-s / 2) * CASE k WHEN 3 THEN 1 WHEN 5 THEN 1 + s / 2 END')} AS p_value FROM s""",
+)
 def chi_square_p_values(spark: SparkSession, sf: str) -> DataFrame:
     ref, cur = reference_current(_apps(spark, sf))
-    return drift.chi_square_test(ref, cur, CATEGORICAL).select("feature", "p_value")
+    return with_micro(drift.chi_square_test(ref, cur, CATEGORICAL).select("feature", "p_value"), "p_value")
 
 
 @query(
@@ -480,8 +485,8 @@ def drift_report(spark: SparkSession, sf: str) -> DataFrame:
     from riskloom.plans.apps import read
 
     events = read(spark, sf, "events")
-    start = events.agg(F.min("ts").alias("t")).first()["t"]
-    border = F.lit(start) + F.expr("INTERVAL 15 DAY")
+    start = events.agg(F.min("ts").cast("string").alias("t")).first()["t"]
+    border = F.lit(start).cast(events.schema["ts"].dataType) + F.expr("INTERVAL 15 DAY")
     ref = events.where(F.col("ts") < border).select("event_id", "event_type", "value")
     cur = events.where(F.col("ts") >= border).select("value", "event_type", "user_id")
     tests = drift.drift_report(ref, cur)["tests"]

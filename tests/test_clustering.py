@@ -69,6 +69,16 @@ def test_dbscan_small_boxes_and_distributed_components(spark, monkeypatch):
     check(spark, x, 0.09, 4, direct_pairs=6, small_edges=0)
 
 
+def test_dbscan_of_all_applications(spark):
+    from riskloom.plans import cluster_queries as Q
+
+    sf = "/root/testdata/sf0.001"
+    rows = Q._complete(spark, sf).orderBy("app_id").collect()
+    want = brute_dbscan(np.array([[r[c] for c in Q._SCALED] for r in rows]), 0.15, 10)
+    got = {r["app_id"]: r["label"] for r in Q.dbscan_applications(spark, sf).collect()}
+    assert [got[r["app_id"]] for r in rows] == want.tolist() and len(got) == len(rows)
+
+
 def test_dbscan_border_between_two_chains(spark):
     left = [[i * 1.0, 0.0] for i in range(5)]
     right = [[i * 1.0 + 6.0, 0.0] for i in range(5)]
