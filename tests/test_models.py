@@ -27,7 +27,7 @@ def test_schedule():
     assert search.halving_schedule(64, 3, 2000) == [(0, 64, 500), (1, 22, 1500)]
 
 
-def test_grids():
+def test_grids(spark):
     assert len(models.grid_candidates(models.BOOSTING_GRID)) == 64
     assert len(models.grid_candidates(models.FOREST_GRID)) == 27
     assert models.classifier("boosting", {"num_leaves": 63}, "t", 1.0).getMaxDepth() == 6
