@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 import tempfile
 import uuid
+import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +44,30 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Give every Python worker this package, once per Spark application.
+
+    Functions that run inside tasks are pickled by reference, so workers have to be able to import
+    the package wherever the driver was started. The sources are zipped and handed to Spark's own
+    file distribution; an executor that joins later fetches the same file.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_riskloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    files = sorted(os.path.join(d, n) for d, _, names in os.walk(root) for n in names if n.endswith(".py"))
+    digest = hashlib.sha256()
+    for f in files:
+        with open(f, "rb") as source:
+            digest.update(f.encode() + source.read())
+    path = os.path.join(tempfile.mkdtemp(prefix="riskloom-src-"), f"riskloom-{digest.hexdigest()[:12]}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for f in files:
+            archive.write(f, os.path.join(os.path.basename(root), os.path.relpath(f, root)))
+    sc.addPyFile(path)
+    sc._riskloom_shipped = True
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash ``df`` over the cores when its files give fewer splits than there are cores.
 
