@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import pieces
+from riskloom.llm import decontam, pieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,44 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         "library_agrees",
     )
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _sql_words(column: str) -> str:
+    return rf"regexp_extract_all(translate(coalesce({column}, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+DECONTAMINATION_SQL = f"""
+WITH b AS (SELECT cast(item_id AS varchar) AS item, {_sql_words("text")} AS w FROM benchmark),
+bw AS (SELECT item, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS k FROM bw),
+d AS (SELECT doc_id, {_sql_words("text")} AS w FROM {{documents}}),
+sizes AS (SELECT DISTINCT n FROM win),
+dw AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i,
+       unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS k
+       FROM d JOIN sizes ON len(w) >= n),
+occ AS (SELECT DISTINCT doc_id, dw.n, i, item FROM dw JOIN win ON dw.k = win.k AND dw.n = win.n),
+hits AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM occ) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM occ WHERE item IS NOT NULL) GROUP BY 1),
+judged AS (SELECT d.doc_id, cast(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+       FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN its USING (doc_id))
+"""
+ORACLES["op9_decontamination"] = DECONTAMINATION_SQL.format(documents="documents") + "SELECT * FROM judged"
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words that lie in a benchmark window."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
