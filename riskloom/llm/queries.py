@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, pieces
+from riskloom.llm import decontam, pieces, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,49 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+# Site rules as given, and the method's own pattern rules.
+SITE_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+PATTERN_RULES = [
+    ("cheap-pills", r"^(?:[^/]*\.)?cheap-pills\.", ("cheap", "pills")),
+    ("spam-farm", r"^(?:[^/]*\.)?spam-farm\.", ("spam", "farm")),
+    ("casino", r"(?:^|[./-])casino(?:[./-]|$)", ("casino",)),
+    ("porn", r"(?:^|[./-])porn(?:[./-]|$)", ("porn",)),
+    ("adserver", r"^(?:[^/]*\.)?adserver\.", ("adserver",)),
+    ("login page", r"/login(?:[./]|$)", ("login",)),
+]
+
+
+def _url_rules() -> list[urlfilter.UrlRule]:
+    sites = [urlfilter.site_rule(rule, verdict) for rule, verdict in SITE_RULES]
+    return sites + [urlfilter.pattern_rule(name, "block", pattern, tokens) for name, pattern, tokens in PATTERN_RULES]
+
+
+def _sql_site(rule: str) -> str:
+    host, _, path = rule.partition("/")
+    return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}')"
+
+
+def _sql_cases(pairs: list[tuple[str, str]], last: str) -> str:
+    return "CASE " + " ".join(f"WHEN {test} THEN '{value}'" for test, value in pairs) + f" ELSE {last} END"
+
+
+_BY_LENGTH = sorted(SITE_RULES, key=lambda r: (len(r[0]), r[0]), reverse=True)
+_PATTERNS_BY_LENGTH = sorted(PATTERN_RULES, key=lambda r: (len(r[0]), r[0]), reverse=True)
+ORACLES["op5_url_filter"] = f"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
+p AS (SELECT page_id, translate(raw, '{_UPPER}', '{_LOWER}') AS host,
+      regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+r AS (SELECT *, {_sql_cases([(_sql_site(r), r) for r, _ in _BY_LENGTH], "NULL")} AS rule,
+      {_sql_cases([(f"regexp_matches(host || path, '{p}')", n) for n, p, _ in _PATTERNS_BY_LENGTH], "NULL")} AS fits FROM p)
+SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN fits END AS pattern,
+  CASE {" ".join(f"WHEN rule = '{r}' THEN '{v}'" for r, v in SITE_RULES)} WHEN fits IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM r"""
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url against the site rules, then the pattern rules."""
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), _url_rules()).drop("url")
