@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, pieces, urlfilter
+from riskloom.llm import decontam, pieces, simhash, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +125,10 @@ FROM r"""
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url against the site rules, then the pattern rules."""
     return urlfilter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), _url_rules()).drop("url")
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and near-duplicate component."""
+    groups = simhash.near_duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
