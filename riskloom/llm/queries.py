@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, pieces, simhash, urlfilter
+from riskloom.llm import decontam, langid, pieces, simhash, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -132,3 +132,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and near-duplicate component."""
     groups = simhash.near_duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def language_model(docs: DataFrame) -> langid.LanguageModel:
+    """Fitted on the rows outside the test fold."""
+    return langid.fit_language_model(docs.select("doc_id", "text", "lang").where(~langid.held_out(F.col("doc_id"))))
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language."""
+    docs = table(spark, sf_dir, "documents")
+    told = langid.predict_language(docs.select("doc_id", "text"), language_model(docs))
+    return told.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
