@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, langid, pieces, simhash, urlfilter
+from riskloom.llm import decontam, fingerprint, langid, pieces, simhash, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,18 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     told = langid.predict_language(docs.select("doc_id", "text"), language_model(docs))
     return told.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and how alike they are."""
+    compared = fingerprint.compare_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return compared.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprint.to_hex(F.col("lanes")).alias("fingerprint"),
+        fingerprint.to_hex(F.col("edited_lanes")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
