@@ -21,10 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from riskloom.llm.ranges import range_cuts, range_of
+
 LANES = 128
 _PAIR = (1 << 32) | 1  # one bit in each half of a 64-bit word
-# Ranges of ids that neighbours are looked up in.
-MAX_RANGES = 1 << 16
 
 
 def _summands(text: Column) -> Column:
@@ -109,17 +109,6 @@ def to_hex(lanes: Column) -> Column:
     return F.concat(head, F.array_join(tail, ""))
 
 
-def _range_of(key: Column, cuts: list) -> Column:
-    """How many cuts lie below ``key``, in two steps of about the square root of their number."""
-    step = max(1, int(len(cuts) ** 0.5))
-    blocks = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-    literal = F.array(*[F.array(*map(F.lit, b)) for b in blocks])
-    tops = F.array(*[F.lit(b[-1]) for b in blocks])
-    block = F.size(F.filter(tops, lambda c: c < key))
-    within = F.size(F.filter(F.coalesce(F.get(literal, block), F.array(F.lit(cuts[-1]))), lambda c: c < key))
-    return F.coalesce(block * step + within, F.lit(0))
-
-
 def with_next(df: DataFrame, key: str, columns: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Rows in descending order of ``key``, each next to the one that follows (the last: the first).
 
@@ -129,15 +118,10 @@ def with_next(df: DataFrame, key: str, columns: Sequence[str], ranges: int | Non
     itself and one shuffle does. Ghosts have no next row. Null keys come last, equal keys are
     ordered by the columns.
     """
-    spark = df.sparkSession
-    wanted = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(1, min(MAX_RANGES, wanted))
-    shares = [i / wanted for i in range(1, wanted)] or [0.5]
-    found = df.agg(F.percentile_approx(key, shares, 10 * wanted).alias("cuts"), F.max(key).alias("top")).first()
-    cuts = sorted({*(found["cuts"] or []), found["top"]} - {None}) if found["top"] is not None else []
+    cuts = range_cuts(df, key, ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     id_ = F.col(key)
     if cuts:
-        own = _range_of(id_, cuts)
+        own = range_of(id_, cuts)
         # The largest id of a range is also wanted by the range above, the largest of all by range 0.
         above = F.when(id_ == F.lit(cuts[-1]), F.lit(0)).when(F.array_contains(F.array(*map(F.lit, cuts)), id_), own + 1)
         places = F.filter(

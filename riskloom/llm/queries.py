@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, fingerprint, langid, pieces, simhash, urlfilter
+from riskloom.llm import decontam, fingerprint, langid, pieces, simhash, suffixes, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +160,16 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the strings that start earlier as well."""
+    left = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed_spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
