@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, fingerprint, langid, pieces, simhash, suffixes, urlfilter
+from riskloom.llm import decontam, fingerprint, htmltext, langid, pieces, simhash, suffixes, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -173,3 +173,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed_spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    model = htmltext.fit_page_model(pages)
+    return htmltext.extract_text(pages, model).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -241,11 +241,31 @@ def fingerprint_links(prints: DataFrame, column: str = "fp", group: int = GROUP)
     return links.distinct()
 
 
+def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: the smallest id of each component stays.
+
+    Of rows that repeat the id that stays, one does; of a component without any id, one row does.
+    Columns are returned as given.
+    """
+    groups = materialise(near_duplicate_groups(docs, id_column, text), "groups")
+    staying = groups.where(F.col(id_column) == F.col("component_id")).groupBy(id_column).count()
+    kept = docs.join(staying.select(id_column), id_column, "left_semi").select(*docs.columns)
+    if not staying.where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([id_column])
+    nameless = groups.where("component_id IS NULL").select("fp", "root").distinct()
+    if not nameless.isEmpty():
+        rows = docs.where(docs[id_column].isNull())
+        whole = rows.select(rows[text].alias("_t"), F.struct(*[rows[c] for c in docs.columns]).alias("_row"))
+        marked = add_fingerprint(whole, "_t", "fp").join(nameless, "fp").dropDuplicates(["root"])
+        kept = kept.unionByName(marked.select("_row.*"))
+    return kept
+
+
 def near_duplicate_groups(df: DataFrame, id_column: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
-    """``(id, fp, component_id)`` for every row of ``df``.
+    """``(id, fp, root, component_id)`` for every row of ``df``.
 
     ``component_id`` is the smallest id that links reach, the row's own included; null ids count as
-    no id, so a component of only such rows has none. Null, empty and blank texts have fingerprint
+    no id, so a component of only such rows has none. ``root`` is the component's smallest fingerprint. Null, empty and blank texts have fingerprint
     zero and link like any other. Equal rows come back as often as they were given.
     """
     prints = materialise(add_fingerprint(df.select(df[id_column].alias("_id"), df[text].alias("_t")), "_t"), "fingerprints")
@@ -253,5 +273,5 @@ def near_duplicate_groups(df: DataFrame, id_column: str = "doc_id", text: str =
     roots = component_roots(fingerprint_links(prints, group=group))
     rooted = first.join(roots, first["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select(F.col("_id").alias(id_column), "fp", "component_id")
+    classes = rooted.join(smallest, "root").select("fp", "root", "component_id")
+    return prints.join(classes, "fp").select(F.col("_id").alias(id_column), "fp", "root", "component_id")

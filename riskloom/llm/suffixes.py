@@ -415,8 +415,9 @@ def _ranges(df: DataFrame, key: str, text: str, range_bytes: int) -> tuple[Colum
 def remove_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text", range_bytes: int = RANGE_BYTES, hot: int = HOT) -> DataFrame:
     """Remove every byte covered by a 100-byte string that also starts earlier.
 
-    Earlier means in a row of smaller id, or before it in the same row. All rows count, the input
-    as it is, and nothing crosses from one row to another. Returns the columns of ``df`` and
+    Earlier means in a row of smaller id, or before it in the same row. All rows count, the input as
+    it is, and nothing crosses from one row to another. Returns the columns of ``df``, the text without
+    the removed bytes (and without characters that a cut broke), and
     ``n_bytes``, ``n_removed``, ``removed_spans`` (byte offsets, end exclusive, not touching) and
     ``kept`` (binary, the remaining bytes); columns of ``df`` with these names are replaced. A null
     text counts as empty. Null ids come before all others; rows of equal id are ordered by text, so
@@ -442,6 +443,8 @@ def remove_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text",
     out = T.StructType([T.StructField("_rest", given.schema["_rest"].dataType), *added.fields])
     done = docs.groupBy("_p").cogroup(settled.groupBy("_p")).applyInArrow(_apply(to_arrow_schema(out)), out)
     kept_names = [c for c in names if c != text]
-    whole = F.col("kept").cast("string").alias(text)
+    # A cut inside of a character leaves a broken one behind, which the text column leaves out.
+    whole = F.col("kept").cast("string")
+    whole = F.when(F.is_valid_utf8(whole), whole).otherwise(F.replace(F.make_valid_utf8(whole), F.lit("\ufffd"), F.lit(""))).alias(text)
     rest = {c: F.col("_rest").getField(c).alias(c) for c in kept_names}
     return done.select(*[whole if c == text else rest[c] for c in names], *added.names)
