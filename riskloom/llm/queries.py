@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, fingerprint, htmltext, langid, pieces, simhash, suffixes, urlfilter
+from riskloom.llm import decontam, fingerprint, htmltext, langid, pieces, shards, simhash, suffixes, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -181,3 +181,40 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     model = htmltext.fit_page_model(pages)
     return htmltext.extract_text(pages, model).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+SHARDS = [f"shard-{i:03d}" for i in range(128)]
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, by its id."""
+    return shards.assign_shards(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+
+
+# The filled table is the method; that keys are placed by it, and evenly, is checked beside it.
+_SLOTS = ", ".join(map(str, shards.fill_table(SHARDS).tolist()))
+ORACLES["op2_sharding"] = f"""
+WITH t AS (SELECT [{_SLOTS}] AS owners),
+s AS (SELECT doc_id, CASE WHEN doc_id IS NULL THEN 0
+  ELSE cast(('0x' || substr(md5(cast(doc_id AS varchar)), 1, 15))::bigint % {shards.TABLE_SIZE} AS integer) END AS slot FROM documents)
+SELECT doc_id, slot, 'shard-' || lpad(cast(owners[slot + 1] AS varchar), 3, '0') AS shard FROM s, t"""
+
+
+# Words that label the first two categories among the labelled documents.
+INSULTS = ["idiot", "moron", "clown", "loser", "scum", "stupid"]
+DEGRADING = ["trash", "worthless", "pathetic", "disgusting"]
+CATEGORIES = ["insult", "degrading", "toxic"]
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability of each toxicity category."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    sample = toxicity.labelled_sample(docs, labels, "toxic")
+    marked = sample.withColumns(
+        {name: toxicity.holds_word(F.col("text"), words) * F.col("toxic") for name, words in (("insult", INSULTS), ("degrading", DEGRADING))}
+    )
+    chain = toxicity.fit_chain(marked, CATEGORIES)
+    return toxicity.predict_toxicity(docs, chain).drop("text")
