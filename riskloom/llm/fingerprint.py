@@ -45,7 +45,7 @@ def _summands(text: Column) -> Column:
 
 def _lane_sums(h: str) -> list[Column]:
     """Two counters of 31 bits to a sum, which no text of at most 2 GB can overflow."""
-    words = [F.col(h), F.xxhash64(F.col(h), F.lit(1))]
+    words = [F.col(h), F.when(F.col(h).isNotNull(), F.xxhash64(F.col(h), F.lit(1)))]
     return [
         F.coalesce(F.sum(F.shiftrightunsigned(w, k).bitwiseAND(F.lit(_PAIR))), F.lit(0)).alias(f"_w{i}_{k}")
         for i, w in enumerate(words)

@@ -35,6 +35,8 @@ MAX_LANGUAGES = 200
 MAX_TEXT_BYTES = 20_000
 # Characters handled at a time.
 PIECE_CHARS = 1 << 19
+# A small sample is gone through more often, up to this many steps.
+LEAST_STEPS = 1500
 
 _MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _letters: np.ndarray | None = None
@@ -136,8 +138,10 @@ def train(texts: list[str], labels: list[str], epochs: int = 12, batch: int = 32
     bias = np.zeros(k, np.float32)
     rows = np.arange(len(bags))
     fit = rows[rows % 5 != 0] if len(bags) >= 25 else rows
-    steps, done = max(1, epochs * (-(-len(fit) // batch))), 0
-    for _ in range(epochs if k > 1 else 0):
+    per_epoch = max(1, -(-len(fit) // batch))
+    epochs = max(epochs, -(-LEAST_STEPS // per_epoch))
+    steps, done = epochs * per_epoch, 0
+    for _ in range(epochs if k > 1 and len(fit) else 0):
         order = rng.permutation(fit)
         for start in range(0, len(order), batch):
             some = order[start : start + batch]

@@ -192,17 +192,21 @@ class PieceModel:
 
     def check(self) -> None:
         """Hold the chunks encoded since the last call against the library."""
+        # The library puts its own space in front, so a chunk that begins with one is passed without
+        # it. What it would lose or change that way is looked at next to a newline.
         first = SPACE if self.prefix else ""
-        # The library puts its own space in front: a chunk that begins with one is passed without
-        # it, any other chunk is looked at behind a newline, which is a piece of its own.
+        line = self.library.encode("\n")[len(self.library.encode("")) :]
         asked = []
         for c, _ in self.fresh:
-            own = c[1:] if first and c.startswith(first) else "\n" + c
-            asked.append(own.replace(SPACE, " "))
-        for (c, ids), lib in zip(self.fresh, self.library.encode(asked, num_threads=1), strict=True):
-            if not (first and c.startswith(first)):
-                lib = lib[len(self.library.encode("\n")) :]
-            if array("I", lib).tobytes() != ids:
+            if first and not c.startswith(first):
+                asked.append(("\n" + c.replace(SPACE, " "), len(line), 0))
+            elif not c.strip(SPACE):
+                asked.append((c[len(first) :].replace(SPACE, " ") + "\n", 0, len(self.library.encode("x\n")) - len(self.library.encode("x"))))
+            else:
+                asked.append((c[len(first) :].replace(SPACE, " "), 0, 0))
+        coded = self.library.encode([t for t, _, _ in asked], num_threads=1)
+        for (c, ids), (_, head, tail), lib in zip(self.fresh, asked, coded, strict=True):
+            if array("I", lib[head : len(lib) - tail]).tobytes() != ids:
                 self.wrong.add(c)
         self.fresh.clear()
 

@@ -130,10 +130,13 @@ def _fit(
     return Link(place, w[:k].astype(np.float64), w[k:].astype(np.float64), bias)
 
 
-def train(texts: Sequence[str], labels: np.ndarray, categories: Sequence[str], folds: int = FOLDS) -> Chain:
+def train(
+    texts: Sequence[str], labels: np.ndarray, categories: Sequence[str], weights: np.ndarray | None = None, folds: int = FOLDS
+) -> Chain:
     """Fit the chain; ``labels`` has a column of zeros and ones for each category, in their order.
 
-    The threshold on the last category is the one with the best F1 on out-of-fold predictions.
+    The threshold on the last category is the one with the best F1 on out-of-fold predictions, each
+    row counting as the ``weights`` many that it was sampled from.
     """
     chain = Chain(list(categories))
     number: dict[str, int] = {}
@@ -154,7 +157,8 @@ def train(texts: Sequence[str], labels: np.ndarray, categories: Sequence[str], f
     if n and chain.categories:
         y, p = labels[:, -1].astype(bool), outside[:, -1]
         grid = np.arange(5, 96) / 100
-        f1 = [2 * (y & (p >= t)).sum() / max(1, y.sum() + (p >= t).sum()) for t in grid]
+        of = np.ones(n) if weights is None else weights
+        f1 = [2 * of[y & (p >= t)].sum() / max(1e-9, of[y].sum() + of[p >= t].sum()) for t in grid]
         best = np.flatnonzero(np.isclose(f1, max(f1)))
         chain.threshold = float(grid[best[len(best) // 2]])
     return chain
@@ -166,16 +170,19 @@ def labelled_sample(
     """Rows of ``df`` with their labels, at most about ``rows_per_class`` for each value of ``last``.
 
     Labels are chosen by a hash of ``key``, at a rate set by one count of all labels, and so few are
-    left that they are broadcast: the texts are scanned once and not shuffled. Labels that are
-    neither 0 nor 1, or have no key, are not used.
+    left that they are broadcast: the texts are scanned once and not shuffled. ``sample_weight`` is
+    the number of labels that a row stands for. Labels that are neither 0 nor 1, or have no key, are
+    not used.
     """
     usable = labels.where(labels[last].isin(0, 1) & labels[key].isNotNull())
     counts = {r[0]: r[1] for r in usable.groupBy(F.col(last).cast("int")).count().collect()}
     draw = F.pmod(F.xxhash64(labels[key].cast("string"), F.lit("toxicity")), F.lit(1 << 24))
-    wanted = F.lit(False)
+    wanted, weight = F.lit(False), F.lit(1.0)
     for value, n in counts.items():
-        wanted = wanted | ((labels[last] == value) & (draw < int(min(1.0, rows_per_class / n) * (1 << 24))))
-    chosen = usable.where(wanted).select(key, *[c for c in labels.columns if c != key])
+        rate = min(1.0, rows_per_class / n)
+        wanted = wanted | ((labels[last] == value) & (draw < int(rate * (1 << 24))))
+        weight = F.when(labels[last] == value, 1 / rate).otherwise(weight)
+    chosen = usable.where(wanted).select(key, *[c for c in labels.columns if c != key], weight.alias("sample_weight"))
     return df.join(F.broadcast(chosen), key)
 
 
@@ -190,9 +197,10 @@ def fit_chain(sample: DataFrame, categories: Sequence[str], text: str = "text",
         known = known & sample[c].isin(0, 1)
     order = F.xxhash64(sample[key].cast("string"), F.lit("fold"))
     marks = [sample[c].cast("int").alias(f"y{i}") for i, c in enumerate(categories)]
+    marks.append((sample["sample_weight"] if "sample_weight" in sample.columns else F.lit(1.0)).alias("w"))
     got = sorted(sample.where(known).select(order.alias("o"), sample[text].alias("t"), *marks).collect(), key=lambda r: (r["o"], r["t"]))
     labels = np.array([[r[f"y{i}"] for i in range(len(categories))] for r in got], int).reshape(len(got), len(categories))
-    return train([r["t"] for r in got], labels, categories)
+    return train([r["t"] for r in got], labels, categories, np.array([r["w"] for r in got]))
 
 
 def _predictor(chain, schema: pa.Schema):
