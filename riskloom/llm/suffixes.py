@@ -39,9 +39,10 @@ LENGTH = 100
 GRAM = 24
 # Bytes of text in a range, and blocks of one gram above which its strings are dealt singly.
 RANGE_BYTES = 8 << 20
-HOT = 4000
-# Strings handled at a time within a range.
+HOT = 1500
+# Strings handled at a time within a range, and contested blocks within a bucket.
 PIECE = 1 << 18
+BLOCK_ROWS = 8000
 
 _U = np.uint64
 _MASK = (1 << 64) - 1
@@ -335,6 +336,22 @@ def _settle():
 
 
 def _settle_blocks(data: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole grams at a time, so that only some thousand blocks are laid out for sorting."""
+    gram = np.ascontiguousarray(data[:, :8]).view("<u8")[:, 0]
+    order = np.argsort(gram, kind="stable")
+    cuts = np.flatnonzero(np.diff(gram[order])) + 1
+    covers, owners, at = [], [], 0
+    while at < len(order):
+        after = np.searchsorted(cuts, at + BLOCK_ROWS)
+        end = int(cuts[after]) if after < len(cuts) else len(order)
+        some = order[at:end]
+        cover, owner = _settle_grams(data[some], p[some])
+        covers.append(cover), owners.append(owner)
+        at = end
+    return np.concatenate(covers), np.concatenate(owners)
+
+
+def _settle_grams(data: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     place = np.ascontiguousarray(data[:, 8:16]).view("<u4").astype(np.int64)
     order = np.lexsort((place[:, 1], place[:, 0], p))  # corpus order
     data, p, place = data[order], p[order], place[order]

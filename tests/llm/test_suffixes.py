@@ -48,6 +48,23 @@ def test_as_a_plain_search(spark, range_bytes, hot):
         assert sum(s["end"] - s["start"] for s in r["removed_spans"]) == r["n_removed"]
 
 
+def test_grams_in_small_lots(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    data = rng.integers(0, 2, (300, suffixes._BLOCK_BYTES)).astype(np.uint8)
+    data[:, 0], data[:, 1:8] = rng.integers(0, 9, 300), 0
+    data[:, 16], data[:, 17] = 2, 5
+    data[:, 18:] = data[rng.integers(0, 40, 300), 18:]
+    data[:, 8:16] = np.stack([np.arange(300), np.full(300, 50)], axis=1).astype("<u4").view(np.uint8)
+    p = rng.integers(0, 5, 300)
+    whole = suffixes._settle_blocks(data, p)
+    monkeypatch.setattr(suffixes, "BLOCK_ROWS", 20)
+    lots = suffixes._settle_blocks(data, p)
+    rows = lambda r: sorted((int(o), *map(int, c)) for c, o in zip(*r))
+    assert rows(whole) == rows(lots) and rows(whole)
+
+
 def test_cut_pieces_change_nothing(spark, monkeypatch):
     import numpy as np
 
