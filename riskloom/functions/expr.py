@@ -89,9 +89,9 @@ def drop_missing(df: DataFrame, column: str) -> DataFrame:
 
 
 def decide(probability: Column, threshold: float | Column) -> Column:
-    """1 at or above the threshold, else 0."""
+    """1 at or above the threshold, else 0; a missing probability reaches none."""
     limit = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    return (probability >= limit).cast("int")
+    return F.coalesce(probability >= limit, F.lit(False)).cast("int")
 
 
 def decision_label(probability: Column, threshold: float | Column) -> Column:

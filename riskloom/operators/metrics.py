@@ -20,14 +20,18 @@ N_THRESHOLDS = 101
 
 
 def confusion(df: DataFrame, keys: Sequence[str] = (), y: str = "y", y_hat: str = "y_hat") -> DataFrame:
-    """``(keys..., tn, fp, fn, tp, n)``; one row per key, zero cells kept."""
-    t, p = F.col(y) == 1, F.col(y_hat) == 1
+    """``(keys..., tn, fp, fn, tp, n)``; one row per key, zero cells kept.
+
+    A missing decision counts as 0, since a missing score reaches no threshold. A row without a
+    label is in no cell and not in ``n``.
+    """
+    t, p = F.col(y) == 1, F.coalesce(F.col(y_hat) == 1, F.lit(False))
     return df.groupBy(*keys).agg(
         F.count_if(~t & ~p).alias("tn"),
         F.count_if(~t & p).alias("fp"),
         F.count_if(t & ~p).alias("fn"),
         F.count_if(t & p).alias("tp"),
-        F.count("*").alias("n"),
+        F.count(F.col(y)).alias("n"),
     )
 
 
@@ -61,10 +65,14 @@ def threshold_value(k: Column) -> Column:
 
 
 def threshold_index(p: Column) -> Column:
-    """Largest k with ``k * 0.01 <= p``: the floor, moved by one where rounding crossed an edge."""
+    """Largest k with ``k * 0.01 <= p``: the floor, moved by one where rounding crossed an edge.
+
+    -1 for a missing score, which is below every threshold.
+    """
+    p = F.when(~F.isnan(p), p)
     k = F.floor(p * 100).cast("int")
     k = F.when(threshold_value(k + 1) <= p, k + 1).when(threshold_value(k) > p, k - 1).otherwise(k)
-    return F.least(k, F.lit(N_THRESHOLDS - 1))
+    return F.when(k.isNull(), -1).otherwise(F.least(k, F.lit(N_THRESHOLDS - 1)))
 
 
 def cost_curve(
@@ -72,7 +80,8 @@ def cost_curve(
 ) -> DataFrame:
     """Cost at 101 thresholds from one pass: rows are counted by the last threshold they reach.
 
-    ``p`` may lie outside [0, 1]; such rows are above or below every threshold.
+    ``p`` may lie outside [0, 1]; such rows are above or below every threshold. A missing ``p`` is
+    below every threshold, and a row without a label is left out.
     """
     keys = list(keys)
     reached = F.greatest(threshold_index(F.col(p)), F.lit(-1)).alias("k")
@@ -114,10 +123,13 @@ def optimal_threshold(
 
 
 def roc_auc(df: DataFrame, keys: Sequence[str] = (), y: str = "y", p: str = "p", row_limit: int = ROW_LIMIT) -> DataFrame:
-    """Exact tie-aware AUC; NULL when a key has one class only."""
+    """Exact tie-aware AUC; NULL when a key has one class only.
+
+    Missing scores are the lowest and tie with each other; rows without a label are left out.
+    """
     keys = list(keys)
     by = keys or ["_all"]
-    rows = df.select(
+    rows = df.where(F.col(y).isNotNull()).select(
         *([F.col(k) for k in keys] or [F.lit(0).alias("_all")]),
         F.col(p).alias("p"),
         (F.col(y) == 1).cast("long").alias("pos"),

@@ -46,7 +46,8 @@ def running_totals(
 ) -> DataFrame:
     """One row per ``(keys, order)`` with summed measures and inclusive ``cum_*`` prefix sums per key.
 
-    Equal order values are merged before the shuffle. Keys with more rows than ``row_limit`` are
+    A missing order value comes first, as a value of its own. Equal order values are merged before
+    the shuffle. Keys with more rows than ``row_limit`` are
     summed in two levels: inside each range, plus the total of the ranges before it.
     """
     keys = list(keys)
@@ -56,10 +57,11 @@ def running_totals(
     if largest <= row_limit:
         upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return merged.select(*keys, order, *measures, *[F.sum(m).over(upto).alias(f"cum_{m}") for m in measures])
-    ranged = merged.join(sketch, keys).withColumn("_r", range_index(F.col(order), F.col("_cuts"))).drop("_cuts", "_n")
+    place = F.coalesce(range_index(F.col(order), F.col("_cuts")), F.lit(-1))
+    ranged = merged.join(sketch, keys).withColumn("_r", place).drop("_cuts", "_n")
     inner = Window.partitionBy(*keys, "_r").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.join(sketch, keys).withColumn("_r", range_index(F.col(order), F.col("_cuts")))
+    totals = rows.join(sketch, keys).withColumn("_r", place)
     totals = totals.groupBy(*keys, "_r").agg(*[F.sum(m).alias(m) for m in measures])
     offsets = small_table(
         totals.select(*keys, "_r", *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_o_{m}") for m in measures])

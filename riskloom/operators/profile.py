@@ -11,11 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.functions.expr import col, columns_of_kind, top_n, unpivot_numeric
-from riskloom.functions.session import local_table, small_table
+from riskloom.functions.session import local_table, ship, small_table
 from riskloom.operators.ordering import ROW_LIMIT, bin_counts, exact_quantiles
 
-_WIDE_FROM = 12
-
 
 def target_distribution(df: DataFrame, target: str, keep_null: bool = True) -> DataFrame:
     """Rows per class; the NULL class is a row of its own unless ``keep_null`` is off."""
@@ -23,54 +21,31 @@ def target_distribution(df: DataFrame, target: str, keep_null: bool = True) -> D
     return rows.groupBy(col(target).alias("target")).agg(F.count("*").alias("n"))
 
 
-def _pearson(a: str, b: str) -> Column:
-    """Aggregate: correlation over the rows that have both values; NULL when one of them is constant.
-
-    The built-in ``corr`` divides by zero there, which is an error in ANSI mode.
-    """
-    both = col(a).isNotNull() & col(b).isNotNull()
-    x, y = (F.when(both, col(c).cast("double")) for c in (a, b))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
-def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None, wide_from: int = _WIDE_FROM) -> DataFrame:
+def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Full Pearson matrix in long form ``(row, col, i, j, corr)``; pairs with a null are left out pairwise.
 
-    Few columns are one aggregate over all pairs. From ``wide_from`` columns on that aggregate
-    would be thousands of expressions, so each task adds up the pair sums of its rows as matrix
-    products and the sums are merged.
+    Each task adds up the pair sums of its rows, shifted by the column means, as matrix products,
+    and the sums are merged. A constant column has no correlation.
     """
     columns = list(columns or columns_of_kind(df))
     spark = df.sparkSession
-    if len(columns) >= wide_from:
-        sums = small_table(_pair_sums(df, columns), 10 * len(columns) ** 2)
-        vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
-        vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-        cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
-        corr = F.when((vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy")), F.try_divide(cov, F.sqrt(vx * vy)))
-        values = sums.where("n > 0").select("i", "j", corr.alias("corr"))
-        names = local_table(spark, list(enumerate(columns)), "k int, name string")
-        grid = names.select(F.col("k").alias("i"), F.col("name").alias("row"), F.explode(F.sequence(F.lit(0), F.lit(len(columns) - 1))).alias("j"))
-        grid = grid.join(names.select(F.col("k").alias("j"), F.col("name").alias("col")), "j")
-        return grid.join(values, ["i", "j"], "left").select("row", "col", "i", "j", "corr")
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1)]
-    cells = []
-    for i, j in pairs:
-        for a, b in {(i, j), (j, i)}:
-            cells.append(
-                F.struct(
-                    F.lit(columns[a]).alias("row"),
-                    F.lit(columns[b]).alias("col"),
-                    F.lit(a).alias("i"),
-                    F.lit(b).alias("j"),
-                    F.col(f"c_{i}_{j}").alias("corr"),
-                )
-            )
-    return df.agg(*[_pearson(columns[i], columns[j]).alias(f"c_{i}_{j}") for i, j in pairs]).select(F.inline(F.array(*cells)))
+    sums = small_table(_pair_sums(df, columns))
+    vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
+    vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    varies = (vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy"))
+    corr = F.when(varies & (F.col("i") == F.col("j")), 1.0).when(varies, F.try_divide(cov, F.sqrt(vx * vy)))
+    corr = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), corr))
+    values = sums.where("n > 0").select("i", "j", F.when(varies, corr).alias("corr"))
+    names = local_table(spark, list(enumerate(columns)), "k int, name string")
+    grid = names.select(F.col("k").alias("i"), F.col("name").alias("row"), F.explode(F.sequence(F.lit(0), F.lit(len(columns) - 1))).alias("j"))
+    grid = grid.join(names.select(F.col("k").alias("j"), F.col("name").alias("col")), "j")
+    return grid.join(values, ["i", "j"], "left").select("row", "col", "i", "j", "corr")
 
 
 def _pair_sums(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(i, j, n, sx, sy, sxx, syy, sxy)`` over rows having both values, shifted by the column means."""
+    ship(df.sparkSession)
     picked = df.select(*[col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
     means = picked.agg(*[F.avg(c).alias(c) for c in picked.columns]).first()
     shift = np.array([0.0 if means[k] is None else means[k] for k in range(len(columns))])

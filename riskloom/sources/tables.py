@@ -85,8 +85,9 @@ def create_database(tables: Mapping[str, DataFrame], path: str) -> list[str]:
 class Database:
     """Parquet tables under one folder, queried with SQL, with optional materialised results.
 
-    A materialised result is stored under a digest of the source folder, the caller's key and the
-    SQL text, so two sources or two queries never share a file.
+    A materialised result is stored under a digest of the source folder and its files, the caller's
+    key and the SQL text: two sources or two queries never share a file, and a table that was
+    written anew is queried anew.
     """
 
     def __init__(self, spark: SparkSession, path: str, suffix: str = ""):
@@ -114,9 +115,25 @@ class Database:
         return normalise_missing(self.spark.read.parquet(f"{self.path}/{file_name}"))
 
     def table_names(self) -> list[str]:
-        listed = {t.name.lower() for t in self.spark.catalog.listTables()}
+        """The registered tables whose view still exists."""
+        listed = {r["viewName"].lower() for r in self.spark.sql("SHOW VIEWS").collect()}
         return [v for v in self._views if v.lower() in listed]
 
+    def _state(self) -> str:
+        """Names, sizes and times of the source's files: another state, another result."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+        seen = []
+        while files.hasNext():
+            f = files.next()
+            seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        return repr(sorted(seen))
+
+    def _results(self) -> str:
+        """Folder of this source's materialised results, whichever instance wrote them."""
+        return f"{work_dir(self.spark)}/results/{hashlib.sha256(self.path.encode()).hexdigest()[:24]}"
+
     def columns(self, name: str) -> list[str]:
         """Column template; read from the schema, no job."""
         return self._frame(name + self.suffix).columns
@@ -133,24 +150,24 @@ class Database:
         if cache_key is None:
             return df
         canonical = " ".join(sql.split()) + repr(sorted((args or {}).items()))
-        digest = hashlib.sha256(f"{self.path}\x00{cache_key}\x00{canonical}".encode()).hexdigest()[:24]
+        digest = hashlib.sha256(f"{self._state()}\x00{cache_key}\x00{canonical}".encode()).hexdigest()[:24]
         label = re.sub(r"[^0-9A-Za-z_-]", "", cache_key)[:40]
-        path = f"{work_dir(self.spark)}/results/{label}-{digest}"
+        path = f"{self._results()}/{label}-{digest}"
         if digest not in self._cached:
+            for view in self._views:
+                self._frame(view + self.suffix).createOrReplaceTempView(view)
+            df = self.spark.sql(sql, args=dict(args)) if args else self.spark.sql(sql)
             if not _path_exists(self.spark, f"{path}/_SUCCESS"):
                 df.write.mode("overwrite").parquet(path)
             self._cached[digest] = self.spark.read.schema(df.schema).parquet(path)
         return self._cached[digest]
 
     def clear_cache(self) -> int:
-        """Forget the materialised results and delete their files; returns how many were dropped."""
+        """Delete the materialised results of this source, of all instances; returns how many there were."""
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        n = 0
-        for df in self._cached.values():
-            folder = jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None
-            if folder is not None:
-                folder.getFileSystem(conf).delete(folder, True)
-            n += 1
+        folder = jvm.org.apache.hadoop.fs.Path(self._results())
+        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        n = len(fs.listStatus(folder)) if fs.exists(folder) else 0
+        fs.delete(folder, True)
         self._cached.clear()
         return n

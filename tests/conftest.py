@@ -12,9 +12,7 @@ from oracle_check import make_spark  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = make_spark(os.environ.get("TEST_CPUS", "8"), "riskloom-tests")
-    # Tiny inputs: compiling a plan costs more than running it.
+    # Tiny inputs: a task costs more than its rows.
     session.conf.set("spark.sql.shuffle.partitions", "3")
-    session.conf.set("spark.sql.codegen.wholeStage", "false")
-    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     yield session
     session.stop()
