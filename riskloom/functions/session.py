@@ -17,6 +17,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 # Largest parameter table that is pulled to the driver and broadcast.
 SMALL_TABLE_ROWS = 20_000
 
+# Bytes of an Arrow batch on its way to a Python worker: Spark's default and what replaces it.
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_DEFAULT, _BATCH_BYTES = "67108864b", "8m"
+
 _local_dir: str | None = None
 
 
@@ -49,9 +53,12 @@ def ship(spark: SparkSession) -> None:
 
     Functions that run inside tasks are pickled by reference, so workers have to be able to import
     the package wherever the driver was started. The sources are zipped and handed to Spark's own
-    file distribution; an executor that joins later fetches the same file.
+    file distribution; an executor that joins later fetches the same file. Where the session has the
+    default size of Arrow batches, it is lowered, so that long texts do not fill the workers.
     """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH_CONF) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, _BATCH_BYTES)
     if getattr(sc, "_riskloom_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
