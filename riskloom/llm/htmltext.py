@@ -31,7 +31,7 @@ SAMPLE_PAGES = 150
 SAMPLE_BYTES = 60_000
 ROUNDS = 25
 # Output rows are handed on in batches of about this many bytes.
-OUT_BYTES = 8 << 20
+OUT_BYTES = 4 << 20
 
 # Element names of HTML.
 # Raw elements that swallow the rest of the page if they are never closed.

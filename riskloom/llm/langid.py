@@ -34,7 +34,7 @@ ROWS_PER_LANGUAGE = 700
 MAX_LANGUAGES = 200
 MAX_TEXT_BYTES = 20_000
 # Characters handled at a time.
-PIECE_CHARS = 1 << 19
+PIECE_CHARS = 1 << 16
 # A small sample is gone through more often, up to this many steps.
 LEAST_STEPS = 1500
 

@@ -39,7 +39,7 @@ MEMO_CHARS = 48
 SHORT = 24
 NEVER = 1 << 62
 # Output rows are handed on in batches of about this many bytes.
-OUT_BYTES = 8 << 20
+OUT_BYTES = 4 << 20
 
 
 class PieceModel:

@@ -38,11 +38,11 @@ from riskloom.llm.ranges import MAX_RANGES, range_cuts, range_of
 LENGTH = 100
 GRAM = 24
 # Bytes of text in a range, and blocks of one gram above which its strings are dealt singly.
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 4 << 20
 HOT = 1500
 # Strings handled at a time within a range, and contested blocks within a bucket.
-PIECE = 1 << 18
-BLOCK_ROWS = 8000
+PIECE = 1 << 17
+BLOCK_ROWS = 4000
 
 _U = np.uint64
 _MASK = (1 << 64) - 1
@@ -122,6 +122,7 @@ class _Range:
     """The documents of a range in corpus order, laid end to end."""
 
     def __init__(self, docs: pa.Table) -> None:
+        pa.default_memory_pool().release_unused()  # what the group before has left
         order = pc.sort_indices(docs, sort_keys=[("_id", "ascending"), ("_text", "ascending")], null_placement="at_start")
         self.docs = docs.take(order)
         texts = self.docs.column("_text").to_pylist()
@@ -146,7 +147,8 @@ class _Range:
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return (((hashes >> _U(32)) * _U(buckets)) >> _U(32)).astype(np.int64)
+    """Even buckets; cover grams have the smallest hashes around, so they are mixed once more."""
+    return (((_mix(hashes * _U(_SECOND)) >> _U(32)) * _U(buckets)) >> _U(32)).astype(np.int64)
 
 
 def _packed(bucket: np.ndarray, p: np.ndarray | int, kind: int, rows: np.ndarray) -> pa.Table:
@@ -164,7 +166,7 @@ def _packed(bucket: np.ndarray, p: np.ndarray | int, kind: int, rows: np.ndarray
 def _unpacked(rows: pa.Table, kind: int, dtype, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The rows of a kind and the range each came from."""
     picked = rows.filter(pc.equal(rows.column("_kind"), kind))
-    parts = [np.frombuffer(d.as_py(), dtype).reshape(-1, width) for d in picked.column("_data")]
+    parts = [np.frombuffer(d.as_buffer(), dtype).reshape(-1, width) for d in picked.column("_data")]
     if not parts:
         return np.empty((0, width), dtype), np.empty(0, np.int64)
     p = picked.column("_p").to_numpy()
@@ -316,6 +318,7 @@ def _settle():
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
+        pa.default_memory_pool().release_unused()
         out = [rows.filter(pc.equal(rows.column("_kind"), COVER)).select(_PACKED.names)]
         data, p = _unpacked(rows, BLOCKS, np.uint8, _BLOCK_BYTES)
         if len(data):
