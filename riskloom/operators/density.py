@@ -18,7 +18,7 @@ DEFAULT_EPS = 0.5
 
 
 def choose_eps(
-    df: DataFrame, id_col: str, features: str, min_samples: int = 5, n_neighbors: int = 10, sample_size: int = 10_000, seed: int = 42
+    df: DataFrame, id_col: str, features: str, min_samples: int = 5, n_neighbors: int = 10, sample_size: int | None = None, seed: int = 42
 ) -> float:
     """eps at the knee of the k-distance curve, 0.5 when there is none."""
     curve = k_distances(df, id_col, features, min_samples, n_neighbors, sample_size, seed)

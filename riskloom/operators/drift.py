@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.functions.expr import align_common, col, columns_of_kind, drift_status, unpivot_numeric
-from riskloom.functions.session import local_table, small_table
+from riskloom.functions.session import local_table, ship, small_table
 from riskloom.functions.special import chi_square_tail_udf, exact_ks_tail_udf, kolmogorov_tail
 from riskloom.operators.ordering import N_CUTS, ROW_LIMIT, bin_counts, cut_points, in_segment, range_index
 
@@ -129,6 +129,7 @@ def ks_test(
         raise ValueError("p_method must be 'auto' or 'asymptotic'")
     if nan_policy not in ("propagate", "omit"):
         raise ValueError("nan_policy must be 'propagate' or 'omit'")
+    ship(reference.sparkSession)
     stats = ks_statistics(reference, current, features, row_limit)
     a, b = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
     p = kolmogorov_tail(F.sqrt(F.try_divide(a * b, a + b)) * F.col("d"))
@@ -175,6 +176,7 @@ def chi_square_test(reference: DataFrame, current: DataFrame, features: Sequence
     The correction moves each cell by at most one half and never past its expectation. One
     category gives p = 1; an empty side is inconclusive.
     """
+    ship(reference.sparkSession)
     counts = category_counts(reference, current, features)
     totals = small_table(
         counts.groupBy("feature").agg(

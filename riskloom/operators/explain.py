@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.expr import col, feature_label, top_n
-from riskloom.functions.session import work_dir
+from riskloom.functions.session import ship, work_dir
 
 
 def _doubles(values: Sequence[float]) -> Column:
@@ -154,6 +154,7 @@ def tree_contributions(model, df: DataFrame, features: str = "x", output: str =
     leaves are model-sized and copied to the tasks; rows are handled in Arrow batches.
     """
     spark = df.sparkSession
+    ship(spark)
     is_forest = "RandomForest" in type(model).__name__
     weights = [1.0 / len(model.trees)] * len(model.trees) if is_forest else [2.0 * w for w in model.treeWeights]
     cover = F.aggregate("impurityStats", F.lit(0.0), lambda s, v: s + v) if is_forest else F.get("impurityStats", F.lit(0))

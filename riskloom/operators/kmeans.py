@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from riskloom.functions.expr import col
@@ -89,9 +86,9 @@ def assign_nearest(df: DataFrame, features: str, centres: DataFrame, output: str
 
 
 def elbow(
-    df: DataFrame, id_col: str, features: str, ks: Sequence[int] = range(2, 9), sample_size: int = 20_000, seed: int = 42
+    df: DataFrame, id_col: str, features: str, ks: Sequence[int] = range(2, 9), sample_size: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """``(k, inertia, silhouette)``: cost on all rows, mean silhouette on a stratified sample, 0 for k = 1."""
+    """``(k, inertia, silhouette)``: cost on all rows, mean silhouette (of a sample if asked for), 0 for k = 1."""
     rows = materialise(df.select(id_col, F.col(features).cast("array<double>").alias("x")), "elbow")
     out = []
     for k in ks:
@@ -108,18 +105,12 @@ def elbow(
 
 
 def centroid_distances(spark: SparkSession, centres: DataFrame) -> DataFrame:
-    """``(cluster_a, cluster_b, distance)`` for a < b over at most 2000 centres."""
-    rows = _collected(centres)
-    out = []
-    for i, a in enumerate(rows):
-        for b in rows[i + 1 :]:
-            gap = np.asarray(a["centre"]) - np.asarray(b["centre"])
-            out.append((a["cluster"], b["cluster"], math.sqrt(float((gap * gap).sum()))))
-    kind = centres.schema["cluster"].dataType
-    schema = T.StructType(
-        [T.StructField("cluster_a", kind), T.StructField("cluster_b", kind), T.StructField("distance", T.DoubleType())]
-    )
-    return local_table(spark, out, schema)
+    """``(cluster_a, cluster_b, distance)`` for a < b: all pairs of centres are the result itself."""
+    kept = materialise(centres.select("cluster", "centre"), "centres")
+    a, b = (kept.select(F.col("cluster").alias(f"cluster_{n}"), F.col("centre").alias(f"x_{n}")) for n in "ab")
+    squares = F.zip_with("x_a", "x_b", lambda p, q: (p - q) * (p - q))
+    distance = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, v: s + v))
+    return a.join(b, F.col("cluster_a") < F.col("cluster_b")).select("cluster_a", "cluster_b", distance.alias("distance"))
 
 
 def centroid_sizes(centres: DataFrame) -> DataFrame:

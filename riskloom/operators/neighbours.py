@@ -1,23 +1,27 @@
-"""Exact pairwise work on a bounded sample: silhouettes and k-distances.
+"""Exact pairwise work: silhouettes and k-distances.
 
-Both need every pair of the sample. The sample is copied to the tasks and its rows are spread over
-them, so a task compares its own rows with the sample in blocks; no pair is ever emitted.
+Both need every pair of rows. Rows are cut into blocks, each pair of blocks meets in one group of a
+cogroup, and only sums or nearest distances per row leave it: no pair is ever emitted and nothing
+passes through the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from riskloom.functions.session import ship
+from riskloom.functions.session import materialise, ship
 from riskloom.operators import sampling
+from riskloom.operators.ordering import running_totals
 
-MAX_SAMPLE = 50_000
-_BLOCK = 32
+# Rows of a block, and rows compared at a time within a pair of blocks.
+BLOCK_ROWS = 4_000
+_STEP = 32
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -32,67 +36,75 @@ def distances(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def silhouette_values(points: np.ndarray, labels: np.ndarray, rows: slice = slice(None)) -> np.ndarray:
-    """(b - a) / max(a, b) for the given rows against all points; 0 for a cluster of one."""
-    names, code = np.unique(labels, return_inverse=True)
-    sizes = np.bincount(code, minlength=len(names))
-    member = np.zeros((len(points), len(names)))
-    member[np.arange(len(points)), code] = 1.0
-    mine = code[rows]
-    out = np.zeros(len(mine))
-    part = points[rows]
-    for start in range(0, len(part), _BLOCK):
-        stop = min(start + _BLOCK, len(part))
-        sums = distances(part[start:stop], points) @ member
-        own = mine[start:stop]
-        idx = np.arange(stop - start)
-        inner = sums[idx, own] / np.maximum(sizes[own] - 1, 1)
-        mean = sums / sizes
-        mean[idx, own] = np.inf
-        outer = mean.min(axis=1)
-        top = np.maximum(inner, outer)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            value = np.where(top > 0, (outer - inner) / top, 0.0)
-        out[start:stop] = np.where((sizes[own] > 1) & np.isfinite(outer), value, 0.0)
-    return out
-
-
-def _checked(sample: DataFrame) -> pd.DataFrame:
-    pdf = sample.limit(MAX_SAMPLE + 1).toPandas()
-    if len(pdf) > MAX_SAMPLE:
-        raise ValueError(f"pairwise work is limited to {MAX_SAMPLE} rows; give a sample_size")
-    return pdf
+def block_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_ROWS):
+    """Both tables cut into blocks by a hash of ``id``, every block of one met with every block of the other.
+
+    Returns a cogrouped pair for ``applyInPandas``, one group for each ``(keys, _i, _j)``. Rows are
+    copied once per block of the other side, so a task never holds more than two blocks.
+    """
+    ship(left.sparkSession)
+    sizes = [df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0 for df in (left, right)]
+    n_left, n_right = (max(1, -(-n // block_rows)) for n in sizes)
+
+    def cut(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        mine = F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int").alias(own)
+        return df.select("*", mine, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other))
+
+    by = [*keys, "_i", "_j"]
+    return cut(left, "_i", n_left, "_j", n_right).groupBy(*by).cogroup(cut(right, "_j", n_right, "_i", n_left).groupBy(*by))
+
+
+def _silhouettes(rows: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
+    """``(keys..., id, cluster, silhouette)`` of ``(keys..., id, x, cluster)``; keys with one cluster are left out."""
+    keys = list(keys)
+    rows = materialise(rows.select(*keys, "id", "x", "cluster"), "points")
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in [*keys, "id", "cluster"]}
+    schema = ", ".join(f"{c} {kinds[c]}" for c in [*keys, "id", "cluster"]) + f", other {kinds['cluster']}, s double"
+    given = [*keys, "id", "cluster"]
+
+    def add_up(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        if not len(ours) or not len(theirs):
+            return pd.DataFrame({c: pd.Series(dtype="object") for c in [*given, "other", "s"]})
+        names, code = np.unique(theirs["cluster"].to_numpy(), return_inverse=True)
+        member = np.zeros((len(theirs), len(names)))
+        member[np.arange(len(theirs)), code] = 1.0
+        points, others = _matrix(ours["x"]), _matrix(theirs["x"])
+        sums = np.concatenate([distances(points[i : i + _STEP], others) @ member for i in range(0, len(points), _STEP)])
+        out = ours[given].loc[ours.index.repeat(len(names))].reset_index(drop=True)
+        return out.assign(other=np.tile(names, len(ours)), s=sums.ravel())
+
+    parts = block_pairs(rows, rows, keys, block_rows).applyInPandas(add_up, schema)
+    sizes = rows.groupBy(*keys, F.col("cluster").alias("other")).agg(F.count("*").alias("n"))
+    sums = parts.groupBy(*given, "other").agg(F.sum("s").alias("s")).join(sizes, [*keys, "other"])
+    own = F.col("other") == F.col("cluster")
+    means = sums.groupBy(*given).agg(
+        F.max(F.when(own & (F.col("n") > 1), F.col("s") / (F.col("n") - 1))).alias("a"),
+        F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"),
+    )
+    value = F.when(F.col("a").isNull(), 0.0).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    return means.where("b IS NOT NULL").select(*given, value.alias("silhouette"))
 
 
 def silhouette_samples(
-    df: DataFrame, id_col: str, features: str, label: str, sample_size: int | None = 20_000, drop_noise: bool = False, seed: int = 42
+    df: DataFrame,
+    id_col: str,
+    features: str,
+    label: str,
+    sample_size: int | None = None,
+    drop_noise: bool = False,
+    seed: int = 42,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``(id, cluster, silhouette)`` per sampled point, exact Euclidean.
+    """``(id, cluster, silhouette)`` per point, exact Euclidean; empty if there is one cluster only.
 
-    Up to ``sample_size`` rows are taken in proportion to the clusters. ``drop_noise`` leaves out
-    label -1. ``features`` is an array column.
+    All rows, unless ``sample_size`` asks for a sample in proportion to the clusters. ``drop_noise``
+    leaves out label -1. ``features`` is an array column; ids have to be unique.
     """
     rows = df.where(F.col(label) != -1) if drop_noise else df
     rows = rows.select(F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("x"), F.col(label).alias("cluster"))
     if sample_size is not None:
         rows = sampling.stratified_sample(rows, "id", "cluster", sample_size, seed)
-    pdf = _checked(rows).sort_values("id", kind="stable").reset_index(drop=True)
-    spark = df.sparkSession
-    if pdf["cluster"].nunique() < 2:
-        return rows.limit(0).select(F.col("id").alias(id_col), "cluster", F.lit(None).cast("double").alias("silhouette"))
-    points, labels = _matrix(pdf["x"]), pdf["cluster"].to_numpy()
-    shared = spark.sparkContext.broadcast((points, labels))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        all_points, all_labels = shared.value
-        for b in batches:
-            idx = b["pos"].to_numpy()
-            yield pd.DataFrame({"pos": idx, "silhouette": silhouette_values(all_points, all_labels, idx)})
-
-    step = spark.range(0, len(pdf), 1, spark.sparkContext.defaultParallelism).withColumnRenamed("id", "pos")
-    scored = step.mapInPandas(score, "pos long, silhouette double")
-    keys = spark.createDataFrame(pd.DataFrame({"pos": np.arange(len(pdf)), id_col: pdf["id"], "cluster": pdf["cluster"]}))
-    return scored.join(keys, "pos").select(id_col, "cluster", "silhouette")
+    return _silhouettes(rows, [], block_rows).withColumnRenamed("id", id_col)
 
 
 def mean_silhouette(samples: DataFrame) -> DataFrame:
@@ -106,59 +118,56 @@ def mean_silhouette(samples: DataFrame) -> DataFrame:
 
 
 def k_distances(
-    df: DataFrame, id_col: str, features: str, min_samples: int = 5, n_neighbors: int = 10, sample_size: int | None = 10_000, seed: int = 42
+    df: DataFrame,
+    id_col: str,
+    features: str,
+    min_samples: int = 5,
+    n_neighbors: int = 10,
+    sample_size: int | None = None,
+    seed: int = 42,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``(idx, id, distance)``: distance to the ``min_samples``-th neighbour, itself included, falling.
 
-    Taken on a sample of at most ``sample_size`` rows.
+    All rows, unless ``sample_size`` asks for a sample. Each pair of blocks gives the nearest
+    distances of its rows, and these are merged per row; places along the curve come from prefix
+    sums, not from one sorted task.
     """
     if n_neighbors < min_samples:
         raise ValueError("n_neighbors must be at least min_samples")
     rows = df.select(F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("x"))
     if sample_size is not None:
         rows = sampling.sample_rows(rows, "id", sample_size, seed)
-    pdf = _checked(rows).sort_values("id", kind="stable").reset_index(drop=True)
-    if len(pdf) < n_neighbors:
+    rows = materialise(rows, "points")
+    if rows.limit(n_neighbors).count() < n_neighbors:
         raise ValueError("fewer rows than neighbours asked for")
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((_matrix(pdf["x"]), pdf["id"].to_numpy()))
-    kth = min_samples - 1
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        points, ids = shared.value
-        for b in batches:
-            idx = b["pos"].to_numpy()
-            out = np.empty(len(idx))
-            for start in range(0, len(idx), _BLOCK):
-                block = distances(points[idx[start : start + _BLOCK]], points)
-                out[start : start + _BLOCK] = np.partition(block, kth, axis=1)[:, kth]
-            yield pd.DataFrame({"id": ids[idx], "distance": out})
-
     id_type = df.schema[id_col].dataType.simpleString()
-    step = spark.range(0, len(pdf), 1, spark.sparkContext.defaultParallelism).withColumnRenamed("id", "pos")
-    measured = step.mapInPandas(measure, f"id {id_type}, distance double")
-    order = F.row_number().over(_falling())
-    return measured.select((order - 1).alias("idx"), F.col("id").alias(id_col), "distance")
-
 
-def _falling():
-    from pyspark.sql.window import Window
-
-    return Window.orderBy(F.col("distance").desc(), F.col("id"))
-
-
-def group_silhouettes(df: DataFrame, keys: Sequence[str], features: str, label: str) -> DataFrame:
-    """``(keys..., silhouette)``: mean silhouette of each group of a bounded sample; 0 below two clusters.
-
-    Every group must already be a bounded sample: it is scored in one task.
-    """
-    schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys) + ", silhouette double"
+    def nearest(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        if not len(ours) or not len(theirs):
+            return pd.DataFrame({"id": pd.Series(dtype="object"), "near": pd.Series(dtype="object")})
+        points, others = _matrix(ours["x"]), _matrix(theirs["x"])
+        keep = min(min_samples, len(others))
+        near: list[np.ndarray] = []
+        for start in range(0, len(points), _STEP):
+            block = distances(points[start : start + _STEP], others)
+            near += list(np.partition(block, keep - 1, axis=1)[:, :keep])
+        return pd.DataFrame({"id": ours["id"], "near": near})
+
+    parts = block_pairs(rows, rows, [], block_rows).applyInPandas(nearest, f"id {id_type}, near array<double>")
+    merged = parts.groupBy("id").agg(F.sort_array(F.flatten(F.collect_list("near"))).alias("near"))
+    measured = materialise(merged.select("id", F.element_at("near", min_samples).alias("distance"), F.lit(1).alias("one")), "curve")
+    falling = measured.withColumn("key", -F.col("distance"))
+    upto = running_totals(falling.withColumn("_all", F.lit(0)), ["_all"], "key", ["one"]).select("key", (F.col("cum_one") - F.col("one")).alias("before"))
+    tie = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    placed = falling.join(upto, "key").withColumn("idx", (F.col("before") + tie - 1).cast("int"))
+    return placed.select("idx", F.col("id").alias(id_col), "distance")
+
+
+def group_silhouettes(df: DataFrame, keys: Sequence[str], features: str, label: str, id_col: str = "id", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``(keys..., silhouette)``: mean silhouette of each group; 0 below two clusters."""
     names = list(keys)
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        value = 0.0
-        if pdf[label].nunique() > 1:
-            value = float(silhouette_values(_matrix(pdf[features]), pdf[label].to_numpy()).mean())
-        return pd.DataFrame([[*pdf[names].iloc[0], value]], columns=[*names, "silhouette"])
-
-    return df.select(*names, F.col(features).cast("array<double>").alias(features), label).groupBy(*names).applyInPandas(score, schema)
+    rows = df.select(*names, F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("x"), F.col(label).alias("cluster"))
+    rows = materialise(rows, "groups")
+    means = _silhouettes(rows, names, block_rows).groupBy(*names).agg(F.avg("silhouette").alias("silhouette"))
+    return rows.select(*names).distinct().join(means, names, "left").na.fill(0.0, ["silhouette"])

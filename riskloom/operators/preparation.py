@@ -6,7 +6,7 @@ no join and no shuffle to the plan it sits in.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.expr import col, unpivot_numeric
-from riskloom.functions.session import small_table
+from riskloom.functions.session import materialise, small_table
+from riskloom.operators.neighbours import block_pairs
 from riskloom.operators.ordering import ROW_LIMIT, exact_quantiles
 
 MISSING_LEVEL = "missing"
 MAX_WIDE_LEVELS = 2_000
-MAX_DONORS = 100_000
 
 
 def presence_indicators(
@@ -223,57 +223,65 @@ class NeighbourImputer:
     """Mean of the ``k`` nearest donors that have the value, by distance over the shared features.
 
     Distance is ``(d / shared) * sum(diff^2)`` over the ``shared`` features present on both sides,
-    the order of the usual missing-aware Euclidean distance. Donors are a table the caller chooses
-    (whole train set, or an explicit sample of it). A donor table above ``MAX_DONORS`` rows is
-    refused rather than cut, since it is copied to every task.
+    the order of the usual missing-aware Euclidean distance; ties go to the smaller donor id. Donors
+    are a table the caller chooses (whole train set, or an explicit sample of it). Rows with gaps
+    and donors meet block by block, each pair of blocks gives the nearest donors it holds, and these
+    are merged per row: neither table passes through the driver or has to fit in a task.
     """
 
     columns: list[str]
-    donors: np.ndarray
-    means: np.ndarray
+    id_col: str
+    donors: DataFrame
+    means: list[float | None]
     k: int = 5
+    block_rows: int = 4_000
 
     @classmethod
     def fit(cls, donors: DataFrame, columns: Sequence[str], id_col: str, k: int = 5) -> NeighbourImputer:
-        picked = donors.select(col(id_col), *[col(c).cast("double") for c in columns])
-        n = picked.count()
-        if n > MAX_DONORS:
-            raise ValueError(f"{n} donors; sample at most {MAX_DONORS} rows first (sample_rows)")
-        pdf = picked.toPandas().sort_values(id_col, kind="stable")
-        data = pdf[list(columns)].to_numpy(dtype="float64")
-        have = ~np.isnan(data)
-        means = np.where(have.any(0), np.where(have, data, 0.0).sum(0) / np.maximum(have.sum(0), 1), np.nan)
-        return cls(list(columns), data, means, k)
+        picked = materialise(donors.select(col(id_col).alias("id"), *[col(c).cast("double").alias(c) for c in columns]), "donors")
+        means = picked.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+        return cls(list(columns), id_col, picked, list(means), k)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Fill the columns of every row; complete rows pass through untouched, without Python."""
-        spark = df.sparkSession
+        """Fill the columns of every row; complete rows pass through untouched. Ids have to be unique."""
+        columns, k = self.columns, self.k
         gaps = F.lit(False)
-        for c in self.columns:
+        for c in columns:
             gaps = gaps | col(c).isNull()
-        typed = df.withColumns({c: col(c).cast("double") for c in self.columns})
-        shared = spark.sparkContext.broadcast((self.donors, self.means))
-        columns, k = self.columns, self.k
-
-        def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            donors, means = shared.value
-            for pdf in batches:
-                data = pdf[columns].to_numpy(dtype="float64")
-                done = data.copy()
-                for start in range(0, len(data), 128):
-                    block = data[start : start + 128]
-                    dist = missing_aware_distance(block, donors)
-                    for j in range(len(columns)):
-                        need = np.flatnonzero(np.isnan(block[:, j]))
-                        has = np.flatnonzero(~np.isnan(donors[:, j]))
-                        for i in need:
-                            done[start + i, j] = nearest_mean(dist[i, has], donors[has, j], k, means[j])
-                pdf[columns] = done
-                yield pdf
-
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in typed.schema.fields])
-        filled = typed.where(gaps).mapInPandas(fill, schema)
-        return typed.where(~gaps).unionByName(filled)
+        typed = df.withColumns({c: col(c).cast("double") for c in columns})
+        asked = typed.where(gaps).select(col(self.id_col).alias("id"), *[col(c) for c in columns])
+        kinds = [x.schema["id"].dataType.simpleString() for x in (asked, self.donors)]
+        near = f"array<struct<d: double, donor: {kinds[1]}, v: double>>"
+
+        def nearest(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+            rows: list[tuple] = []
+            theirs = theirs.sort_values("id", kind="stable")
+            data, donors = (p[columns].to_numpy(dtype="float64") for p in (ours, theirs))
+            names, ids = theirs["id"].to_numpy(), ours["id"].to_numpy()
+            for start in range(0, len(data) if len(donors) else 0, 128):
+                block = data[start : start + 128]
+                dist = missing_aware_distance(block, donors)
+                for j in range(len(columns)):
+                    need = np.flatnonzero(np.isnan(block[:, j]))
+                    has = np.flatnonzero(~np.isnan(donors[:, j]))
+                    if not len(need) or not len(has):
+                        continue
+                    order = np.argsort(dist[np.ix_(need, has)], axis=1, kind="stable")[:, :k]
+                    for i, best in zip(need, has[order]):
+                        found = [(float(dist[i, b]), names[b], float(donors[b, j])) for b in best if not np.isnan(dist[i, b])]
+                        rows.append((ids[start + i], j, found))
+            return pd.DataFrame(rows, columns=["id", "j", "near"])
+
+        parts = block_pairs(asked, self.donors, [], self.block_rows).applyInPandas(nearest, f"id {kinds[0]}, j int, near {near}")
+        merged = parts.groupBy("id", "j").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
+        mean = F.aggregate("near", F.lit(0.0), lambda s, x: s + x["v"]) / F.size("near")
+        found = merged.where(F.size("near") > 0).groupBy("id").agg(
+            *[F.max(F.when(F.col("j") == j, mean)).alias(f"_f{j}") for j in range(len(columns))]
+        )
+        key = F.col("id").alias("_id")
+        filled = typed.where(gaps).join(found.select(key, *[f"_f{j}" for j in range(len(columns))]), col(self.id_col) == F.col("_id"), "left")
+        values = {c: F.coalesce(col(c), F.col(f"_f{j}"), F.lit(self.means[j])) for j, c in enumerate(columns)}
+        return typed.where(~gaps).unionByName(filled.withColumns(values).select(*map(col, df.columns)))
 
 
 def missing_aware_distance(rows: np.ndarray, donors: np.ndarray) -> np.ndarray:
@@ -287,14 +295,3 @@ def missing_aware_distance(rows: np.ndarray, donors: np.ndarray) -> np.ndarray:
         shared += ok
     with np.errstate(divide="ignore", invalid="ignore"):
         return np.where(shared > 0, total * rows.shape[1] / shared, np.nan)
-
-
-def nearest_mean(dist: np.ndarray, values: np.ndarray, k: int, fallback: float) -> float:
-    ok = np.flatnonzero(~np.isnan(dist))
-    if len(ok) == 0:
-        return float(fallback)
-    if len(ok) > k:
-        edge = np.partition(dist[ok], k - 1)[k - 1]
-        ok = ok[dist[ok] <= edge]
-        ok = ok[np.argsort(dist[ok], kind="stable")][:k]
-    return float(values[ok].mean())

@@ -150,7 +150,7 @@ def kmeans_labels(spark: SparkSession, sf: str) -> DataFrame:
 def kmeans_elbow(spark: SparkSession, sf: str) -> DataFrame:
     emb = materialise(_embeddings(spark, sf), "emb")
     pc = reduction.Components.fit(emb, "x", 3).transform(emb, "x")
-    return kmeans.elbow(pc, "vec_id", "pc", range(1, 5))
+    return kmeans.elbow(pc, "vec_id", "pc", [1, *range(2, 9)])
 
 
 @query("kmeans_importance")
@@ -160,7 +160,7 @@ def kmeans_importance(spark: SparkSession, sf: str) -> DataFrame:
     return kmeans.kmeans_importance(model, z, "app_id", "features", _SCALED)
 
 
-_KDIST = f"""{_EMB}, p AS (SELECT * FROM e ORDER BY md5(cast(vec_id AS varchar) || '|42') LIMIT 10000),
+_KDIST = f"""{_EMB}, p AS (SELECT * FROM e),
  kd AS (SELECT vec_id, d AS distance FROM (SELECT a.vec_id, list_distance(a.x[1:2], b.x[1:2]) AS d,
    row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x[1:2], b.x[1:2])) AS r FROM p a CROSS JOIN p b) WHERE r = 5)"""
 

@@ -135,6 +135,8 @@ def test_silhouettes(spark):
     df = spark.createDataFrame(rows, "id long, x array<double>, c int")
     got = neighbours.silhouette_samples(df, "id", "x", "c").orderBy("id").collect()
     np.testing.assert_allclose([r["silhouette"] for r in got], brute_silhouette(x, lab), atol=1e-12)
+    cut = neighbours.silhouette_samples(df, "id", "x", "c", block_rows=13).orderBy("id").collect()
+    np.testing.assert_allclose([r["silhouette"] for r in cut], brute_silhouette(x, lab), atol=1e-12)
     assert neighbours.silhouette_samples(df, "id", "x", "c", drop_noise=True).count() == 69
     assert neighbours.silhouette_samples(df, "id", "x", "c", sample_size=30).count() == 30
     assert neighbours.silhouette_samples(df.where("c = 0"), "id", "x", "c").count() == 0
@@ -146,6 +148,8 @@ def test_k_distance_counts_itself(spark):
     assert got[0] == 2.0 and got[5] == 1.0
     idx = [r["idx"] for r in neighbours.k_distances(df, "id", "x", 3, 10).orderBy(F.col("distance").desc(), "id").collect()]
     assert idx == list(range(12))
+    cut = {r["id"]: r["distance"] for r in neighbours.k_distances(df, "id", "x", 3, 10, block_rows=4).collect()}
+    assert cut == got
     with pytest.raises(ValueError):
         neighbours.k_distances(df, "id", "x", 11, 10)
 

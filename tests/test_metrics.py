@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from riskloom.functions.expr import decide
 from riskloom.operators import metrics as M
 
 
@@ -86,3 +88,17 @@ def test_score_zones(spark):
     got = M.score_distribution(preds(spark, [0, 1, 1], [0.0, 1.0, 0.5]), 0.45).collect()
     assert len(got) == 100 and sum(r["n"] for r in got) == 3
     assert {r["zone"] for r in got if r["bin"] < 20} == {"approve"}
+
+
+def test_missing_scores_and_labels(spark):
+    rows = [(1, None), (1, 0.2), (0, 0.9), (0, 0.1), (None, 0.7), (None, None)]
+    df = spark.createDataFrame(rows, "y int, p double")
+    curve = {round(r["threshold"], 2): r for r in M.cost_curve(df).collect()}
+    assert (curve[1.0]["fn"], curve[1.0]["fp"], curve[1.0]["cost"]) == (2, 0, 5.0)
+    assert curve[0.0]["fn"] == 1
+    decided = df.withColumn("y_hat", decide(F.col("p"), 0.5))
+    assert M.business_cost(decided).first()["cost"] == 5.25
+    assert [r["cost"] for r in M.business_cost(decided.withColumn("y_hat", F.when(F.col("p") >= 0.5, 1))).collect()] == [5.25]
+    assert curve[0.5]["cost"] == 5.25
+    for limit in (1_000, 1):
+        assert M.roc_auc(df, row_limit=limit).first()["auc"] == 0.25

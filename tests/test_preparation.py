@@ -60,11 +60,17 @@ def test_neighbours_fill(spark):
     assert got[4] == (9.0, 90.0) and len(got) == 6
 
 
-def test_too_many_donors_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(P, "MAX_DONORS", 3)
-    df = spark.range(5).select(F.col("id"), F.col("id").cast("double").alias("x"))
-    with pytest.raises(ValueError):
-        P.NeighbourImputer.fit(df, ["x"], "id")
+def test_blocks_do_not_change_what_is_filled(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, *[None if rng.random() < 0.25 else float(rng.integers(0, 6)) for _ in range(3)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    got = []
+    for block_rows in (4_000, 7):
+        imp = P.NeighbourImputer.fit(df, ["a", "b", "c"], "id", k=3)
+        imp.block_rows = block_rows
+        got.append(sorted(tuple(r) for r in imp.transform(df).collect()))
+    assert len(got[0]) == 60
+    np.testing.assert_allclose(np.array(got[0]), np.array(got[1]), atol=1e-12)
 
 
 def test_many_categories_only_as_a_vector(spark, monkeypatch):
