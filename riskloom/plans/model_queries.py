@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.expr import decide
 from riskloom.functions.session import materialise
 from riskloom.operators import explain, metrics, models, preparation, registry, sampling, scoring, search
 from riskloom.plans.apps import APPS_SQL, NUMERIC, PREDICTIONS_SQL, SCORED_SQL, applications, long_predictions, scored
@@ -73,6 +74,52 @@ def roc_auc(spark: SparkSession, sf: str) -> DataFrame:
     return with_micro(metrics.roc_auc(materialise(_preds(spark, sf), "predictions"), ["model"]), "auc")
 
 
+# Predictions of which some lack the score and some the label.
+_HOLES = f"""{PREDS}, holes AS (SELECT model, CASE WHEN app_id % 11 <> 0 THEN y END AS y, CASE WHEN app_id % 7 <> 0 THEN p END AS p FROM preds)"""
+_HOLES_AUC = f"""{_HOLES}, r AS (SELECT model, y, rank() OVER w + (count(*) OVER (PARTITION BY model, p) - 1) / 2.0::double AS r
+ FROM holes WHERE y IS NOT NULL WINDOW w AS (PARTITION BY model ORDER BY p NULLS FIRST)),
+ s AS (SELECT model, sum(r) FILTER (y = 1) AS ranks, count(*) FILTER (y = 1) AS ones, count(*) FILTER (y = 0) AS zeros FROM r GROUP BY 1)
+ SELECT model, {u('(ranks - ones * (ones + 1) / 2.0::double) / (ones * zeros)')} AS auc FROM s"""
+
+
+def _holes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = long_predictions(scored(applications(spark, sf)), ("app_id",))
+    y, p = F.when(F.col("app_id") % 11 != 0, F.col("y")), F.when(F.col("app_id") % 7 != 0, F.col("p"))
+    return rows.select("model", y.alias("y"), p.alias("p"))
+
+
+@query(
+    "cost_curve_with_gaps",
+    f"""{_HOLES}, th AS (SELECT i, i * 0.01::double AS threshold FROM range(101) g(i)),
+    cu AS (SELECT model, threshold, count(*) FILTER (y = 0 AND p >= threshold) AS fp,
+      count(*) FILTER (y = 1 AND NOT coalesce(p >= threshold, false)) AS fn, count(y) AS n FROM holes CROSS JOIN th GROUP BY ALL)
+    SELECT model, {u('threshold')} AS threshold, fp, fn, {u('(10.0 * fn + fp) / n')} AS cost FROM cu""",
+)
+def cost_curve_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    return with_micro(metrics.cost_curve(_holes(spark, sf), ["model"]), "threshold", "cost")
+
+
+@query(
+    "business_cost_with_gaps",
+    f"""{_HOLES} SELECT model, {u("""(10.0 * count(*) FILTER (y = 1 AND NOT coalesce(p >= 0.45, false))
+      + count(*) FILTER (y = 0 AND p >= 0.45)) / count(y)""")} AS cost FROM holes GROUP BY 1""",
+)
+def business_cost_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _holes(spark, sf).withColumn("y_hat", decide(F.col("p"), 0.45))
+    return with_micro(metrics.business_cost(rows, ["model"]), "cost")
+
+
+@query("roc_auc_with_gaps", _HOLES_AUC)
+def roc_auc_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    return with_micro(metrics.roc_auc(materialise(_holes(spark, sf), "predictions"), ["model"]), "auc")
+
+
+@query("roc_auc_with_gaps_by_ranges", _HOLES_AUC)
+def roc_auc_with_gaps_by_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in two levels, as for keys beyond the row limit."""
+    return with_micro(metrics.roc_auc(materialise(_holes(spark, sf), "predictions"), ["model"], row_limit=1), "auc")
+
+
 @query(
     "classification_rates",
     f"""{PREDS}, {_confusion('model', 'preds')} SELECT model, {u('accuracy')} AS accuracy, {u('precision_')} AS "precision",
