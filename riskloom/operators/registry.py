@@ -13,37 +13,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskloom.functions.session import local_table
+from riskloom.functions.session import local_table, materialise
 
+# The parameter and tags that a registered run carries.
 THRESHOLD_PARAM = "business_optimal_threshold"
+READY_TAGS = {"model_status": "production_ready", "optimization_strategy": "cost_minimization"}
 SERVING_THRESHOLD = 0.45
 COMPARISON_THRESHOLD = 0.5
 
 _RUNS = "run_id string, experiment string, run_name string, model_path string, logged_at long"
 _VALUES = "run_id string, kind string, key string, value string, logged_at long"
 _EVENTS = "name string, version int, run_id string, stage string, seq long"
-
-
-def assign_versions(registrations: DataFrame) -> DataFrame:
-    """Events ``(name, version, run_id, stage, seq)`` of ``(name, run_id, logged_at, promote)`` rows.
-
-    Versions count from 1 per name in time order. A promoted version becomes Production and the
-    one in Production before it is Archived.
-    """
-    order = Window.partitionBy("name").orderBy("logged_at", "run_id")
-    later = order.rowsBetween(1, Window.unboundedFollowing)
-    numbered = registrations.select("*", F.row_number().over(order).alias("version"))
-    replaced = F.max(F.col("promote").cast("int")).over(later) == 1
-    return numbered.select(
-        "name",
-        "version",
-        "run_id",
-        F.when(F.col("promote") & F.coalesce(replaced, F.lit(False)), "Archived")
-        .when(F.col("promote"), "Production")
-        .otherwise("None")
-        .alias("stage"),
-        F.col("logged_at").alias("seq"),
-    )
+_REGISTRATION = "name string, run_id string, logged_at long, promote boolean"
 
 
 def current_stages(events: DataFrame) -> DataFrame:
@@ -139,17 +120,39 @@ class ModelRegistry:
                 self.log_values(run_id, "param", {THRESHOLD_PARAM: threshold})
             if min_cost is not None:
                 self.log_values(run_id, "metric", {"min_business_cost": min_cost})
-            self.log_values(run_id, "tag", {"model_status": "production_ready", "optimization_strategy": "cost_minimization"})
-        known = self.events().where(F.col("name") == model_name)
-        version = (known.agg(F.max("version").alias("v")).first()["v"] or 0) + 1
-        now = time.time_ns()
-        rows = [(model_name, version, run_id, "None", now)]
-        if promote:
-            live = current_stages(known).where(F.col("stage") == "Production").collect()
-            rows += [(model_name, r["version"], r["run_id"], "Archived", now + 1) for r in live]
-            rows.append((model_name, version, run_id, "Production", now + 2))
-        self._append("events", rows, _EVENTS)
-        return version
+            self.log_values(run_id, "tag", READY_TAGS)
+        one = local_table(self.spark, [(model_name, run_id, time.time_ns(), promote)], _REGISTRATION)
+        self.register(one)
+        return self.events().where(F.col("name") == model_name).agg(F.max("version").alias("v")).first()["v"]
+
+    def register(self, registrations: DataFrame) -> None:
+        """Append the events of ``(name, run_id, logged_at, promote)`` rows, in time order per name.
+
+        Versions go on from those there are. A promoted version becomes Production and archives the
+        ones in Production before it.
+        """
+        known = self.events()
+        base = known.groupBy("name").agg(F.max("version").alias("base"), F.max("seq").alias("last"))
+        live = current_stages(known).where(F.col("stage") == "Production").select("name", "version", "run_id")
+        order = Window.partitionBy("name").orderBy("logged_at", "run_id")
+        rows = registrations.join(base, "name", "left").withColumn("n", F.row_number().over(order))
+        # Three places per registration: new, the archived ones, the promoted one.
+        start = F.greatest(F.coalesce("last", F.lit(0)) + 1, F.col("logged_at")) + F.col("n") * 3
+        rows = rows.select("name", "run_id", "promote", (F.coalesce("base", F.lit(0)) + F.col("n")).cast("int").alias("version"), start.alias("seq"))
+        rows = materialise(rows, "registrations")
+        promoted = rows.where("promote")
+        before = Window.partitionBy("name").orderBy("version")
+        pairs = promoted.select(
+            "name", "seq", F.lag("version").over(before).alias("version"), F.lag("run_id").over(before).alias("run_id")
+        )
+        first = pairs.where("version IS NULL").select("name", "seq").join(live, "name")
+        archived = pairs.where("version IS NOT NULL").unionByName(first)
+        events = (
+            rows.select("name", "version", "run_id", F.lit("None").alias("stage"), "seq")
+            .unionByName(archived.select("name", "version", "run_id", F.lit("Archived").alias("stage"), (F.col("seq") + 1).alias("seq")))
+            .unionByName(promoted.select("name", "version", "run_id", F.lit("Production").alias("stage"), (F.col("seq") + 2).alias("seq")))
+        )
+        events.coalesce(1).write.mode("append").parquet(f"{self.path}/events")
 
     def production(self, model_name: str, default_threshold: float = SERVING_THRESHOLD) -> tuple[int, str, float] | None:
         """``(version, model_path, threshold)`` of the Production version, or None."""

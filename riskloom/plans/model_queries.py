@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.expr import decide
-from riskloom.functions.session import materialise
+from riskloom.functions.session import materialise, work_dir
 from riskloom.operators import explain, metrics, models, preparation, registry, sampling, scoring, search
 from riskloom.plans.apps import APPS_SQL, NUMERIC, PREDICTIONS_SQL, SCORED_SQL, applications, long_predictions, scored
 from riskloom.plans.catalogue import PREDS, SCORES, SPLIT, query, u, with_micro
@@ -271,13 +273,20 @@ _REG_SQL = f"""{SCORES}, th AS (SELECT i, i * 0.01::double AS threshold FROM ran
  st AS (SELECT *, max(CASE WHEN promote THEN version END) OVER (PARTITION BY name) AS live FROM reg)"""
 
 
+def _registered(spark: SparkSession, runs: DataFrame) -> DataFrame:
+    """The events that a new registry holds after registering all runs."""
+    kept = registry.ModelRegistry(spark, f"{work_dir(spark)}/registry-{uuid.uuid4().hex}")
+    kept.register(runs.drop("threshold", "min_cost"))
+    return kept.events()
+
+
 @query(
     "registry_stages",
     f"""{_REG_SQL} SELECT name, cast(version AS int) AS version, run_id,
     CASE WHEN NOT promote THEN 'None' WHEN version = live THEN 'Production' ELSE 'Archived' END AS stage FROM st""",
 )
 def registry_stages(spark: SparkSession, sf: str) -> DataFrame:
-    return registry.current_stages(registry.assign_versions(_registrations(spark, sf).drop("threshold", "min_cost")))
+    return registry.current_stages(_registered(spark, _registrations(spark, sf)))
 
 
 @query(
@@ -287,7 +296,7 @@ def registry_stages(spark: SparkSession, sf: str) -> DataFrame:
 )
 def registry_production(spark: SparkSession, sf: str) -> DataFrame:
     runs = materialise(_registrations(spark, sf), "runs")
-    live = registry.production_versions(registry.assign_versions(runs.drop("threshold", "min_cost")))
+    live = registry.production_versions(_registered(spark, runs))
     return with_micro(live.join(runs.select("name", "run_id", "threshold", "min_cost"), ["name", "run_id"]), "threshold", "min_cost")
 
 
