@@ -57,7 +57,7 @@ def ship(spark: SparkSession) -> None:
     default size of Arrow batches, it is lowered, so that long texts do not fill the workers.
     """
     sc = spark.sparkContext
-    if spark.conf.get(_BATCH_CONF) == _BATCH_DEFAULT:
+    if spark.conf.get(_BATCH_CONF, None) == _BATCH_DEFAULT:
         spark.conf.set(_BATCH_CONF, _BATCH_BYTES)
     if getattr(sc, "_riskloom_shipped", False):
         return

@@ -60,12 +60,20 @@ def with_weights(df: DataFrame, target: str, weights: Mapping) -> DataFrame:
     return df.withColumn(WEIGHT, w)
 
 
-def classifier(family: str, params: Mapping, target: str, total_weight: float, seed: int = 42, max_trees: int | None = None):
+# Grid parameters without a counterpart here: candidates that differ in these only are one fit.
+WITHOUT_EFFECT = {"boosting": ("reg_alpha", "reg_lambda")}
+
+
+def effective_params(family: str, params: Mapping) -> dict:
+    """The parameters that change a fit of ``family``."""
+    return {k: v for k, v in params.items() if k not in WITHOUT_EFFECT.get(family, ())}
+
+
+def classifier(family: str, params: Mapping, target: str, total_weight: float, seed: int = 42):
     """An estimator of ``family`` (logistic, boosting, forest) for grid parameters.
 
     Boosting differs from the grid's native library: the leaf count becomes a depth, and the two
     leaf penalties have no counterpart, so scores are comparable, single numbers are not.
-    ``max_trees`` caps the ensemble.
     """
     common = dict(featuresCol=FEATURES, labelCol=target, weightCol=WEIGHT)
     if family == "logistic":
@@ -78,7 +86,6 @@ def classifier(family: str, params: Mapping, target: str, total_weight: float, s
             standardization=False,
         )
     trees = int(params.get("n_estimators", 100))
-    trees = min(trees, max_trees) if max_trees else trees
     if family == "boosting":
         depth = max(1, min(MAX_DEPTH, math.ceil(math.log2(params.get("num_leaves", 31)))))
         return GBTClassifier(
@@ -117,14 +124,13 @@ def fit_model(
     numeric: Sequence[str],
     categorical: Sequence[str],
     seed: int = 42,
-    max_trees: int | None = None,
 ) -> tuple[PipelineModel, Preprocessor]:
     """Preprocessing and classifier as one saved-model pipeline, fitted on ``train`` only."""
     prep = Preprocessor.fit(train, numeric, categorical)
     weights = family_weights(family, train, target)
     weighted = with_weights(train, target, weights)
     total = weighted.agg(F.sum(WEIGHT).alias("s")).first()["s"]
-    estimator = classifier(family, params, target, total, seed, max_trees)
+    estimator = classifier(family, params, target, total, seed)
     return Pipeline(stages=[*prep.vector_stages(FEATURES), estimator]).fit(weighted), prep
 
 

@@ -19,6 +19,7 @@ from riskloom.functions.session import local_table, materialise
 from riskloom.operators import metrics, models, sampling
 from riskloom.operators.models import FEATURES, WEIGHT
 from riskloom.operators.preparation import Preprocessor
+from riskloom.operators.registry import ModelRegistry
 
 MIN_RESOURCES = 500
 
@@ -85,15 +86,21 @@ def halving_search(
     min_resources: int = MIN_RESOURCES,
     seed: int = 42,
     parallelism: int = 4,
-    max_trees: int | None = None,
     fn_cost: float = metrics.FN_COST,
     fp_cost: float = metrics.FP_COST,
+    log_to: ModelRegistry | None = None,
+    experiment: str = "search",
+    run_name: str | None = None,
 ) -> SearchResult:
     """Grid search by successive halving on business cost, refitted on all rows with the winner.
 
     Rungs use nested samples (the first rows by hash), so a later rung contains the earlier one.
     Preprocessing is fitted once per rung and fold, not per candidate; candidates are then fitted
-    side by side from ``parallelism`` driver threads while Spark spreads each fit.
+    side by side from ``parallelism`` driver threads while Spark spreads each fit. Candidates that
+    differ only in parameters without effect are fitted once and share the score.
+
+    With ``log_to`` the winner is logged as a run (named after the family unless told otherwise)
+    with its parameters, score and fitted pipeline, where ``register_best`` finds it.
     """
     spark = train.sparkSession
     candidates = models.grid_candidates(grid)
@@ -112,12 +119,15 @@ def halving_search(
         def evaluate(candidate: int) -> list[float]:
             scores = []
             for vectors, total, held in prepared:
-                fitted = models.classifier(family, candidates[candidate], target, total, seed, max_trees).fit(vectors)
+                fitted = models.classifier(family, candidates[candidate], target, total, seed).fit(vectors)
                 scores.append(-_cost(fitted.transform(held), target, fn_cost, fp_cost))
             return scores
 
+        same = {c: json.dumps(models.effective_params(family, candidates[c]), sort_keys=True) for c in alive}
+        first = {key: c for c, key in reversed(same.items())}
         with ThreadPoolExecutor(max(1, parallelism)) as pool:
-            results = list(pool.map(_in_session(evaluate), alive))
+            scored = dict(zip(first, pool.map(_in_session(evaluate), first.values())))
+        results = [scored[same[c]] for c in alive]
         final = []
         for candidate, scores in zip(alive, results):
             mean = sum(scores) / len(scores)
@@ -127,7 +137,9 @@ def halving_search(
         final.sort(key=lambda t: (-t[0], t[1]))
         alive = [c for _, c in final[: math.ceil(len(final) / factor)]]
     best_score, best = final[0]
-    model, prep = models.fit_model(rows, target, family, candidates[best], numeric, categorical, seed, max_trees)
+    model, prep = models.fit_model(rows, target, family, candidates[best], numeric, categorical, seed)
+    if log_to is not None:
+        log_to.log_run(experiment, run_name or family, candidates[best], {"mean_score": best_score}, {"family": family}, model)
     schema = "rung int, candidate int, params string, n_samples long, mean_score double, std_score double"
     return SearchResult(local_table(spark, log, schema), candidates[best], best_score, model, prep)
 
@@ -167,7 +179,6 @@ def learning_curve(
     folds: int = 5,
     metric: str = "auc",
     seed: int = 42,
-    max_trees: int | None = None,
 ) -> DataFrame:
     """``(size, n_train, train_mean, train_std, test_mean, test_std)`` over the folds.
 
@@ -187,7 +198,7 @@ def learning_curve(
         for size in sizes:
             n = taken[size] = max(1, int(size * smallest))
             train = sampling.sample_rows(others, id_col, n, seed)
-            model, _ = models.fit_model(train, target, family, params, numeric, categorical, seed, max_trees)
+            model, _ = models.fit_model(train, target, family, params, numeric, categorical, seed)
             for part, data in (("train", train), ("test", held)):
                 p = models.score(model, data, [target]).select(
                     F.lit(fold).alias("fold"), F.lit(float(size)).alias("size"), F.lit(part).alias("part"), F.col(target).alias("y"), "p"

@@ -206,9 +206,9 @@ def _split(spark: SparkSession, sf: str) -> DataFrame:
 _CAT = ["cat_segment", "cat_status"]
 
 
-def _fitted(spark: SparkSession, sf: str, family: str, params: dict, max_trees: int | None = None):
+def _fitted(spark: SparkSession, sf: str, family: str, params: dict):
     split = _split(spark, sf)
-    model, prep = models.fit_model(split.where("split = 'train'"), "target", family, params, NUMERIC, _CAT, max_trees=max_trees)
+    model, prep = models.fit_model(split.where("split = 'train'"), "target", family, params, NUMERIC, _CAT)
     return split, model, prep
 
 

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.expr import add_ratios, col
+from riskloom.functions.session import small_table
 
 
 def lookup_entities(requests: DataFrame, first: DataFrame, second: DataFrame, id_col: str) -> DataFrame:
     """One row per requested id: the row of ``first`` if any, else of ``second``, as a whole row.
 
-    ``found_in`` is 'train', 'test' or NULL. Columns missing on one side are NULL there. The
-    preference is decided per id on the rows that match a request, so only those are shuffled.
+    ``found_in`` is 'train', 'test' or NULL. Columns missing on one side are NULL there. The requested
+    ids are counted first; few are broadcast, so the tables are only scanned. The preference is
+    decided per id on the rows that match a request, so only those are shuffled.
     """
     names = list(dict.fromkeys([c for c in [*first.columns, *second.columns] if c != id_col]))
 
@@ -23,7 +25,7 @@ def lookup_entities(requests: DataFrame, first: DataFrame, second: DataFrame, id
         return df.select(col(id_col), *kept, F.lit(source).alias("found_in"), F.lit(rank).alias("_rank"))
 
     both = shaped(first, "train", 0).unionByName(shaped(second, "test", 1))
-    wanted = requests.select(col(id_col)).distinct()
+    wanted = small_table(requests.select(col(id_col)).distinct())
     hits = both.join(wanted, id_col, "left_semi")
     whole_row = F.struct("_rank", "found_in", *map(col, names))
     best = hits.groupBy(id_col).agg(F.min_by(whole_row, F.col("_rank")).alias("r"))

@@ -152,3 +152,20 @@ def test_importance_tables(spark, data):
 def test_array_vector_round_trip(spark):
     df = spark.createDataFrame([([1.0, 2.0],)], "a array<double>").select(array_to_vector("a").alias("v"))
     assert explain.features_as_array(df, "v").first()["x"] == [1.0, 2.0]
+
+
+def test_search_logs_what_register_best_finds(spark, tmp_path):
+    from riskloom.operators import models, search
+    from riskloom.operators.registry import ModelRegistry
+
+    rng = np.random.default_rng(2)
+    rows = [(i, float(x), int(x + rng.normal() > 0), "ab"[i % 2]) for i, x in enumerate(rng.normal(size=240))]
+    df = spark.createDataFrame(rows, "id long, x double, y int, c string")
+    kept = ModelRegistry(spark, str(tmp_path / "registry"))
+    found = search.halving_search(df, "id", "y", "logistic", {"C": [0.1, 1.0]}, ["x"], ["c"], factor=2, folds=2, log_to=kept, experiment="e")
+    assert kept.register_best("e", "logistic", "risk", threshold=0.3, promote=True) == 1
+    assert kept.register_best("e", "logistic", "risk", promote=True) == 2
+    model, threshold = kept.load_production("risk")
+    assert threshold == 0.3 and model.transform(df.withColumn("_w", F.lit(1.0))).count() == 240
+    assert kept.production("risk")[0] == 2 and set(found.best_params) == {"C"}
+    assert models.effective_params("boosting", {"reg_alpha": 1, "num_leaves": 7}) == {"num_leaves": 7}
