@@ -26,12 +26,13 @@ def choose_eps(
     return float(found[0]["value"]) if found else DEFAULT_EPS
 
 
-def _run_scores(points: DataFrame, labels: DataFrame, x: Sequence[str], keys: list[str], per_run: int) -> DataFrame:
-    """Mean silhouette of the clustered points of each run, on at most ``per_run`` of them."""
+def _run_scores(points: DataFrame, labels: DataFrame, x: Sequence[str], keys: list[str], per_run: int | None) -> DataFrame:
+    """Mean silhouette of the clustered points of each run, on at most ``per_run`` of them if given."""
     joined = points.join(labels, ["run", "id"]).where("label <> -1")
-    order = Window.partitionBy("run").orderBy(F.md5(F.concat_ws("|", "id", F.lit("42"))))
-    kept = joined.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_run)
-    return group_silhouettes(kept.withColumn("x", F.array(*x)), keys, "x", "label")
+    if per_run is not None:
+        order = Window.partitionBy("run").orderBy(F.md5(F.concat_ws("|", "id", F.lit("42"))))
+        joined = joined.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_run)
+    return group_silhouettes(joined.withColumn("x", F.array(*x)), keys, "x", "label")
 
 
 def parameter_sensitivity(
@@ -40,22 +41,24 @@ def parameter_sensitivity(
     coords: Sequence[str],
     eps: float,
     min_samples: int = 5,
-    sample_size: int = 10_000,
+    sample_size: int | None = None,
     eps_values: Sequence[float] | None = None,
     min_samples_values: Sequence[int] | None = None,
-    score_size: int = 1_000,
+    score_size: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """``(eps, min_samples, n_clusters, n_noise, noise_pct, silhouette, recommended)`` per grid cell.
 
-    The grid is clustered in one job, one run per cell. Silhouette is NULL below two clusters or
+    All rows count, unless ``sample_size`` (clustering) or ``score_size`` (silhouettes) asks for a
+    sample. The grid is clustered in one job, one run per cell. Silhouette is NULL below two clusters or
     when no more points than clusters are left; the best one is recommended, the first on ties.
     """
     default_eps, default_min = sensitivity_grid(eps, min_samples)
     grid = [(e, m) for e in (eps_values or default_eps) for m in (min_samples_values or default_min)]
     params = dict(enumerate(grid))
     spark = df.sparkSession
-    sample = sampling.sample_rows(df.select(F.col(id_col).alias("id"), *coords), "id", sample_size, seed)
+    sample = df.select(F.col(id_col).alias("id"), *coords)
+    sample = sample if sample_size is None else sampling.sample_rows(sample, "id", sample_size, seed)
     each = F.explode(F.array(*[F.lit(r) for r in params])).alias("run")
     points = materialise(sample.select("id", *coords, each), "grid_points")
     labels = materialise(dbscan_runs(points, coords, params), "grid_labels")
@@ -92,8 +95,8 @@ def density_importance(
     eps: float,
     min_samples: int = 5,
     repeats: int = 3,
-    sample_size: int = 5_000,
-    score_size: int = 1_000,
+    sample_size: int | None = None,
+    score_size: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """Loss of silhouette when a coordinate is shuffled and the sample is clustered anew.
@@ -102,7 +105,7 @@ def density_importance(
     fewer than two clusters scores 0.
     """
     rows = df.select(F.col(id_col).alias("id"), F.array(*[F.col(c).cast("double") for c in coords]).alias("x"))
-    sample = materialise(sampling.sample_rows(rows, "id", sample_size, seed), "sample")
+    sample = materialise(rows if sample_size is None else sampling.sample_rows(rows, "id", sample_size, seed), "sample")
     copies = permuted_copies(sample, "id", "x", len(coords), repeats, seed)
     run = (F.col("feature") + 1) * repeats + F.col("repeat")
     x = [f"x{i}" for i in range(len(coords))]

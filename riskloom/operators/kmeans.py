@@ -165,13 +165,14 @@ def importance_table(scores: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def kmeans_importance(
-    model: KMeansModel, df: DataFrame, id_col: str, features: str, names: Sequence[str], repeats: int = 3, sample_size: int = 1_000, seed: int = 42
+    model: KMeansModel, df: DataFrame, id_col: str, features: str, names: Sequence[str], repeats: int = 3, sample_size: int | None = None, seed: int = 42
 ) -> DataFrame:
     """Permutation importance: loss of silhouette when a feature is shuffled and rows are assigned anew.
 
-    All features and repeats are scored in one job over copies of a bounded sample.
+    All features and repeats are scored in one job over copies of the rows, or of a sample if asked for.
     """
-    sample = materialise(sampling.sample_rows(df.select(id_col, features), id_col, sample_size, seed), "sample")
+    rows = df.select(id_col, features)
+    sample = materialise(rows if sample_size is None else sampling.sample_rows(rows, id_col, sample_size, seed), "sample")
     copies = permuted_copies(sample, id_col, features, len(names), repeats, seed)
     labelled = model.transform(_with_vector(copies, "x")).drop("_v")
     scores = small_table(group_silhouettes(labelled, ["feature", "repeat"], "x", "cluster"))
