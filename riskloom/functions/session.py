@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,7 @@ _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 _BATCH_DEFAULT, _BATCH_BYTES = "67108864b", "8m"
 
 _local_dir: str | None = None
+_scratch: list[list[str]] = []
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -84,6 +87,23 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``materialise`` writes inside the block when it ends.
+
+    Results that read them have to be collected or written before.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _scratch.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -92,6 +112,8 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for made in _scratch[-1:]:
+        made.append(path)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

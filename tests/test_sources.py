@@ -74,3 +74,30 @@ def test_form_years_become_negative_days(spark):
     got = {r["feature"]: r["value"] for r in form_overrides(forms).collect()}
     assert float(got["DAYS_BIRTH"]) == -14610.0
     assert got["DAYS_EMPLOYED"] is None and got["CNT_CHILDREN"] == "0" and got["SK_ID_CURR"] == "999999"
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    import os
+
+    from riskloom.functions.session import materialise, scratch, work_dir
+
+    with scratch(spark):
+        df = materialise(spark.range(3).toDF("x"), "scratch_test")
+        assert df.count() == 3
+        (path,) = {os.path.dirname(f).removeprefix("file://") for f in df.inputFiles()}
+        assert os.path.isdir(path)
+    assert not os.path.exists(path)
+    assert materialise(spark.range(2).toDF("x"), "kept").count() == 2 and work_dir(spark)
+
+
+def test_a_rewritten_table_is_queried_anew(spark, tmp_path):
+    from riskloom.sources.tables import Database, create_database
+
+    path = str(tmp_path / "db2")
+    create_database({"t": spark.range(2).toDF("x")}, path)
+    sql = "SELECT count(*) AS n FROM t"
+    assert Database(spark, path).execute_query(sql, cache_key="n").first()["n"] == 2
+    create_database({"t": spark.range(5).toDF("x")}, path)
+    again = Database(spark, path)
+    assert again.execute_query(sql, cache_key="n").first()["n"] == 5
+    assert again.clear_cache() == 2 and Database(spark, path).clear_cache() == 0
