@@ -242,23 +242,29 @@ def fingerprint_links(prints: DataFrame, column: str = "fp", group: int = GROUP)
 
 
 def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near duplicates: the smallest id of each component stays.
+    """The rows of ``docs`` without near duplicates: exactly one row of each component stays.
 
-    Of rows that repeat the id that stays, one does; of a component without any id, one row does.
-    Columns are returned as given.
+    It is the row of smallest id (null ids come last), then of smallest text digest, then the
+    smallest by its other columns. Ids need not be unique: a row is found by its id and its text's
+    digest, which lie in one component only. Columns are returned as given.
     """
-    groups = materialise(near_duplicate_groups(docs, id_column, text), "groups")
-    staying = groups.where(F.col(id_column) == F.col("component_id")).groupBy(id_column).count()
-    kept = docs.join(staying.select(id_column), id_column, "left_semi").select(*docs.columns)
-    if not staying.where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_column])
-    nameless = groups.where("component_id IS NULL").select("fp", "root").distinct()
-    if not nameless.isEmpty():
-        rows = docs.where(docs[id_column].isNull())
-        whole = rows.select(rows[text].alias("_t"), F.struct(*[rows[c] for c in docs.columns]).alias("_row"))
-        marked = add_fingerprint(whole, "_t", "fp").join(nameless, "fp").dropDuplicates(["root"])
-        kept = kept.unionByName(marked.select("_row.*"))
-    return kept
+    digest = F.coalesce(F.unhex(F.sha2(docs[text].cast("string").cast("binary"), 256)), F.unhex(F.lit("")))
+    marked = docs.select(docs[id_column].alias("_id"), digest.alias("_digest"), docs[text].alias("_t"))
+    prints = materialise(add_fingerprint(marked, "_t"), "fingerprints")
+    first = prints.groupBy("fp").agg(F.min(F.struct(F.col("_id").isNull().alias("nameless"), "_id", "_digest")).alias("row"))
+    roots = component_roots(fingerprint_links(prints))
+    rooted = first.join(roots, first["fp"] == roots["node"], "left").select(F.coalesce("root", "fp").alias("root"), "row")
+    chosen = rooted.groupBy("root").agg(F.min("row").alias("row")).select("row._id", "row._digest")
+    staying = materialise(chosen, "staying")
+    same = staying["_id"].eqNullSafe(F.col("_own_id")) & (staying["_digest"] == F.col("_own_digest"))
+    repeated = prints.groupBy(F.col("_id").alias("_own_id"), F.col("_digest").alias("_own_digest")).count().where("count > 1")
+    given = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[id_column].alias("_own_id"), digest.alias("_own_digest"))
+    if not repeated.join(staying, same, "left_semi").isEmpty():
+        # Rows equal in id and text: one of them, reduced before anything is dealt out.
+        others = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in (id_column, text)]
+        order = F.to_json(F.struct(*others)) if others else F.lit("")
+        given = given.groupBy("_own_id", "_own_digest").agg(F.min_by("_row", order).alias("_row"))
+    return given.join(staying, same, "left_semi").select("_row.*")
 
 
 def near_duplicate_groups(df: DataFrame, id_column: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:

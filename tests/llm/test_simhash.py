@@ -127,3 +127,18 @@ def test_empty_table(spark):
     df = corpus(spark).limit(0)
     assert simhash.near_duplicate_groups(df).collect() == []
     assert simhash.keep_one_of_each(df).collect() == []
+
+
+def test_one_id_on_rows_of_many_components(spark):
+    texts = [" ".join(f"t{k}w{i}" for i in range(60)) for k in range(12)]
+    # One id on a third of the rows, with a text of its own each; copies of them under other ids.
+    rows = [(7, t, k, {"n": k}) for k, t in enumerate(texts[:6])] + [(20 + k, t, k, None) for k, t in enumerate(texts[:6])]
+    # Id 7 belongs to a component with a smaller id, too; rows repeated as a whole; a nameless copy.
+    rows += [(3, texts[6], 0, None), (7, texts[6], 1, None), (30, texts[7], 5, None), (30, texts[7], 4, None), (30, texts[7], 4, None), (None, texts[7], 0, None)]
+    rows += [(None, texts[8], 2, None), (None, texts[8], 1, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int, more map<string,int>").repartition(5)
+    kept = simhash.keep_one_of_each(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["text"], r["doc_id"], r["n"]) for r in kept.collect()), key=str)
+    expected = [(t, 7, k) for k, t in enumerate(texts[:6])] + [(texts[6], 3, 0), (texts[7], 30, 4), (texts[8], None, 1)]
+    assert got == sorted(expected, key=str)
