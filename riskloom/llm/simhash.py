@@ -180,8 +180,11 @@ def _compare(level: int, bits: int, group: int, schema: pa.Schema):
                 else:
                     held.append(more)
             if first < len(starts) and held:  # it has ended
-                u, v = links(np.concatenate(held)[:, 0].copy().view(np.uint64))
-                us.append(u), vs.append(v)
+                if not last and sum(map(len, held)) > group:
+                    passed += held
+                else:
+                    u, v = links(np.concatenate(held)[:, 0].copy().view(np.uint64))
+                    us.append(u), vs.append(v)
                 held, large = [], False
             # Whole groups within this batch: those of one row have no link, those of two are done
             # together.

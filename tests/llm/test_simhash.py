@@ -142,3 +142,16 @@ def test_one_id_on_rows_of_many_components(spark):
     got = sorted(((r["text"], r["doc_id"], r["n"]) for r in kept.collect()), key=str)
     expected = [(t, 7, k) for k, t in enumerate(texts[:6])] + [(texts[6], 3, 0), (texts[7], 30, 4), (texts[8], None, 1)]
     assert got == sorted(expected, key=str)
+
+
+def test_group_that_spans_two_batches_is_cut_further():
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [(i, i, 1) for i in range(11)] + [(50, 50, 2), (51, 51, 2), (60, 60, 3)]
+    parts = [rows[:5], rows[5:]]
+    batches = [pa.record_batch([pa.array(np.array(c, np.int64)) for c in zip(*p)], names=["fp", "free", "sig1"]) for p in parts]
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("large", pa.bool_()), ("free", pa.int64()), ("sig1", pa.int64())])
+    out = [r for b in simhash._compare(1, 2, 6, schema)(iter(batches)) for r in b.to_pylist()]
+    assert sorted(r["u"] for r in out if r["large"]) == list(range(11))
+    assert [(r["u"], r["v"]) for r in out if not r["large"]] == [(51, 50)]
