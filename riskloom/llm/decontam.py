@@ -9,6 +9,7 @@ back to character offsets of the original text.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from itertools import groupby
@@ -103,6 +104,11 @@ def _runs(hit: bytearray) -> list[tuple[int, int]]:
 _built: dict[str, Windows] = {}
 
 
+def _block_name(items: list, window: int) -> str:
+    """Tells automata apart by what they are built from; workers outlive the call that built one."""
+    return hashlib.sha256(repr((window, items)).encode()).hexdigest()
+
+
 def _machine(name: str, items: list, window: int) -> Windows:
     """The automaton of a block, built once per Python worker; only the latest is kept."""
     if name not in _built:
@@ -216,7 +222,7 @@ def find_contamination(
     def block(b: int):
         part = asked.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
         items = sorted(((r["i"], r["t"]) for r in part.collect()), key=str)
-        return f"{spark.sparkContext.applicationId}-{id(items)}-{b}", spark.sparkContext.broadcast(items)
+        return _block_name(items, window), spark.sparkContext.broadcast(items)
 
     if blocks == 1:
         return given.mapInArrow(_scanner(*block(0), window, per, arrow), out).drop("_text")

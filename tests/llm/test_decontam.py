@@ -71,3 +71,22 @@ def test_empty_tables(spark):
     df, benchmark, docs, _ = tables(spark)
     assert decontam.find_contamination(df.limit(0), benchmark).collect() == []
     assert {r["n_hit"] for r in decontam.find_contamination(df, benchmark.limit(0)).collect()} == {0}
+
+
+def test_calls_of_one_session_keep_their_automata_apart(spark, monkeypatch):
+    # Lists of successive calls often lie at the same address.
+    monkeypatch.setattr(decontam, "id", lambda items: 1, raising=False)
+    sent = []
+    monkeypatch.setattr(decontam, "_scanner", lambda name, items, window, *_: sent.append((name, items.value, window)) or (lambda batches: batches))
+    text = "one two three four five six seven"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+
+    def hits(items, window):
+        decontam.find_contamination(df, spark.createDataFrame(list(enumerate(items)), "item_id long, text string"), window=window)
+        # What a worker does with it that is kept for all calls.
+        return decontam._machine(*sent[-1]).scan(decontam.words(text))
+
+    assert hits(["one two three", "elsewhere"], 3) == ([(0, 2)], {"0"})
+    assert hits(["of another kind", "five six seven"], 3) == ([(4, 6)], {"1"})
+    assert hits(["of another kind", "five six eight"], 3) == ([], set())
+    assert hits(["of another kind", "five six eight"], 2) == ([(4, 5)], {"1"})
