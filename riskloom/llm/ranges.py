@@ -19,7 +19,11 @@ def range_cuts(df: DataFrame, key: str, ranges: int) -> list:
     found = df.agg(F.percentile_approx(key, shares, 10 * ranges).alias("cuts"), F.max(key).alias("top")).first()
     if found["top"] is None:
         return []
-    return sorted({*(found["cuts"] if ranges > 1 else []), found["top"]})
+    cuts = sorted({*(found["cuts"] if ranges > 1 else []), found["top"]})
+    # The cuts come by way of doubles, so a large number may be rounded to one that does not occur:
+    # the greatest value of each range stands for it.
+    own = df.where(F.col(key).isNotNull()).groupBy(range_of(F.col(key), cuts).alias("_r")).agg(F.max(key).alias("cut"))
+    return sorted(r["cut"] for r in own.collect())
 
 
 def range_of(key: Column, cuts: list) -> Column:

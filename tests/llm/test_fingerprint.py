@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.llm import fingerprint
+from riskloom.llm.ranges import range_cuts
 
 
 def lanes_of(spark, *texts):
@@ -60,3 +61,16 @@ def test_null_and_repeated_ids_single_rows_and_empty_tables(spark):
     one = fingerprint.compare_edits(spark.createDataFrame([(1, "abcdef")], schema)).first()
     assert one["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest() and one["near_next"] == 1.0
     assert fingerprint.compare_edits(df.limit(0)).collect() == []
+
+
+def test_ids_beyond_the_precision_of_doubles(spark):
+    rows = [((1 << 60) + 7 * i + 3, f"text of {i} " * (i % 5 + 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cuts = range_cuts(df, "doc_id", 6)
+    assert set(cuts) <= {r[0] for r in rows} and cuts == sorted(set(cuts)) and cuts[-1] == rows[-1][0]
+    got = {r["doc_id"]: r["edited_sha256"] for r in fingerprint.compare_edits(df, ranges=6).collect()}
+    order = sorted(rows, reverse=True)
+    for i, (doc_id, text) in enumerate(order):
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + order[(i + 1) % len(order)][1][:cut]
+        assert got[doc_id] == hashlib.sha256(edited.encode()).hexdigest()
