@@ -70,9 +70,12 @@ WHOLE_PAGE = frozenset("html body article main".split())
 CONTENT_TAGS = frozenset("article main".split())
 CONTENT_WORDS = frozenset("article body content entry main post story text".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>[^>]*)>|<[!?][^>]*>", re.S)
+# A value in quotes may hold brackets; a quote that never closes is part of a bare value.
+_ATTRS = r"""(?:[^>=]++|=\s*+(?>"[^"]*+"|'[^']*+'|[^\s>]*+))*+"""
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>" + _ATTRS + r")>|<[!?][^>]*>", re.S)
 _CUT = re.compile(r"<[a-zA-Z/!][^<>]*\Z")
-_NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTR = re.compile(r"""([^\s/>=]++)\s*+(?:=\s*+(?>"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""")
+_NAMING = frozenset("class id role".split())
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -160,15 +163,6 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             close_open(name, INLINE if name in INLINE else frozenset())
             continue
         attrs = m["attrs"]
-        for quote in "\"'":
-            # A bracket inside of a quoted value did not end the tag.
-            if attrs.count(f"={quote}") and attrs.count(quote) % 2:
-                closing = page.find(quote, at, at + 4000)
-                ends = page.find(">", closing) + 1 if closing >= 0 else 0
-                if ends:
-                    attrs += page[at - 1 : ends - 1]
-                    at = position = ends
-                break
         if name in RAW:
             closing = None
             if name not in unclosed:
@@ -203,7 +197,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             close_open("a", frozenset())
         words: frozenset[str] = frozenset()
         if "=" in attrs and name not in WHOLE_PAGE:
-            words = frozenset(w for g in _NAMED.findall(attrs) for w in _WORD.findall("".join(g).lower()))
+            words = frozenset(w for n, *v in _ATTR.findall(attrs) if n.lower() in _NAMING for w in _WORD.findall("".join(v).lower()))
         node = stack[-1][1]
         if name not in INLINE or not FURNITURE_WORDS.isdisjoint(words):
             nodes.append(Node(name, words, node))

@@ -146,3 +146,18 @@ def test_odd_rows_of_the_chain(spark):
     assert toxicity.predict_toxicity(df.limit(0), chain).collect() == []
     empty = toxicity.train([], __import__("numpy").zeros((0, 1), int), ["bad"])
     assert empty.predict("any")[0] <= 1
+
+
+def test_brackets_in_quoted_values():
+    def told(page):
+        nodes, blocks = htmltext.parse(page)
+        return [n.tag for n in nodes[1:]], [t for _, t in blocks]
+
+    long = "<p class='ad'>no page text</p>" * 400
+    assert told(f'<div data-x="{long}" id=main>page text</div>') == (["div"], ["page text"])
+    assert told("""<div a="x>y" b='p>q' c = "r>s">one</div a="x>y">two""") == (["div"], ["one", "two"])
+    # Only a value is quoted, and a quote that never closes ends with the tag.
+    assert told("<p x=it's>one</p><p y=\"'>'\">two</p>") == (["p", "p"], ["one", "two"])
+    assert told('<p title="open>one</p><p>two</p>') == (["p", "p"], ["one", "two"])
+    nodes, _ = htmltext.parse("""<div data-x='<i class="ad">' CLASS = "main post"id=story>text</div>""")
+    assert nodes[1].words == {"main", "post", "story"}
