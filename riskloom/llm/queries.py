@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, fingerprint, htmltext, langid, pieces, shards, simhash, suffixes, toxicity, urlfilter
+from riskloom.llm import decontam, fingerprint, htmltext, langid, licences, merkle, pieces, runs, shards, simhash, suffixes, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -218,3 +218,144 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     chain = toxicity.fit_chain(marked, CATEGORIES)
     return toxicity.predict_toxicity(docs, chain).drop("text")
+
+
+# The base phrases and their labels.
+LICENCE_PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
+
+
+@query
+def op11_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licence phrases and labels."""
+    scanned = licences.scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text"), LICENCE_PHRASES)
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        F.size("base_places").cast("long").alias("n_base"),
+        F.array_min("base_places.word").alias("first_word"),
+        F.array_max("base_places.word").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+        F.array_min("expressions.freedom").alias("freedom"),
+    )
+
+
+def crc_of_id(doc_id: str = "doc_id") -> Column:
+    """Unsigned CRC-32 of the id in decimals; null without id."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary"))
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof, and whether its tampered form is found out."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, sf_dir, "documents").select(*fields)
+    tampered = F.when(crc_of_id() % 5 == 0, F.translate("text", _UPPER, _LOWER)).otherwise(F.col("text"))
+    leaf = merkle.leaf_digest([F.col(c) for c in fields])
+    claimed = merkle.leaf_digest([*[F.col(c) for c in fields[:-1]], tampered])
+    digests = docs.select("doc_id", "source", leaf.alias("own"), claimed.alias("told"))
+    proved = merkle.merkle_manifest(digests, "source", "doc_id", F.col("own"), F.col("told"))
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _sql_crc(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    step = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(c, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda s: ord(s)::bigint)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def _sql_tree(name: str, start: str, tree: str, depth: int) -> str:
+    """CTEs ``<name>0 .. <name>depth``: nodes of each level with what stands left and right of them in their run.
+
+    ``start`` has (tree, i, h). A tree with one node left is carried along unchanged.
+    """
+    run = f"PARTITION BY {tree}, i // 16 ORDER BY i ROWS BETWEEN"
+    out = []
+    source = start
+    for k in range(depth + 1):
+        out.append(
+            f"""{name}{k} AS (SELECT {tree}, i, h, count(*) OVER (PARTITION BY {tree}) AS n,
+      coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+      coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {source})"""
+        )
+        source = f"""(SELECT {tree}, i // 16 AS i, CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+      FROM {name}{k} GROUP BY ALL)"""
+    return ",\n".join(out)
+
+
+# Levels that the SQL goes up: 16 million leaves of one source, and as many sources.
+_DEPTH = 6
+
+
+def _sql_fold(name: str, tree: str, on: str, index: str, digest: str, k: int) -> tuple[str, str, str]:
+    """Join, next digest and siblings of level ``k``."""
+    join = f"JOIN {name}{k} ON {name}{k}.{tree} IS NOT DISTINCT FROM {on} AND {name}{k}.i = {index} // {16**k}"
+    folded = f"CASE WHEN {name}{k}.n = 1 THEN {digest} ELSE sha256({name}{k}.l || {digest} || {name}{k}.r) END"
+    return join, folded, f"{name}{k}.l || {name}{k}.r"
+
+
+def _sql_merkle() -> str:
+    def leaf(text: str) -> str:
+        fields = ["cast(doc_id AS varchar)", "source", "lang", "cast(n_chars AS varchar)", text]
+        return "sha256(" + " || ".join(f"coalesce(cast(octet_length(encode({f})) AS varchar) || ':' || {f}, '-')" for f in fields) + ")"
+
+    tampered = f"CASE WHEN {_sql_crc('cast(doc_id AS varchar)')} % 5 = 0 THEN translate(text, '{_UPPER}', '{_LOWER}') ELSE text END"
+    parts = [
+        f"WITH d AS (SELECT doc_id, source, {leaf('text')} AS h, {leaf(tampered)} AS told FROM documents)",
+        "leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM d)",
+        _sql_tree("s", "(SELECT source, i, h FROM leaves)", "source", _DEPTH),
+        f"tops AS (SELECT 0 AS one, source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, h FROM s{_DEPTH})",
+        _sql_tree("t", "(SELECT one, i, h FROM tops)", "one", _DEPTH),
+        f"f0 AS (SELECT leaves.doc_id, leaves.h AS leaf, tops.h AS subroot, t{_DEPTH}.h AS root, leaves.source, leaves.i, tops.i AS j, leaves.told AS folded, '' AS proof"
+        f" FROM leaves JOIN tops ON tops.source IS NOT DISTINCT FROM leaves.source CROSS JOIN t{_DEPTH})",
+    ]
+    at = 0
+    for name, tree, on, index in (("s", "source", "source", "i"), ("t", "one", "0", "j")):
+        for k in range(_DEPTH):
+            f = f"f{at}"
+            join, folded, siblings = _sql_fold(name, tree, on if on == "0" else f"{f}.{on}", f"{f}.{index}", f"{f}.folded", k)
+            parts.append(f"f{at + 1} AS (SELECT {f}.* EXCLUDE (folded, proof), {folded} AS folded, proof || {siblings} AS proof FROM {f} {join})")
+            at += 1
+    last = f"SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM f{at}"
+    return ",\n".join(parts) + "\n" + last
+
+
+ORACLES["op12_merkle"] = _sql_merkle()
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Texts of which one in ten (by id) is made periodic from some word on."""
+    h = crc_of_id()
+    g = F.floor(h / 10).cast("long")
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    chosen = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    n = F.size("w").cast("long")
+    chosen = chosen.where(F.col("w").isNotNull() & (n > 0)).withColumn("a", F.col("g") % n)
+    chosen = chosen.withColumn("p", F.floor((n - F.col("a")) / (3 + F.col("g") % 8)).cast("int") + 1).withColumn("a", F.col("a").cast("int"))
+    rest = n.cast("int") - F.col("a")
+    block = F.slice("w", F.col("a") + 1, F.col("p"))
+    copies = F.flatten(F.array_repeat(block, F.ceil(rest / F.col("p")).cast("int")))
+    planted = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(copies, F.lit(1), rest)), " ")
+    untouched = docs.where(~F.coalesce((h % 10 == 0) & (F.size(words) > 0), F.lit(False))).select("doc_id", "text")
+    return untouched.unionByName(chosen.select("doc_id", planted.alias("text")))
+
+
+@query
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs, its strongest one, and what is left without the repeats."""
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.col("strongest")
+    return runs.find_runs(docs).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
