@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,23 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from riskloom.functions.expr import col
 from riskloom.functions.session import ship
 
+# Bytes of text that are worked on at a time: words as Python objects take about ten times as much.
+PART_BYTES = 1 << 20
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``PART_BYTES`` of text; a longer text is a slice of its own."""
+    if not batch.num_rows:
+        yield batch
+        return
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        done = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, done + PART_BYTES, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
 
 def map_texts(df: DataFrame, text: str, added: T.StructType, make: Callable[[], Callable[[pa.Array], list[pa.Array]]]) -> DataFrame:
     """Add the columns ``added`` to every row of ``df``, computed from its column ``text``.
@@ -31,8 +50,9 @@ def map_texts(df: DataFrame, text: str, added: T.StructType, make: Callable[[],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            columns = [batch.column(0), *fn(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+            for part in _parts(batch):
+                columns = [part.column(0), *fn(part.column(1))]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
     mapped = given.mapInArrow(run, out)
     return mapped.select(*[F.col("row").getField(c).alias(c) for c in keep], *[col(c) for c in added.names])

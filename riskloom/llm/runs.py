@@ -185,11 +185,10 @@ def candidate_stretches(numbers: np.ndarray, rows: np.ndarray, floor: int = FLOO
     marked = np.zeros(n, bool)
     marked[order[1:][same]] = True
     marked[order[:-1][same]] = True
-    marked &= inside
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], marked, [False])).astype(np.int8)))
-    begins, ends = edge[::2], edge[1::2]
-    # No piece crosses the end of a text, so consecutive marks belong to one text.
-    wide = ends - begins >= floor - size + 1
+    owner = np.concatenate(([0], np.where(marked & inside, rows[:n] + 1, 0), [0]))
+    edge = np.flatnonzero(owner[1:] != owner[:-1])
+    begins, ends = edge[:-1], edge[1:]
+    wide = (owner[1:][begins] > 0) & (ends - begins >= floor - size + 1)
     return [(int(b), int(e) + size - 1) for b, e in zip(begins[wide], ends[wide])]
 
 
