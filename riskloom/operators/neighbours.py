@@ -1,8 +1,8 @@
-"""Exact pairwise work: silhouettes and k-distances.
+"""Silhouettes and k-distances.
 
-Both need every pair of rows. Rows are cut into blocks, each pair of blocks meets in one group of a
-cogroup, and only sums or nearest distances per row leave it: no pair is ever emitted and nothing
-passes through the driver.
+Silhouettes need every pair of rows: rows are cut into blocks, each pair of blocks meets in one group of
+a cogroup, and only sums per row leave it, so no pair is ever emitted and nothing passes through the
+driver. k-distances come from the pruned nearest-neighbour join of ``metric``.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.functions.session import materialise, ship
-from riskloom.operators import sampling
+from riskloom.operators import metric, sampling
 from riskloom.operators.ordering import running_totals
 
 # Rows of a block, and rows compared at a time within a pair of blocks.
@@ -125,38 +125,39 @@ def k_distances(
     n_neighbors: int = 10,
     sample_size: int | None = None,
     seed: int = 42,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = metric.BLOCK_ROWS,
 ) -> DataFrame:
     """``(idx, id, distance)``: distance to the ``min_samples``-th neighbour, itself included, falling.
 
-    All rows, unless ``sample_size`` asks for a sample. Each pair of blocks gives the nearest
-    distances of its rows, and these are merged per row; places along the curve come from prefix
-    sums, not from one sorted task.
+    All rows, unless ``sample_size`` asks for a sample; rows without a vector or with a gap in it are
+    left out. Equal vectors are one weighted place. A place visits only the cells that can hold one of
+    its neighbours; places along the curve come from prefix sums, not from one sorted task.
     """
     if n_neighbors < min_samples:
         raise ValueError("n_neighbors must be at least min_samples")
     rows = df.select(F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("x"))
+    rows = rows.where(F.col("x").isNotNull() & ~F.exists("x", lambda v: v.isNull() | F.isnan(v)))
     if sample_size is not None:
         rows = sampling.sample_rows(rows, "id", sample_size, seed)
     rows = materialise(rows, "points")
     if rows.limit(n_neighbors).count() < n_neighbors:
         raise ValueError("fewer rows than neighbours asked for")
-    id_type = df.schema[id_col].dataType.simpleString()
-
-    def nearest(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        if not len(ours) or not len(theirs):
-            return pd.DataFrame({"id": pd.Series(dtype="object"), "near": pd.Series(dtype="object")})
-        points, others = _matrix(ours["x"]), _matrix(theirs["x"])
-        keep = min(min_samples, len(others))
-        near: list[np.ndarray] = []
-        for start in range(0, len(points), _STEP):
-            block = distances(points[start : start + _STEP], others)
-            near += list(np.partition(block, keep - 1, axis=1)[:, :keep])
-        return pd.DataFrame({"id": ours["id"], "near": near})
-
-    parts = block_pairs(rows, rows, [], block_rows).applyInPandas(nearest, f"id {id_type}, near array<double>")
-    merged = parts.groupBy("id").agg(F.sort_array(F.flatten(F.collect_list("near"))).alias("near"))
-    measured = materialise(merged.select("id", F.element_at("near", min_samples).alias("distance"), F.lit(1).alias("one")), "curve")
+    places = rows.groupBy("x").agg(F.count("*").cast("double").alias("w"), F.min("id").alias("id"))
+    places = materialise(places.select(F.lit(0).alias("g"), "id", "x", F.array("w").alias("v")), "places")
+    near = metric.nearest_rows(places.select("g", "id", "x"), places, min_samples, block_rows)
+    start = F.struct(F.lit(0.0).alias("w"), F.lit(None).cast("double").alias("d2"))
+    walked = F.aggregate(
+        "near",
+        start,
+        lambda s, p: F.struct(
+            (s["w"] + p["v"][0]).alias("w"),
+            F.coalesce(s["d2"], F.when(s["w"] + p["v"][0] >= min_samples, p["d2"])).alias("d2"),
+        ),
+    )
+    reached = near.select(F.col("id").alias("place"), F.sqrt(walked["d2"]).alias("distance"))
+    # A place may hold a large part of all rows; the join's other side has one row for it, which can be copied.
+    known = places.select(F.col("id").alias("place"), F.col("x").alias("at")).join(reached, "place")
+    measured = materialise(rows.join(known, rows["x"] == F.col("at")).select("id", "distance", F.lit(1).alias("one")), "curve")
     falling = measured.withColumn("key", -F.col("distance"))
     upto = running_totals(falling.withColumn("_all", F.lit(0)), ["_all"], "key", ["one"]).select("key", (F.col("cum_one") - F.col("one")).alias("before"))
     tie = F.row_number().over(Window.partitionBy("key").orderBy("id"))

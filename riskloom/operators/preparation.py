@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.expr import col, unpivot_numeric
-from riskloom.functions.session import materialise, small_table
+from riskloom.functions.session import local_table, materialise, small_table
+from riskloom.operators import metric
 from riskloom.operators.neighbours import block_pairs
 from riskloom.operators.ordering import ROW_LIMIT, exact_quantiles
 
@@ -224,9 +226,13 @@ class NeighbourImputer:
 
     Distance is ``(d / shared) * sum(diff^2)`` over the ``shared`` features present on both sides,
     the order of the usual missing-aware Euclidean distance; ties go to the smaller donor id. Donors
-    are a table the caller chooses (whole train set, or an explicit sample of it). Rows with gaps
-    and donors meet block by block, each pair of blocks gives the nearest donors it holds, and these
-    are merged per row: neither table passes through the driver or has to fit in a task.
+    are a table the caller chooses (whole train set, or an explicit sample of it).
+
+    Between rows that lack the same features and donors that lack the same features this is a plain
+    distance in the features both have, times a constant. So every pair of frequent patterns (at least
+    ``index_rows`` rows) gets a metric index of its own and a pruned nearest-neighbour join; what is left
+    meets block by block. Both give the nearest donors per row and feature, which are merged: neither
+    table passes through the driver or has to fit in a task.
     """
 
     columns: list[str]
@@ -234,56 +240,110 @@ class NeighbourImputer:
     donors: DataFrame
     means: list[float | None]
     k: int = 5
-    block_rows: int = 4_000
+    block_rows: int = 2_000
+    index_rows: int = 200
 
     @classmethod
     def fit(cls, donors: DataFrame, columns: Sequence[str], id_col: str, k: int = 5) -> NeighbourImputer:
-        picked = materialise(donors.select(col(id_col).alias("id"), *[col(c).cast("double").alias(c) for c in columns]), "donors")
+        picked = donors.select(col(id_col).alias("id"), *[col(c).cast("double").alias(c) for c in columns], _pattern(columns).alias("_p"))
+        picked = materialise(picked, "donors")
         means = picked.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
         return cls(list(columns), id_col, picked, list(means), k)
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Fill the columns of every row; complete rows pass through untouched. Ids have to be unique."""
+    def _frequent(self, rows: DataFrame) -> list[str]:
+        """Patterns of at least ``index_rows`` rows: a bounded share of all."""
+        counts = rows.groupBy("_p").agg(F.count("*").alias("n")).where(F.col("n") >= self.index_rows)
+        return sorted(r["_p"] for r in counts.collect())
+
+    def _indexed(self, asked: DataFrame, ours: Sequence[str], theirs: Sequence[str]) -> DataFrame | None:
+        """``(id, j, near)`` of rows and donors of frequent patterns, by the pruned join."""
+        columns, k = self.columns, self.k
+        pairs = []
+        for a in ours:
+            for b in theirs:
+                both = "".join("1" if x == y == "1" else "0" for x, y in zip(a, b))
+                gives = "".join("1" if x == "0" and y == "1" else "0" for x, y in zip(a, b))
+                if "1" in both and "1" in gives:
+                    pairs.append((len(pairs), a, b, both, gives, both.count("1")))
+        if not pairs:
+            return None
+        table = local_table(asked.sparkSession, pairs, "g int, _a string, _b string, both string, gives string, shared int")
+        x = F.array(*[F.when(F.substring("both", j + 1, 1) == "1", col(c)).otherwise(0.0) for j, c in enumerate(columns)])
+        rows = asked.join(table, F.col("_p") == F.col("_a")).select("g", "id", x.alias("x"))
+        points = self.donors.join(table, F.col("_p") == F.col("_b")).select("g", "id", x.alias("x"), F.array(*map(col, columns)).alias("v"))
+        near = metric.nearest_rows(rows, metric.distinct_nearest_ids(points, k), k, self.block_rows)
+        scaled_near = F.transform(
+            "near",
+            lambda n: F.struct((n["d2"] * float(len(columns)) / F.col("shared")).alias("d"), n["id"].alias("donor"), F.get(n["v"], F.col("j")).alias("v")),
+        )
+        each = near.join(table, "g").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(len(columns) - 1))))
+        return each.where(F.expr("substring(gives, j + 1, 1) = '1'")).select("id", "j", scaled_near.alias("near"))
+
+    def _in_blocks(self, asked: DataFrame, donors: DataFrame, kinds: list[str], near: str) -> DataFrame:
+        """The same for rows and donors of any patterns, block against block."""
         columns, k = self.columns, self.k
-        gaps = F.lit(False)
-        for c in columns:
-            gaps = gaps | col(c).isNull()
-        typed = df.withColumns({c: col(c).cast("double") for c in columns})
-        asked = typed.where(gaps).select(col(self.id_col).alias("id"), *[col(c) for c in columns])
-        kinds = [x.schema["id"].dataType.simpleString() for x in (asked, self.donors)]
-        near = f"array<struct<d: double, donor: {kinds[1]}, v: double>>"
 
         def nearest(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
             rows: list[tuple] = []
             theirs = theirs.sort_values("id", kind="stable")
-            data, donors = (p[columns].to_numpy(dtype="float64") for p in (ours, theirs))
+            data, given = (p[columns].to_numpy(dtype="float64") for p in (ours, theirs))
             names, ids = theirs["id"].to_numpy(), ours["id"].to_numpy()
-            for start in range(0, len(data) if len(donors) else 0, 128):
+            for start in range(0, len(data) if len(given) else 0, 128):
                 block = data[start : start + 128]
-                dist = missing_aware_distance(block, donors)
+                dist = missing_aware_distance(block, given)
                 for j in range(len(columns)):
                     need = np.flatnonzero(np.isnan(block[:, j]))
-                    has = np.flatnonzero(~np.isnan(donors[:, j]))
+                    has = np.flatnonzero(~np.isnan(given[:, j]))
                     if not len(need) or not len(has):
                         continue
                     order = np.argsort(dist[np.ix_(need, has)], axis=1, kind="stable")[:, :k]
                     for i, best in zip(need, has[order]):
-                        found = [(float(dist[i, b]), names[b], float(donors[b, j])) for b in best if not np.isnan(dist[i, b])]
+                        found = [(float(dist[i, b]), names[b], float(given[b, j])) for b in best if not np.isnan(dist[i, b])]
                         rows.append((ids[start + i], j, found))
             return pd.DataFrame(rows, columns=["id", "j", "near"])
 
-        parts = block_pairs(asked, self.donors, [], self.block_rows).applyInPandas(nearest, f"id {kinds[0]}, j int, near {near}")
-        merged = parts.groupBy("id", "j").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
+        return block_pairs(asked.drop("_p"), donors.drop("_p"), [], self.block_rows).applyInPandas(nearest, f"id {kinds[0]}, j int, near {near}")
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Fill the columns of every row; complete rows pass through untouched. Ids have to be unique.
+
+        A value that no donor can give is the donors' mean.
+        """
+        columns, k = self.columns, self.k
+        gaps = F.lit(False)
+        for c in columns:
+            gaps = gaps | col(c).isNull()
+        typed = df.withColumns({c: col(c).cast("double") for c in columns})
+        asked = typed.where(gaps).select(col(self.id_col).alias("id"), *[col(c) for c in columns], _pattern(columns).alias("_p"))
+        asked = materialise(asked, "gaps")
+        kinds = [x.schema["id"].dataType.simpleString() for x in (asked, self.donors)]
+        near = f"array<struct<d: double, donor: {kinds[1]}, v: double>>"
+        ours, theirs = self._frequent(asked), self._frequent(self.donors)
+        often, given = F.col("_p").isin(ours) if ours else F.lit(False), F.col("_p").isin(theirs) if theirs else F.lit(False)
+        parts = [self._indexed(asked, ours, theirs)] if ours and theirs else []
+        for some, donors in ((asked.where(often), self.donors.where(~given)), (asked.where(~often), self.donors)):
+            if not some.isEmpty() and not donors.isEmpty():
+                parts.append(self._in_blocks(some, donors, kinds, near))
+        parts = [p.select("id", "j", F.col("near").cast(near).alias("near")) for p in parts if p is not None]
+        if not parts:
+            parts = [asked.limit(0).select("id", F.lit(0).alias("j"), F.expr(f"cast(array() AS {near})").alias("near"))]
+        found = reduce(DataFrame.unionByName, parts)
+        merged = found.groupBy("id", "j").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
         mean = F.aggregate("near", F.lit(0.0), lambda s, x: s + x["v"]) / F.size("near")
-        found = merged.where(F.size("near") > 0).groupBy("id").agg(
+        filling = merged.where(F.size("near") > 0).groupBy("id").agg(
             *[F.max(F.when(F.col("j") == j, mean)).alias(f"_f{j}") for j in range(len(columns))]
         )
         key = F.col("id").alias("_id")
-        filled = typed.where(gaps).join(found.select(key, *[f"_f{j}" for j in range(len(columns))]), col(self.id_col) == F.col("_id"), "left")
+        filled = typed.where(gaps).join(filling.select(key, *[f"_f{j}" for j in range(len(columns))]), col(self.id_col) == F.col("_id"), "left")
         values = {c: F.coalesce(col(c), F.col(f"_f{j}"), F.lit(self.means[j])) for j, c in enumerate(columns)}
         return typed.where(~gaps).unionByName(filled.withColumns(values).select(*map(col, df.columns)))
 
 
+def _pattern(columns: Sequence[str]) -> Column:
+    """Which columns are present, one character each."""
+    return F.concat(*[F.when(col(c).isNull(), "0").otherwise("1") for c in columns])
+
+
 def missing_aware_distance(rows: np.ndarray, donors: np.ndarray) -> np.ndarray:
     """Squared distance scaled by d / shared; NaN where nothing is shared. Summed feature by feature."""
     total = np.zeros((len(rows), len(donors)))

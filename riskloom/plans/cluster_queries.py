@@ -162,13 +162,13 @@ def kmeans_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _KDIST = f"""{_EMB}, p AS (SELECT * FROM e),
- kd AS (SELECT vec_id, d AS distance FROM (SELECT a.vec_id, list_distance(a.x[1:2], b.x[1:2]) AS d,
-   row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x[1:2], b.x[1:2])) AS r FROM p a CROSS JOIN p b) WHERE r = 5)"""
+ kd AS (SELECT vec_id, d AS distance FROM (SELECT a.vec_id, list_distance(a.x, b.x) AS d,
+   row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x, b.x)) AS r FROM p a CROSS JOIN p b) WHERE r = 5)"""
 
 
 @query("k_distances", f"{_KDIST} SELECT vec_id, {u('distance')} AS distance FROM kd")
 def k_distances(spark: SparkSession, sf: str) -> DataFrame:
-    emb = _embeddings(spark, sf).withColumn("x", F.slice("x", 1, 2))
+    emb = _embeddings(spark, sf)
     return with_micro(neighbours.k_distances(emb, "vec_id", "x", 5, 10).drop("idx"), "distance")
 
 
@@ -185,7 +185,7 @@ def k_distances(spark: SparkSession, sf: str) -> DataFrame:
     SELECT cast(at_i AS int) AS idx, {u('at_v')} AS value FROM l WHERE at_i IS NOT NULL AND nx < lim ORDER BY i LIMIT 1""",
 )
 def k_distance_knee(spark: SparkSession, sf: str) -> DataFrame:
-    emb = _embeddings(spark, sf).withColumn("x", F.slice("x", 1, 2))
+    emb = _embeddings(spark, sf)
     curve = materialise(neighbours.k_distances(emb, "vec_id", "x", 5, 10), "curve")
     return with_micro(knee(curve.select("idx", F.col("distance").alias("value"))), "value")
 

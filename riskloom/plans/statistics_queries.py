@@ -324,7 +324,7 @@ _KNN_COLS = ["amt_credit", "amt_income", "amt_goods", "qty", "disc"]
     "neighbour_imputation",
     f"""{APPS_SQL}, p AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _KNN_COLS)} FROM apps),
     z AS (SELECT app_id, {", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in _KNN_COLS)} FROM apps CROSS JOIN p),
-    donors AS (SELECT * FROM z ORDER BY md5(cast(app_id AS varchar) || '|42') LIMIT 15000),
+    donors AS (SELECT * FROM z),
     gap AS (SELECT * FROM z WHERE {" OR ".join(f"{c} IS NULL" for c in _KNN_COLS)}),
     d AS (SELECT gap.app_id, donors.app_id AS donor,
       ({" + ".join(f"coalesce((gap.{c} - donors.{c}) * (gap.{c} - donors.{c}), 0)" for c in _KNN_COLS)}) * 5
@@ -335,14 +335,13 @@ _KNN_COLS = ["amt_credit", "amt_income", "amt_goods", "qty", "disc"]
     FROM z""",
 )
 def neighbour_imputation(spark: SparkSession, sf: str) -> DataFrame:
-    """Scaled values, gaps filled from the five nearest donors out of a 15,000-row donor sample."""
+    """Scaled values, gaps filled from the five nearest of all rows."""
     apps = _apps(spark, sf).select("app_id", *_KNN_COLS)
     scale = {r["feature"]: r for r in preparation.fit_scaler(apps, _KNN_COLS).collect()}
     z = apps.select(
         "app_id", *[preparation.scaled(F.col(c), scale[c]["mean"], scale[c]["scale"]).alias(c) for c in _KNN_COLS]
     )
-    donors = sampling.sample_rows(z, "app_id", 15_000)
-    imputer = preparation.NeighbourImputer.fit(donors, _KNN_COLS, "app_id")
+    imputer = preparation.NeighbourImputer.fit(z, _KNN_COLS, "app_id")
     return with_micro(imputer.transform(z), *_KNN_COLS)
 
 
