@@ -207,6 +207,21 @@ def dbscan_labels(spark: SparkSession, sf: str) -> DataFrame:
     return dbscan(_flat(spark, sf), "vec_id", ["e0", "e1"], _EPS, _MIN)
 
 
+# On all 64 coordinates, where few distances are shorter than this.
+_WIDE_EPS = 1.15
+
+
+@query(
+    "dbscan_embeddings",
+    _DB.replace("cast(embedding[1] AS double) AS a, cast(embedding[2] AS double) AS b", "cast(embedding AS double[]) AS x")
+    .replace("(p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b)", "list_distance(p.x, q.x) * list_distance(p.x, q.x)")
+    .replace(str(_EPS), str(_WIDE_EPS))
+    + " SELECT vec_id, label FROM db",
+)
+def dbscan_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return dbscan(_embeddings(spark, sf), "vec_id", "x", _WIDE_EPS, _MIN)
+
+
 @query("dbscan_applications")
 def dbscan_applications(spark: SparkSession, sf: str) -> DataFrame:
     """Three scaled numbers of every application; checked against brute force in the tests."""

@@ -96,7 +96,7 @@ def test_dbscan_all_noise_and_salted_join(spark, monkeypatch):
 def test_dbscan_refuses(spark):
     df, names = frame(spark, np.zeros((2, 4)))
     with pytest.raises(ValueError):
-        D.dbscan(df, "id", names, 1.0)
+        D.dbscan(df, "id", [], 1.0)
     with pytest.raises(ValueError):
         D.dbscan(df, "id", names[:2], 0.0)
 
