@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.expr import col, feature_label, top_n
 from riskloom.functions.session import ship, work_dir
+from riskloom.operators.boosting import BoostedTreesModel
 
 
 def _doubles(values: Sequence[float]) -> Column:
@@ -146,15 +147,14 @@ def _leaf_shares(met: list[np.ndarray], shares: list[float]) -> list[np.ndarray]
     return out
 
 
-def tree_contributions(model, df: DataFrame, features: str = "x", output: str = "contributions") -> DataFrame:
-    """Path-dependent Shapley contributions of a tree ensemble for the positive class.
+def _own_leaves(model: BoostedTreesModel) -> tuple[list, float]:
+    """Leaves of boosted trees and their expected margin."""
+    leaves = model.leaf_paths()
+    return leaves, model.start + math.fsum(v * math.prod(c[1] for c in held) for v, held in leaves)
 
-    Adds ``contributions`` and ``base_value``: together they give the probability of a forest, or
-    the log-odds of a boosted model. Expectations follow the training cover of the branches. The
-    leaves are model-sized and copied to the tasks; rows are handled in Arrow batches.
-    """
-    spark = df.sparkSession
-    ship(spark)
+
+def _saved_leaves(model, spark: SparkSession) -> tuple[list, float]:
+    """Leaves of a library model, read from its saved form, and their expected output."""
     is_forest = "RandomForest" in type(model).__name__
     weights = [1.0 / len(model.trees)] * len(model.trees) if is_forest else [2.0 * w for w in model.treeWeights]
     cover = F.aggregate("impurityStats", F.lit(0.0), lambda s, v: s + v) if is_forest else F.get("impurityStats", F.lit(0))
@@ -165,6 +165,19 @@ def tree_contributions(model, df: DataFrame, features: str = "x", output: str =
         for value, conditions in _leaf_paths(part, weights[tree_id], is_forest):
             leaves.append((value, conditions))
             base += value * math.prod(c[1] for c in conditions)
+    return leaves, base
+
+
+def tree_contributions(model, df: DataFrame, features: str = "x", output: str = "contributions") -> DataFrame:
+    """Path-dependent Shapley contributions of a tree ensemble for the positive class.
+
+    Adds ``contributions`` and ``base_value``: together they give the probability of a forest, or
+    the log-odds of a boosted model. Expectations follow the training cover of the branches. The
+    leaves are model-sized and copied to the tasks; rows are handled in Arrow batches.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    leaves, base = _own_leaves(model) if isinstance(model, BoostedTreesModel) else _saved_leaves(model, spark)
     shared = spark.sparkContext.broadcast(leaves)
     names = df.columns
 

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
+from dataclasses import asdict
 from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.expr import col
+from riskloom.operators.boosting import BoostedTrees, settings_of
 from riskloom.operators.preparation import Preprocessor
 
 WEIGHT = "_weight"
@@ -60,20 +61,20 @@ def with_weights(df: DataFrame, target: str, weights: Mapping) -> DataFrame:
     return df.withColumn(WEIGHT, w)
 
 
-# Grid parameters without a counterpart here: candidates that differ in these only are one fit.
-WITHOUT_EFFECT = {"boosting": ("reg_alpha", "reg_lambda")}
-
-
 def effective_params(family: str, params: Mapping) -> dict:
-    """The parameters that change a fit of ``family``."""
-    return {k: v for k, v in params.items() if k not in WITHOUT_EFFECT.get(family, ())}
+    """The parameters that change a fit: candidates that differ in others only are one fit.
+
+    Boosting draws rows only if ``subsample_freq`` says how often.
+    """
+    idle = {"subsample"} if family == "boosting" and not params.get("subsample_freq") else set()
+    return {k: v for k, v in params.items() if k not in idle}
 
 
 def classifier(family: str, params: Mapping, target: str, total_weight: float, seed: int = 42):
     """An estimator of ``family`` (logistic, boosting, forest) for grid parameters.
 
-    Boosting differs from the grid's native library: the leaf count becomes a depth, and the two
-    leaf penalties have no counterpart, so scores are comparable, single numbers are not.
+    Boosting grows leaf-wise trees on histograms with all parameters of the grid; it lifts the positive
+    class itself and takes no weights.
     """
     common = dict(featuresCol=FEATURES, labelCol=target, weightCol=WEIGHT)
     if family == "logistic":
@@ -87,17 +88,7 @@ def classifier(family: str, params: Mapping, target: str, total_weight: float, s
         )
     trees = int(params.get("n_estimators", 100))
     if family == "boosting":
-        depth = max(1, min(MAX_DEPTH, math.ceil(math.log2(params.get("num_leaves", 31)))))
-        return GBTClassifier(
-            **common,
-            maxIter=trees,
-            stepSize=float(params.get("learning_rate", 0.1)),
-            maxDepth=depth,
-            minInstancesPerNode=int(params.get("min_child_samples", 20)),
-            subsamplingRate=float(params.get("subsample", 1.0)),
-            featureSubsetStrategy=str(params.get("colsample_bytree", "all")),
-            seed=seed,
-        )
+        return BoostedTrees(FEATURES, target, **asdict(settings_of(params, SCALE_POS_WEIGHT, seed)))
     if family == "forest":
         depth = params.get("max_depth")
         return RandomForestClassifier(

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.expr import decide
-from riskloom.functions.session import materialise, work_dir
-from riskloom.operators import explain, metrics, models, preparation, registry, sampling, scoring, search
+from riskloom.functions.session import local_table, materialise, work_dir
+from riskloom.operators import boosting, explain, metrics, models, preparation, registry, sampling, scoring, search
 from riskloom.plans.apps import APPS_SQL, NUMERIC, PREDICTIONS_SQL, SCORED_SQL, applications, long_predictions, scored
 from riskloom.plans.catalogue import PREDS, SCORES, SPLIT, query, u, with_micro
 
@@ -322,6 +322,47 @@ def forest_evaluation(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.generalisation_gap(materialise(parts[0].unionByName(parts[1]), "predictions"))
 
 
+# The first cut of a boosted model in SQL: every value of every coarse feature is tried.
+_COARSE = ["least(coalesce(n_lines, 0), 6)", "least(floor(coalesce(qty, 0) / 30), 6)", "least(floor(amt_credit / 40000), 6)", "CASE WHEN cat_segment = 'BUILDING' THEN 1 ELSE 0 END"]
+_L1, _L2, _LEAF, _LIFT = 0.5, 5.0, 100, 11.4
+_UNIT = 16777216.0
+
+
+def _worth(g: str, h: str) -> str:
+    part = f"greatest(abs({g} / {_UNIT}::double) - {_L1}::double, 0)"
+    return f"{part} * {part} / ({h} / {_UNIT}::double + {_L2}::double)"
+
+
+def _leaf(g: str, h: str) -> str:
+    return f"-sign({g}) * greatest(abs({g} / {_UNIT}::double) - {_L1}::double, 0) / ({h} / {_UNIT}::double + {_L2}::double)"
+
+
+@query(
+    "boosting_first_cut",
+    f"""{APPS_SQL}, p AS (SELECT avg(target)::double AS p FROM apps),
+    r AS (SELECT {", ".join(f"cast({c} AS double) AS f{i}" for i, c in enumerate(_COARSE))},
+      round_even(CASE WHEN target = 1 THEN {_LIFT}::double ELSE 1::double END * (p - target) * {_UNIT}::double, 0) AS g,
+      round_even(CASE WHEN target = 1 THEN {_LIFT}::double ELSE 1::double END * p * (1 - p) * {_UNIT}::double, 0) AS h FROM apps CROSS JOIN p),
+    v AS ({" UNION ALL ".join(f"SELECT {i} AS feature, f{i} AS v, sum(g) AS g, sum(h) AS h, count(*) AS n FROM r GROUP BY 2" for i in range(len(_COARSE)))}),
+    c AS (SELECT feature, v AS threshold, sum(g) OVER w AS gl, sum(h) OVER w AS hl, cast(sum(n) OVER w AS bigint) AS nl,
+      sum(g) OVER a AS gt, sum(h) OVER a AS ht, cast(sum(n) OVER a AS bigint) AS nt
+      FROM v WINDOW w AS (PARTITION BY feature ORDER BY v), a AS (PARTITION BY feature))
+    SELECT feature, threshold, nl AS n_left, {u(f"{_worth('gl', 'hl')} + {_worth('(gt - gl)', '(ht - hl)')} - {_worth('gt', 'ht')}")} AS gain,
+      {u(_leaf('gl', 'hl'))} AS value_left, {u(_leaf('(gt - gl)', '(ht - hl)'))} AS value_right
+    FROM c WHERE nl >= {_LEAF} AND nt - nl >= {_LEAF}
+    ORDER BY {_worth('gl', 'hl')} + {_worth('(gt - gl)', '(ht - hl)')} DESC, feature, threshold LIMIT 1""",
+)
+def boosting_first_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """Feature, threshold, gain and leaf values of a boosted model's first cut, with both penalties."""
+    rows = applications(spark, sf).select("target", F.array(*[F.expr(c).cast("double") for c in _COARSE]).alias("x"))
+    fit = boosting.Settings(n_estimators=1, num_leaves=2, min_child_samples=_LEAF, reg_alpha=_L1, reg_lambda=_L2, scale_pos_weight=_LIFT)
+    (tree,), _, _ = boosting.fit_boosting(rows, "x", "target", fit)
+    left, right = tree.left[0], tree.right[0]
+    row = (tree.feature[0], tree.threshold[0], tree.count[left], tree.gain[0], tree.value[left], tree.value[right])
+    out = local_table(spark, [row], "feature int, threshold double, n_left long, gain double, value_left double, value_right double")
+    return with_micro(out, "gain", "value_left", "value_right")
+
+
 @query("tree_importance")
 def tree_importance(spark: SparkSession, sf: str) -> DataFrame:
     _, model, prep = _fitted(spark, sf, "forest", {"n_estimators": 10, "max_depth": 5, "min_samples_leaf": 5})
@@ -388,11 +429,10 @@ def explained_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tree_check(spark: SparkSession, sf: str, family: str, params: dict) -> DataFrame:
-    """Base plus contributions against the model's own output, for the explanation sample."""
+    """Base plus contributions against the model's own output, for every row."""
     split, model, _ = _fitted(spark, sf, family, params)
-    sample = sampling.sample_rows(split, "app_id", 500)
     final = model.stages[-1]
-    out = model.transform(sample.withColumn(models.WEIGHT, F.lit(1.0)))
+    out = model.transform(split.withColumn(models.WEIGHT, F.lit(1.0)))
     p = vector_to_array("probability")[1]
     margin = p if family == "forest" else F.log(p / (1 - p))
     rows = out.select("app_id", vector_to_array("features").alias("x"), margin.alias("margin"))
@@ -401,15 +441,15 @@ def _tree_check(spark: SparkSession, sf: str, family: str, params: dict) -> Data
     return told.select("app_id", (F.abs(total - F.col("margin")) < 1e-6).alias("adds_up"))
 
 
-_SAMPLE_500 = f"{APPS_SQL} SELECT app_id, true AS adds_up FROM apps ORDER BY md5(cast(app_id AS varchar) || '|42') LIMIT 500"
+_ADDS_UP = f"{APPS_SQL} SELECT app_id, true AS adds_up FROM apps"
 
 
-@query("forest_contributions", _SAMPLE_500)
+@query("forest_contributions", _ADDS_UP)
 def forest_contributions(spark: SparkSession, sf: str) -> DataFrame:
     return _tree_check(spark, sf, "forest", {"n_estimators": 5, "max_depth": 4, "min_samples_leaf": 5})
 
 
-@query("boosting_contributions", _SAMPLE_500)
+@query("boosting_contributions", _ADDS_UP)
 def boosting_contributions(spark: SparkSession, sf: str) -> DataFrame:
     return _tree_check(
         spark, sf, "boosting", {"n_estimators": 4, "learning_rate": 0.1, "num_leaves": 15, "min_child_samples": 20}

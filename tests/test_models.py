@@ -30,8 +30,8 @@ def test_schedule():
 def test_grids(spark):
     assert len(models.grid_candidates(models.BOOSTING_GRID)) == 64
     assert len(models.grid_candidates(models.FOREST_GRID)) == 27
-    assert models.classifier("boosting", {"num_leaves": 63}, "t", 1.0).getMaxDepth() == 6
-    assert models.classifier("boosting", {"num_leaves": 127}, "t", 1.0).getMaxDepth() == 7
+    boosted = models.classifier("boosting", models.grid_candidates(models.BOOSTING_GRID)[0], "t", 1.0).settings
+    assert (boosted.num_leaves, boosted.reg_alpha, boosted.reg_lambda, boosted.scale_pos_weight) == (63, 0.5, 5.0, 11.4)
     assert models.classifier("forest", {"max_depth": None}, "t", 1.0).getMaxDepth() == 30
 
 
@@ -168,4 +168,6 @@ def test_search_logs_what_register_best_finds(spark, tmp_path):
     model, threshold = kept.load_production("risk")
     assert threshold == 0.3 and model.transform(df.withColumn("_w", F.lit(1.0))).count() == 240
     assert kept.production("risk")[0] == 2 and set(found.best_params) == {"C"}
-    assert models.effective_params("boosting", {"reg_alpha": 1, "num_leaves": 7}) == {"num_leaves": 7}
+    assert models.effective_params("boosting", {"subsample": 0.7, "num_leaves": 7}) == {"num_leaves": 7}
+    drawn = {"subsample": 0.7, "subsample_freq": 1}
+    assert models.effective_params("boosting", drawn) == drawn
