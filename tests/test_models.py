@@ -128,10 +128,13 @@ def test_tree_contributions_match_enumeration(spark, data, family, params):
     rows = out.select("id", vector_to_array("features").alias("x"), p.alias("p"))
     told = explain.tree_contributions(final, rows).collect()
     is_forest = family == "forest"
-    weights = [1 / len(final.trees)] * len(final.trees) if is_forest else [2 * w for w in final.treeWeights]
-    cover = F.aggregate("impurityStats", F.lit(0.0), lambda s, v: s + v) if is_forest else F.get("impurityStats", F.lit(0))
-    nodes = explain.node_table(final, spark).withColumn("cover", cover).toPandas()
-    leaves = [leaf for t, part in nodes.groupby("treeID") for leaf in explain._leaf_paths(part, weights[t], is_forest)]
+    if is_forest:
+        weights = [1 / len(final.trees)] * len(final.trees)
+        cover = F.aggregate("impurityStats", F.lit(0.0), lambda s, v: s + v)
+        nodes = explain.node_table(final, spark).withColumn("cover", cover).toPandas()
+        leaves = [leaf for t, part in nodes.groupby("treeID") for leaf in explain._leaf_paths(part, weights[t], True)]
+    else:
+        leaves = [(final.start, []), *final.leaf_paths()]
     for r in told:
         phi, base = brute_shapley(leaves, r["x"], len(r["x"]))
         np.testing.assert_allclose(r["contributions"], phi, atol=1e-9)
