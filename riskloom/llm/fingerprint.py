@@ -1,9 +1,10 @@
 """Document fingerprints by a homomorphic multiset hash of paragraphs.
 
-A text is the multiset of its paragraphs (lines that are not blank). A paragraph stands for a wide
+A text is the multiset of its paragraphs (lines that hold more than white space). A paragraph stands for a wide
 vector: the sum of the vectors of its own hash and of its adjacent word pairs, each a row of 128
 bits taken from two 64-bit hashes. The fingerprint is the sum over all paragraphs, lane by lane,
-modulo 2^16, with the number of summands modulo 2^32 in front. So
+modulo 2^32, with the number of summands modulo 2^32 in front. A text of at most 2 GB has fewer than
+2^31 summands, so its lanes are the sums themselves. So
 
 * the order of paragraphs does not matter, and equal multisets have equal fingerprints;
 * paragraphs are inserted or deleted by adding or subtracting fingerprints, without the text;
@@ -29,7 +30,7 @@ _PAIR = (1 << 32) | 1  # one bit in each half of a 64-bit word
 
 def _summands(text: Column) -> Column:
     """Hashes of the paragraphs and of their word pairs (the last word of each stands alone)."""
-    paragraphs = F.filter(F.split(text, "\n"), lambda p: F.trim(p) != "")
+    paragraphs = F.filter(F.split(text, "\n"), lambda p: F.trim(p, F.lit(" \t\r\x0b\x0c")) != "")
 
     def cut(p: Column) -> Column:
         words = F.filter(F.split(p, r"\s+"), lambda w: w != "")
@@ -56,10 +57,10 @@ def _lane_sums(h: str) -> list[Column]:
 def _lanes() -> Column:
     """The fingerprint as an array: number of summands, then the lanes."""
     sums = [F.col(f"_w{i}_{k}") for i in range(2) for k in range(32)]
-    low = [s.bitwiseAND(F.lit(0xFFFF)).cast("int") for s in sums]
-    high = [F.shiftrightunsigned(s, 32).bitwiseAND(F.lit(0xFFFF)).cast("int") for s in sums]
+    low = [s.bitwiseAND(F.lit(0xFFFFFFFF)) for s in sums]
+    high = [F.shiftrightunsigned(s, 32) for s in sums]
     count = F.col("_n").bitwiseAND(F.lit(0xFFFFFFFF))
-    return F.array(count, *[x.cast("long") for x in low + high])
+    return F.array(count, *low, *high)
 
 
 def fingerprint_rows(df: DataFrame, text: str, keys: Sequence[str], column: str = "lanes") -> DataFrame:
@@ -76,37 +77,34 @@ def fingerprint_rows(df: DataFrame, text: str, keys: Sequence[str], column: str
 def combine(a: Column, b: Column, delete: bool = False) -> Column:
     """The fingerprint after inserting (or deleting) the paragraphs of ``b`` into those of ``a``."""
     sign = -1 if delete else 1
-    moduli = F.concat(F.array(F.lit(1 << 32)), F.array_repeat(F.lit(1 << 16), LANES))
-    pairs = F.arrays_zip(F.zip_with(a, b, lambda x, y: x + sign * y).alias("v"), moduli.alias("m"))
-    return F.transform(pairs, lambda p: F.pmod(p["v"], p["m"]))
+    return F.zip_with(a, b, lambda x, y: F.pmod(x + sign * y, F.lit(1 << 32)))
 
 
 def _signs(lanes: Column) -> Column:
-    """Lanes as signed sums: 2 * lane - count, modulo 2^16, between -2^15 and 2^15."""
+    """Lanes as signed sums: 2 * lane - count, modulo 2^32, between -2^31 and 2^31."""
     n = F.element_at(lanes, 1)
-    return F.transform(F.slice(lanes, 2, LANES), lambda x: F.pmod(2 * x - n + 32768, F.lit(65536)) - 32768)
+    half = 1 << 31
+    return F.transform(F.slice(lanes, 2, LANES), lambda x: (F.pmod(2 * x - n + half, F.lit(2 * half)) - half).cast("double"))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: one for equal fingerprints, else the cosine of the signed lanes, zero if negative."""
     pairs = F.zip_with(_signs(a), _signs(b), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    zero = F.struct(F.lit(0).cast("long").alias("xy"), F.lit(0).cast("long").alias("xx"), F.lit(0).cast("long").alias("yy"))
+    zero = F.struct(F.lit(0.0).alias("xy"), F.lit(0.0).alias("xx"), F.lit(0.0).alias("yy"))
     sums = F.aggregate(
         pairs,
         zero,
         lambda s, p: F.struct(
             (s["xy"] + p["x"] * p["y"]).alias("xy"), (s["xx"] + p["x"] * p["x"]).alias("xx"), (s["yy"] + p["y"] * p["y"]).alias("yy")
         ),
-        lambda s: F.when((s["xx"] > 0) & (s["yy"] > 0), s["xy"] / F.sqrt(s["xx"].cast("double") * s["yy"])).otherwise(0.0),
+        lambda s: F.when((s["xx"] > 0) & (s["yy"] > 0), s["xy"] / F.sqrt(s["xx"] * s["yy"])).otherwise(0.0),
     )
     return F.when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), sums)))
 
 
 def to_hex(lanes: Column) -> Column:
-    """The fingerprint as text: eight hex digits for the count, four for each lane."""
-    head = F.lpad(F.lower(F.hex(F.element_at(lanes, 1))), 8, "0")
-    tail = F.transform(F.slice(lanes, 2, LANES), lambda x: F.lpad(F.lower(F.hex(x)), 4, "0"))
-    return F.concat(head, F.array_join(tail, ""))
+    """The fingerprint as text: eight hex digits for the count and for each lane."""
+    return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
 
 
 def with_next(df: DataFrame, key: str, columns: Sequence[str], ranges: int | None = None) -> DataFrame:

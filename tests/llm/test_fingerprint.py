@@ -1,6 +1,9 @@
 """Edited texts against plain Python; the algebra of fingerprints."""
 
 import hashlib
+import math
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +24,57 @@ def test_order_of_paragraphs_does_not_matter_and_contents_do(spark):
     assert got[6] != lanes_of(spark, "one two")[0]
 
 
+def plain_lanes(spark, text):
+    """The fingerprint by adding bits up in Python; only the 64-bit hashes come from Spark."""
+    asked = [[p, *re.findall(r"\S+", p)] for p in text.split("\n") if p.strip(" \t\r\x0b\x0c")]
+    words = sorted({w for p in asked for w in p[1:]})
+    lines = sorted({p[0] for p in asked})
+    df = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("h"))
+    hashed = {r["w"]: r["h"] for r in df.collect()}
+    ends = spark.createDataFrame([(p,) for p in lines], "p string").select("p", F.xxhash64("p", F.lit("paragraph")).alias("h"))
+    by_line = {r["p"]: r["h"] for r in ends.collect()}
+    pairs = {(hashed[a], hashed[b] if b else None) for p in asked for a, b in zip(p[1:], [*p[2:], None])}
+    df = spark.createDataFrame(sorted(pairs, key=str), "a long, b long").select("a", "b", F.xxhash64("a", "b").alias("h"))
+    by_pair = {(r["a"], r["b"]): r["h"] for r in df.collect()}
+    counts = Counter()
+    for p in asked:
+        counts[by_line[p[0]]] += 1
+        for a, b in zip(p[1:], [*p[2:], None]):
+            counts[by_pair[hashed[a], hashed[b] if b else None]] += 1
+    second = spark.createDataFrame([(h,) for h in counts], "h long").select("h", F.xxhash64("h", F.lit(1)).alias("g"))
+    rows = [(r["h"], r["g"], counts[r["h"]]) for r in second.collect()]
+    lanes = [0] * 128
+    for h, g, n in rows:
+        for i, w in enumerate((h, g)):
+            for k in range(32):
+                lanes[32 * i + k] += n * (w >> k & 1)
+                lanes[64 + 32 * i + k] += n * (w >> (k + 32) & 1)
+    return [sum(counts.values()), *lanes]
+
+
+def cosine(a, b):
+    x, y = ([2 * v - lanes[0] for v in lanes[1:]] for lanes in (a, b))
+    top, under = sum(p * q for p, q in zip(x, y)), math.sqrt(sum(p * p for p in x) * sum(q * q for q in y))
+    return 1.0 if a == b else max(0.0, min(1.0, top / under)) if under else 0.0
+
+
+@pytest.mark.parametrize("repeats", [1, 10, 6_000, 100_000])
+def test_against_plain_sums_with_repeated_lines(spark, repeats):
+    """Lanes, edited lanes and both likenesses, also beyond the range of 16-bit counters."""
+    line = "one two three four five\n"
+    texts = {2: line * repeats, 1: "six seven eight\n\t \n" * (2 * repeats) + line}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprint.compare_edits(df).collect()}
+    for own, other in ((2, 1), (1, 2)):
+        text = texts[own]
+        cut = len(text) // 3
+        a, e, b = (plain_lanes(spark, t) for t in (text, text[: len(text) - cut] + texts[other][:cut], texts[other]))
+        r = got[own]
+        assert r["lanes"] == a and r["edited_lanes"] == e
+        assert r["near_edited"] == pytest.approx(cosine(a, e)) and r["near_next"] == pytest.approx(cosine(a, b))
+        assert r["near_edited"] > 0.5 or own == 1 or repeats < 10
+
+
 def test_insertion_and_deletion(spark):
     got = lanes_of(spark, "a b c\nd e", "f g", "d e\nf g\na b c")
     df = spark.createDataFrame([(got[0], got[1], got[2])], "a array<long>, b array<long>, both array<long>")
