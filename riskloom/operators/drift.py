@@ -1,4 +1,5 @@
-"""Two-sample drift: Kolmogorov-Smirnov, chi-square, verdicts and change tables."""
+"""Two-sample drift: Kolmogorov-Smirnov, chi-square, proportions, Wasserstein and Jensen-Shannon distances,
+the choice among them, verdicts and change tables."""
 
 from __future__ import annotations
 
@@ -11,6 +12,7 @@ from pyspark.sql.window import Window
 from riskloom.functions.expr import align_common, col, columns_of_kind, drift_status, unpivot_numeric
 from riskloom.functions.session import local_table, ship, small_table
 from riskloom.functions.special import chi_square_tail_udf, exact_ks_tail_udf, kolmogorov_tail
+from riskloom.operators.registry import ModelRegistry
 from riskloom.operators.ordering import N_CUTS, ROW_LIMIT, bin_counts, cut_points, in_segment, range_index
 
 EXACT_ROWS = 10_000  # values per sample up to which the p-value is exact
@@ -284,10 +286,25 @@ def drift_histograms(reference: DataFrame, current: DataFrame, features: Sequenc
 
 
 def analyze_drift(
-    reference: DataFrame, current: DataFrame, numeric: Sequence[str], categorical: Sequence[str], nan_policy: str = "propagate"
+    reference: DataFrame,
+    current: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    nan_policy: str = "propagate",
+    log_to: ModelRegistry | None = None,
+    experiment: str = "drift",
+    run_name: str = "data drift",
 ) -> dict[str, DataFrame]:
-    """Tests, verdict, moments, histograms and the inconclusive list as named frames."""
+    """Tests, verdict, moments, histograms and the inconclusive list as named frames.
+
+    With ``log_to`` the verdict's counts and the p-values are logged as a run.
+    """
     tests = small_table(drift_tests(reference, current, numeric, categorical, nan_policy))
+    if log_to is not None:
+        told = drift_verdict(tests).first()
+        counts = {c: told[c] for c in ("n_features", "n_drifted", "n_inconclusive", "share_drifted")}
+        p_values = {f"p_value {r['feature']}": r["p_value"] for r in tests.collect() if r["p_value"] is not None}
+        log_to.log_run(experiment, run_name, {"nan_policy": nan_policy}, counts | p_values)
     return {
         "tests": tests,
         "verdict": drift_verdict(tests),
@@ -297,13 +314,155 @@ def analyze_drift(
     }
 
 
-def drift_report(reference: DataFrame, current: DataFrame, drop: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Drift over the columns both sets share, numbers by KS and strings by chi-square.
+# -- distances and the choice of test -------------------------------------------------------------------------
+
+# Fixed values of the report's rule: rows up to which tests are used, levels up to which a number counts
+# as a category, and the limits of a p-value and of a distance.
+SMALL_ROWS = 1_000
+FEW_VALUES = 5
+P_LIMIT = 0.05
+DISTANCE_LIMIT = 0.1
+
+
+def wasserstein_distances(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(feature, distance)``: area between the two distribution functions, in deviations of the reference.
+
+    Equal values are merged first. The axis is cut at sketched quantiles; the area inside a range comes
+    from a window over its own values, the gap to the next range from the range totals, so no feature is
+    sorted in one task. The deviation is the population's, 0.001 at least. Missing values are left out;
+    a feature without values on one side has no distance.
+    """
+    rows = _long_pair(reference, current, features).where(F.col("value").isNotNull()).withColumn("is_cur", 1 - F.col("is_ref"))
+    sketch = small_table(
+        rows.groupBy("feature").agg(
+            cut_points(F.col("value")).alias("cuts"),
+            F.sum("is_ref").alias("n_ref"),
+            F.sum("is_cur").alias("n_cur"),
+            F.stddev_pop(F.when(F.col("is_ref") == 1, F.col("value"))).alias("spread"),
+        )
+    )
+    merged = rows.groupBy("feature", "value").agg(F.sum("is_ref").alias("r"), F.sum("is_cur").alias("c"))
+    ranged = merged.join(sketch.select("feature", "cuts"), "feature").withColumn("place", range_index(F.col("value"), F.col("cuts"))).drop("cuts")
+    totals = ranged.groupBy("feature", "place").agg(F.sum("r").alias("r"), F.sum("c").alias("c"), F.min("value").alias("lo"))
+    by_place = Window.partitionBy("feature").orderBy("place")
+    before = by_place.rowsBetween(Window.unboundedPreceding, -1)
+    upto = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    edges = small_table(totals.select("feature", "place", upto("r").alias("r0"), upto("c").alias("c0"), F.lead("lo").over(by_place).alias("follows")))
+    inner = Window.partitionBy("feature", "place").orderBy("value")
+    cum = inner.rowsBetween(Window.unboundedPreceding, 0)
+    stepped = ranged.join(edges, ["feature", "place"]).select(
+        "feature",
+        "value",
+        (F.col("r0") + F.sum("r").over(cum)).alias("r"),
+        (F.col("c0") + F.sum("c").over(cum)).alias("c"),
+        F.coalesce(F.lead("value").over(inner), F.col("follows")).alias("next"),
+    )
+    gap = F.abs(F.try_divide(F.col("r"), F.col("n_ref")) - F.try_divide(F.col("c"), F.col("n_cur")))
+    area = F.sum(gap * (F.coalesce("next", F.col("value")) - F.col("value")))
+    found = stepped.join(sketch.select("feature", "n_ref", "n_cur"), "feature").groupBy("feature").agg(area.alias("area"))
+    whole = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+    scaled = F.col("area") / F.greatest(F.col("spread"), F.lit(0.001))
+    return small_table(found).join(sketch, "feature").select("feature", F.when(whole, scaled).alias("distance"))
+
+
+def jensen_shannon_distances(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(feature, distance)``: root of the divergence of both category shares from their mean (natural logarithm).
+
+    Nulls are left out; a feature without values on one side has no distance.
+    """
+    counts = category_counts(reference, current, features)
+    totals = small_table(counts.groupBy("feature").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur")))
+    p, q = F.try_divide(F.col("n_ref"), F.col("t_ref")), F.try_divide(F.col("n_cur"), F.col("t_cur"))
+    part = lambda a, b: F.when(a > 0, a * F.log(2.0 * a / (a + b))).otherwise(0.0)
+    mean = counts.join(totals, "feature").groupBy("feature").agg((F.sum(part(p, q) + part(q, p)) / 2).alias("js"))
+    whole = (F.col("t_ref") > 0) & (F.col("t_cur") > 0)
+    return mean.join(totals, "feature").select("feature", F.when(whole, F.sqrt(F.greatest(F.col("js"), F.lit(0.0)))).alias("distance"))
+
+
+def proportion_tests(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(feature, statistic, p_value)``: z-test of the share of the larger of two values, with the pooled share."""
+    ship(reference.sparkSession)
+    counts = category_counts(reference, current, features)
+    one = counts.groupBy("feature").agg(
+        F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"), F.max_by("n_ref", "category").alias("a"), F.max_by("n_cur", "category").alias("b")
+    )
+    pooled = (F.col("a") + F.col("b")) / (F.col("t_ref") + F.col("t_cur"))
+    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), F.col("t_ref")) + F.try_divide(F.lit(1.0), F.col("t_cur"))))
+    gap = F.try_divide(F.col("a"), F.col("t_ref")) - F.try_divide(F.col("b"), F.col("t_cur"))
+    z = F.when(error > 0, gap / error).otherwise(F.when(gap.isNotNull(), 0.0))
+    # The two-sided tail of a normal value is the chi-square tail of its square.
+    return small_table(one.select("feature", z.alias("statistic"))).withColumn(
+        "p_value", chi_square_tail_udf(F.col("statistic") * F.col("statistic"), F.lit(1.0))
+    )
+
+
+def choose_tests(reference: DataFrame, numeric: Sequence[str], categorical: Sequence[str], small_rows: int = SMALL_ROWS) -> DataFrame:
+    """``(feature, kind, n_values, test)`` by type, distinct values of the reference and its number of rows.
+
+    A number with at most five values counts as a category. Up to ``small_rows`` rows: Kolmogorov-Smirnov
+    for numbers, a z-test for two values, chi-square for other categories. Beyond: Wasserstein distance for
+    numbers, Jensen-Shannon distance for categories.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), col(c).cast("string").alias("v")) for c in [*numeric, *categorical]])
+    levels = reference.select(F.inline(pairs)).groupBy("feature", "v").agg(F.count("*").alias("n"))
+    known = small_table(levels.groupBy("feature").agg(F.count("v").alias("n_values")))
+    few = reference.limit(small_rows + 1).count() <= small_rows
+    number = F.col("feature").isin(*numeric) if numeric else F.lit(False)
+    kind = F.when(number & (F.col("n_values") > FEW_VALUES), "number").when(F.col("n_values") == 2, "binary").otherwise("category")
+    names = {"number": ("ks", "wasserstein"), "binary": ("z", "jensen_shannon"), "category": ("chi_square", "jensen_shannon")}
+    test = None
+    for k, pair in names.items():
+        test = F.when(F.col("kind") == k, pair[0] if few else pair[1]) if test is None else test.when(F.col("kind") == k, pair[0] if few else pair[1])
+    asked = local_table(reference.sparkSession, [(f,) for f in [*numeric, *categorical]], "feature string")
+    full = asked.join(known, "feature", "left").na.fill(0, ["n_values"])
+    return small_table(full.withColumn("kind", kind).withColumn("test", test))
+
+
+def chosen_drift_tests(reference: DataFrame, current: DataFrame, numeric: Sequence[str], categorical: Sequence[str], small_rows: int = SMALL_ROWS) -> DataFrame:
+    """``(feature, test, statistic, p_value, limit, status)`` with the test that ``choose_tests`` picks for each feature.
+
+    A test drifts below its p-value's limit, a distance from its limit on. One job per kind of test, not
+    per feature. Missing values are left out.
+    """
+    choice = choose_tests(reference, numeric, categorical, small_rows)
+    picked: dict[str, list[str]] = {}
+    for r in choice.collect():  # one row a feature
+        picked.setdefault(r["test"], []).append(r["feature"])
+    none = F.lit(None).cast("double")
+    parts = []
+    if "ks" in picked:
+        parts.append(ks_test(reference, current, picked["ks"], "omit").select("feature", "statistic", "p_value"))
+    if "chi_square" in picked:
+        parts.append(chi_square_test(reference, current, picked["chi_square"]).select("feature", "statistic", "p_value"))
+    if "z" in picked:
+        parts.append(proportion_tests(reference, current, picked["z"]))
+    if "wasserstein" in picked:
+        parts.append(wasserstein_distances(reference, current, picked["wasserstein"]).select("feature", F.col("distance").alias("statistic"), none.alias("p_value")))
+    if "jensen_shannon" in picked:
+        parts.append(jensen_shannon_distances(reference, current, picked["jensen_shannon"]).select("feature", F.col("distance").alias("statistic"), none.alias("p_value")))
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    distance = F.col("test").isin("wasserstein", "jensen_shannon")
+    drifted = F.when(distance, F.col("statistic") >= DISTANCE_LIMIT).otherwise(F.col("p_value") < P_LIMIT)
+    status = F.when(drifted.isNull(), "inconclusive").when(drifted, "drift").otherwise("no_drift")
+    return choice.select("feature", "test").join(found, "feature", "left").select(
+        "feature", "test", "statistic", "p_value", F.when(distance, DISTANCE_LIMIT).otherwise(P_LIMIT).alias("limit"), status.alias("status")
+    )
+
+
+def drift_report(reference: DataFrame, current: DataFrame, drop: Sequence[str] = (), choose: bool = True, small_rows: int = SMALL_ROWS) -> dict[str, DataFrame]:
+    """Drift over the columns both sets share.
 
-    Missing values are left out of the tests here; the report is about the shared columns as a whole.
+    With ``choose`` each column gets the test that suits its type, values and number of rows; without,
+    numbers are tested by Kolmogorov-Smirnov and strings by chi-square. Missing values are left out.
     """
     ref, cur = align_common(reference, current, drop)
     numeric = [c for c in columns_of_kind(ref) if c in set(columns_of_kind(cur))]
     categorical = [c for c in columns_of_kind(ref, "categorical") if c in set(columns_of_kind(cur, "categorical"))]
-    tests = small_table(drift_tests(ref, cur, numeric, categorical, "omit"))
+    if choose and (numeric or categorical):
+        tests = chosen_drift_tests(ref, cur, numeric, categorical, small_rows)
+    else:
+        tests = drift_tests(ref, cur, numeric, categorical, "omit")
+    tests = small_table(tests)
     return {"tests": tests, "verdict": drift_verdict(tests)}

@@ -7,6 +7,7 @@ driver. k-distances come from the pruned nearest-neighbour join of ``metric``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 import numpy as np
@@ -15,13 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskloom.functions.session import materialise, ship
+from riskloom.functions.session import materialise, ship, small_table
 from riskloom.operators import metric, sampling
 from riskloom.operators.ordering import running_totals
 
 # Rows of a block, and rows compared at a time within a pair of blocks.
 BLOCK_ROWS = 4_000
 _STEP = 32
+_CLUSTERS = 500  # clusters whose moments a row looks at together
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -107,6 +109,47 @@ def silhouette_samples(
     return _silhouettes(rows, [], block_rows).withColumnRenamed("id", id_col)
 
 
+def squared_silhouettes(df: DataFrame, id_col: str, features: str, label: str, drop_noise: bool = False) -> DataFrame:
+    """``(id, cluster, silhouette)`` with squared Euclidean distances, in two aggregates for any number of rows.
+
+    Not the silhouette of :func:`silhouette_samples`: distances are squared before they are averaged.
+    The sum of squared distances from a row to a cluster follows from the cluster's count, sum and sum
+    of squares, so no rows meet: a row looks at the moments of all clusters, some hundred at a time. A cluster of one scores 0; empty if there is one cluster only; rows without a
+    vector, label or id are left out. Coordinates are taken from the mean of all rows to keep digits.
+    """
+    rows = df.where(F.col(label) != -1) if drop_noise else df.where(F.col(label).isNotNull())
+    rows = rows.select(F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("x"), F.col(label).alias("cluster"))
+    rows = materialise(rows.where("id IS NOT NULL AND x IS NOT NULL"), "points")
+    width = rows.select(F.size("x").alias("d")).first()
+    each = range(width["d"] if width else 0)
+    centre = rows.agg(*[F.avg(F.get("x", F.lit(i))).alias(f"m{i}") for i in each], F.count("*").alias("n")).first()
+    if not centre["n"]:
+        return rows.select(F.col("id").alias(id_col), "cluster", F.lit(0.0).alias("silhouette"))
+    shift = F.from_json(F.lit(json.dumps([centre[f"m{i}"] for i in each])), "array<double>")
+    moved = rows.select("id", "cluster", F.zip_with("x", shift, lambda v, m: v - m).alias("x"))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    sums = [F.sum(F.get("x", F.lit(i))).alias(f"s{i}") for i in each]
+    moments = moved.groupBy(F.col("cluster").alias("other")).agg(F.count("*").alias("n"), F.sum(dot(F.col("x"), F.col("x"))).alias("q"), *sums)
+    moments = materialise(moments.select("other", "n", "q", F.array(*[f"s{i}" for i in each]).alias("s")), "moments")
+    blocks = max(1, -(-moments.count() // _CLUSTERS))
+    dealt = moments.withColumn("block", F.pmod(F.xxhash64("other"), F.lit(blocks)).cast("int"))
+    dealt = small_table(dealt.groupBy("block").agg(F.collect_list(F.struct("other", "n", "q", "s")).alias("c")), 64)
+    met = moved.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(dealt, "block")
+    square = dot(F.col("x"), F.col("x"))
+    far = F.transform(
+        "c", lambda c: F.struct(c["other"].alias("other"), c["n"].alias("n"), F.greatest(c["n"] * square - 2 * dot(F.col("x"), c["s"]) + c["q"], F.lit(0.0)).alias("t"))
+    )
+    own = F.filter("far", lambda c: (c["other"] == F.col("cluster")) & (c["n"] > 1))
+    others = F.filter("far", lambda c: c["other"] != F.col("cluster"))
+    near = met.withColumn("far", far).select(
+        "id", "cluster", F.array_max(F.transform(own, lambda c: c["t"] / (c["n"] - 1))).alias("a"), F.array_min(F.transform(others, lambda c: c["t"] / c["n"])).alias("b")
+    )
+    if blocks > 1:
+        near = near.groupBy("id", "cluster").agg(F.max("a").alias("a"), F.min("b").alias("b"))
+    value = F.when(F.col("a").isNull(), 0.0).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    return near.where("b IS NOT NULL").select(F.col("id").alias(id_col), "cluster", value.alias("silhouette"))
+
+
 def mean_silhouette(samples: DataFrame) -> DataFrame:
     """Mean, least and largest silhouette over all points and per cluster (cluster NULL = all)."""
     return samples.rollup("cluster").agg(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 import uuid
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,14 +43,27 @@ def production_versions(events: DataFrame) -> DataFrame:
 
 
 class ModelRegistry:
-    """One folder of run, value and event tables plus the saved models. One writer at a time."""
+    """One folder of run, value and event tables plus the saved models, for any number of writers.
+
+    A version belongs to the writer that created its marker file; creating one that exists fails on the
+    shared file system, and the writer goes on to the next number.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
     def _append(self, table: str, rows: list[tuple], schema: str) -> None:
-        local_table(self.spark, rows, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{table}")
+        self._publish(table, local_table(self.spark, rows, schema))
+
+    def _publish(self, table: str, rows: DataFrame) -> None:
+        """Add ``rows`` in a folder of their own, hidden until it is whole: writers do not meet, readers see all or nothing."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        part = uuid.uuid4().hex
+        rows.coalesce(1).write.mode("error").parquet(f"{self.path}/{table}/_{part}")
+        hidden, shown = (jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}/{p}") for p in (f"_{part}", part))
+        if not hidden.getFileSystem(conf).rename(hidden, shown):
+            raise OSError(f"could not publish {self.path}/{table}/{part}")
 
     def _read(self, table: str, schema: str) -> DataFrame:
         from riskloom.sources.tables import _path_exists
@@ -56,7 +71,7 @@ class ModelRegistry:
         struct = T.StructType.fromDDL(schema)
         if not _path_exists(self.spark, f"{self.path}/{table}"):
             return self.spark.createDataFrame([], struct)
-        return self.spark.read.schema(struct).parquet(f"{self.path}/{table}")
+        return self.spark.read.schema(struct).option("recursiveFileLookup", "true").parquet(f"{self.path}/{table}")
 
     def runs(self) -> DataFrame:
         return self._read("runs", _RUNS)
@@ -122,23 +137,47 @@ class ModelRegistry:
                 self.log_values(run_id, "metric", {"min_business_cost": min_cost})
             self.log_values(run_id, "tag", READY_TAGS)
         one = local_table(self.spark, [(model_name, run_id, time.time_ns(), promote)], _REGISTRATION)
-        self.register(one)
-        return self.events().where(F.col("name") == model_name).agg(F.max("version").alias("v")).first()["v"]
-
-    def register(self, registrations: DataFrame) -> None:
+        return self.register(one)[model_name][-1]
+
+    def _claim(self, name: str, after: int, count: int) -> list[int]:
+        """``count`` versions of ``name`` above ``after`` that no other writer has."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        folder = f"{self.path}/claims/{hashlib.sha256(name.encode()).hexdigest()[:32]}"
+        found: list[int] = []
+        version = after
+        while len(found) < count:
+            version += 1
+            path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{version}")
+            try:
+                path.getFileSystem(conf).create(path, False).close()
+            except Py4JJavaError as e:
+                if "AlreadyExists" not in e.java_exception.getClass().getName():
+                    raise
+                continue
+            found.append(version)
+        return found
+
+    def register(self, registrations: DataFrame) -> dict[str, list[int]]:
         """Append the events of ``(name, run_id, logged_at, promote)`` rows, in time order per name.
 
-        Versions go on from those there are. A promoted version becomes Production and archives the
-        ones in Production before it.
+        Versions go on from those there are and are claimed before they are written; returned per name. A
+        promoted version becomes Production and archives the ones in Production before it.
         """
-        known = self.events()
-        base = known.groupBy("name").agg(F.max("version").alias("base"), F.max("seq").alias("last"))
+        registrations = materialise(registrations, "registrations")
+        known = materialise(self.events(), "events")
+        asked = registrations.groupBy("name").agg(F.count("*").alias("n")).join(
+            known.groupBy("name").agg(F.max("version").alias("base")), "name", "left"
+        )
+        claimed = {r["name"]: self._claim(r["name"], r["base"] or 0, r["n"]) for r in asked.collect()}  # one row a model
+        places = [(name, i + 1, v) for name, versions in claimed.items() for i, v in enumerate(versions)]
+        versions = local_table(self.spark, places, "name string, n int, version int")
+        base = known.groupBy("name").agg(F.max("seq").alias("last"))
         live = current_stages(known).where(F.col("stage") == "Production").select("name", "version", "run_id")
         order = Window.partitionBy("name").orderBy("logged_at", "run_id")
         rows = registrations.join(base, "name", "left").withColumn("n", F.row_number().over(order))
         # Three places per registration: new, the archived ones, the promoted one.
         start = F.greatest(F.coalesce("last", F.lit(0)) + 1, F.col("logged_at")) + F.col("n") * 3
-        rows = rows.select("name", "run_id", "promote", (F.coalesce("base", F.lit(0)) + F.col("n")).cast("int").alias("version"), start.alias("seq"))
+        rows = rows.withColumn("seq", start).join(versions, ["name", "n"]).select("name", "run_id", "promote", "version", "seq")
         rows = materialise(rows, "registrations")
         promoted = rows.where("promote")
         before = Window.partitionBy("name").orderBy("version")
@@ -152,7 +191,8 @@ class ModelRegistry:
             .unionByName(archived.select("name", "version", "run_id", F.lit("Archived").alias("stage"), (F.col("seq") + 1).alias("seq")))
             .unionByName(promoted.select("name", "version", "run_id", F.lit("Production").alias("stage"), (F.col("seq") + 2).alias("seq")))
         )
-        events.coalesce(1).write.mode("append").parquet(f"{self.path}/events")
+        self._publish("events", events)
+        return claimed
 
     def production(self, model_name: str, default_threshold: float = SERVING_THRESHOLD) -> tuple[int, str, float] | None:
         """``(version, model_path, threshold)`` of the Production version, or None."""

@@ -137,6 +137,16 @@ def silhouette_means(spark: SparkSession, sf: str) -> DataFrame:
     return with_micro(neighbours.mean_silhouette(points), "mean_silhouette", "min_silhouette", "max_silhouette")
 
 
+@query(
+    "silhouette_squared",
+    f"""{_SIL.replace("sum(list_distance(a.x, b.x))", "sum(list_distance(a.x, b.x) * list_distance(a.x, b.x))")}
+    SELECT vec_id, label AS cluster, {u('s')} AS silhouette FROM sil""",
+)
+def silhouette_squared(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with squared distances, from the clusters' moments."""
+    return with_micro(neighbours.squared_silhouettes(_embeddings(spark, sf), "vec_id", "x", "label"), "silhouette")
+
+
 @query("kmeans_labels")
 def kmeans_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Clusters on the features and on the first three components."""

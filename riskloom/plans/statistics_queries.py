@@ -488,5 +488,44 @@ def drift_report(spark: SparkSession, sf: str) -> DataFrame:
     border = F.lit(start).cast(events.schema["ts"].dataType) + F.expr("INTERVAL 15 DAY")
     ref = events.where(F.col("ts") < border).select("event_id", "event_type", "value")
     cur = events.where(F.col("ts") >= border).select("value", "event_type", "user_id")
-    tests = drift.drift_report(ref, cur)["tests"]
+    tests = drift.drift_report(ref, cur, choose=False)["tests"]
     return with_micro(tests.select("feature", "test", "statistic"), "statistic")
+
+
+_DISTANCES = f"""{_KS_D.split(" sizes AS")[0].replace("w AS (SELECT feature,", "w AS (SELECT feature, v,")}
+ g AS (SELECT feature, abs(fr - fc) * (lead(v) OVER (PARTITION BY feature ORDER BY v) - v) AS area FROM w),
+ sp AS ({_union(f"SELECT '{{c}}' AS feature, stddev_pop({{c}}) FILTER ({_REF}) AS spread FROM apps")}),
+ wd AS (SELECT feature, sum(area) / greatest(max(spread), 0.001) AS distance FROM g JOIN sp USING (feature) GROUP BY 1),
+ {_CHI.split(" e AS")[0]}
+ pq AS (SELECT feature, a / ta AS p, b / tb AS q FROM o JOIN t USING (feature)),
+ js AS (SELECT feature, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS distance
+   FROM pq GROUP BY 1)"""
+
+
+@query(
+    "drift_distances",
+    f"{APPS_SQL}, {_DISTANCES} SELECT feature, 'wasserstein' AS test, {u('distance')} AS distance FROM wd UNION ALL SELECT feature, 'jensen_shannon', {u('distance')} FROM js",
+)
+def drift_distances(spark: SparkSession, sf: str) -> DataFrame:
+    """Area between the distribution functions of numbers, distance of the shares of categories."""
+    ref, cur = reference_current(_apps(spark, sf))
+    w = drift.wasserstein_distances(ref, cur, NUMERIC).withColumn("test", F.lit("wasserstein"))
+    j = drift.jensen_shannon_distances(ref, cur, CATEGORICAL).withColumn("test", F.lit("jensen_shannon"))
+    return with_micro(w.unionByName(j).select("feature", "test", "distance"), "distance")
+
+
+@query(
+    "drift_choice",
+    f"""{APPS_SQL}, {_DISTANCES}, few AS (SELECT count(*) FILTER ({_REF}) <= 100 AS small FROM apps),
+    nv AS ({_union(f"SELECT '{{c}}' AS feature, count(DISTINCT {{c}}) FILTER ({_REF}) AS n_values FROM apps", [*NUMERIC, *CATEGORICAL])}),
+    al AS (SELECT * FROM wd UNION ALL SELECT * FROM js)
+    SELECT feature, CASE WHEN feature IN (SELECT feature FROM wd) THEN 'wasserstein' ELSE 'jensen_shannon' END AS test, {u('distance')} AS statistic,
+      CASE WHEN distance >= 0.1 THEN 'drift' ELSE 'no_drift' END AS status FROM al JOIN nv USING (feature)
+    WHERE NOT (SELECT small FROM few)""",
+)
+def drift_choice(spark: SparkSession, sf: str) -> DataFrame:
+    """The report over all shared columns, each with the test chosen for it; more than 100 rows count as many."""
+    ref, cur = reference_current(_apps(spark, sf))
+    names = ["app_id", *NUMERIC, *CATEGORICAL]
+    tests = drift.drift_report(ref.select(*names), cur.select(*names), drop=["app_id"], small_rows=100)["tests"]
+    return with_micro(tests.select("feature", "test", "statistic", "status"), "statistic")

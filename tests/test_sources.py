@@ -101,3 +101,20 @@ def test_a_rewritten_table_is_queried_anew(spark, tmp_path):
     again = Database(spark, path)
     assert again.execute_query(sql, cache_key="n").first()["n"] == 5
     assert again.clear_cache() == 2 and Database(spark, path).clear_cache() == 0
+
+
+def test_two_writers_get_versions_of_their_own(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from riskloom.operators.registry import ModelRegistry
+
+    kept = ModelRegistry(spark, str(tmp_path / "registry"))
+    kept.log_run("e", "r")
+
+    def work(_):
+        return [ModelRegistry(spark, kept.path).register_best("e", "r", "m") for _ in range(6)]
+
+    with ThreadPoolExecutor(2) as pool:
+        got = [v for versions in pool.map(work, range(2)) for v in versions]
+    assert sorted(got) == list(range(1, 13))
+    assert sorted(r["version"] for r in kept.events().collect()) == list(range(1, 13))
