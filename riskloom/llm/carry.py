@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.window import Window
 
 from riskloom.functions.expr import col
 from riskloom.functions.session import ship
@@ -19,6 +20,30 @@ from riskloom.functions.session import ship
 PART_BYTES = 1 << 20
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called that."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def distinct_draws(df: DataFrame, draw: Column, limit: int, by: str | None = None) -> DataFrame:
+    """At most ``limit`` rows of ``df`` (for each value of ``by``), those of smallest ``draw``; equal draws are one row.
+
+    Copies of a row go before anything is shuffled, so no group of them can fill the sample.
+    """
+    keys = ["draw_", *([by] if by else [])]
+    row = F.min(F.struct(*[col(c) for c in df.columns if c != by])).alias("row_")
+    single = df.withColumn("draw_", draw).groupBy(*keys).agg(row)
+    if by:
+        place = F.row_number().over(Window.partitionBy(by).orderBy("draw_"))
+        single = single.withColumn("place_", place).where(F.col("place_") <= limit).drop("place_")
+    else:
+        single = single.orderBy("draw_").limit(limit)
+    return single.select(*[F.col(by) if c == by else F.col("row_").getField(c).alias(c) for c in df.columns], "draw_")
+
+
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about ``PART_BYTES`` of text; a longer text is a slice of its own."""
     if not batch.num_rows:

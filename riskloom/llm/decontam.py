@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.session import ship
+from riskloom.llm.carry import free_name
 
 WINDOW = 13
 # Bytes of benchmark text in one automaton (about 130 MB of nodes in a worker). A larger benchmark
@@ -215,7 +216,8 @@ def find_contamination(
     size = asked.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     keep = df.drop(*_ADDED.names)
-    given = keep.select(*[keep[c] for c in keep.columns], df[text].cast("string").alias("_text"))
+    name = free_name(df, "_text")
+    given = keep.select(*[keep[c] for c in keep.columns], df[text].cast("string").alias(name))
     out = T.StructType(given.schema.fields + _ADDED.fields)
     arrow = to_arrow_schema(out)
 
@@ -225,17 +227,18 @@ def find_contamination(
         return _block_name(items, window), spark.sparkContext.broadcast(items)
 
     if blocks == 1:
-        return given.mapInArrow(_scanner(*block(0), window, per, arrow), out).drop("_text")
-    texts = given.select(F.unhex(F.sha2("_text", 256)).alias("_key"), "_text")
+        return given.mapInArrow(_scanner(*block(0), window, per, arrow), out).drop(name)
+    key, runs, items = (free_name(df, n) for n in ("_key", "_runs", "_items"))
+    texts = given.select(F.unhex(F.sha2(name, 256)).alias("_key"), name)
     found = None
     for b in range(blocks):
         hits = texts.mapInArrow(_finder(*block(b), window, to_arrow_schema(_FOUND)), _FOUND)
         found = hits if found is None else found.unionByName(hits)
     # Copies of a text give the same rows, so the distinct ones describe the text.
-    merged = found.distinct().groupBy("_key").agg(
-        F.collect_list(F.struct("_first", "_last")).alias("_runs"),
-        F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items"),
+    merged = found.distinct().groupBy(F.col("_key").alias(key)).agg(
+        F.collect_list(F.struct("_first", "_last")).alias(runs),
+        F.array_distinct(F.flatten(F.collect_list("_items"))).alias(items),
     )
-    joined = given.withColumn("_key", F.unhex(F.sha2("_text", 256))).join(merged, "_key", "left").drop("_key")
-    return joined.mapInArrow(_merger(per, arrow), out).drop("_text")
+    joined = given.withColumn(key, F.unhex(F.sha2(name, 256))).join(merged, key, "left").drop(key)
+    return joined.mapInArrow(_merger(per, arrow), out).drop(name)
 

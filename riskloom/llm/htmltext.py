@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.session import ship
+from riskloom.llm.carry import distinct_draws, free_name
 
 # Bounds of the training sample.
 SAMPLE_PAGES = 150
@@ -360,18 +361,19 @@ def train(pages: list[str], rounds: int = ROUNDS, rate: float = 0.05, pull: floa
 
 
 def fit_page_model(df: DataFrame, page: str = "html", key: str = "page_id", sample: int = SAMPLE_PAGES) -> TreeModel:
-    """Train on about ``sample`` pages chosen by a hash of ``key``; pages over ``SAMPLE_BYTES`` are not.
+    """Train on at most ``sample`` pages chosen by a hash of key and page; pages over ``SAMPLE_BYTES`` are not.
 
-    One count of all rows sets the sampling rate; the sample itself is all that is collected.
+    Rows equal in both are drawn once. One count of all rows sets the sampling rate; the sample itself
+    is all that is collected.
     """
     usable = df.where(F.octet_length(df[page]) <= SAMPLE_BYTES)
     count = usable.count()
     if not count:
         return TreeModel()
-    draw = F.pmod(F.xxhash64(df[key].cast("string"), F.lit("page")), F.lit(1 << 24))
-    rate = min(1.0, sample / count)
-    rows = usable.where(draw < int(rate * (1 << 24))).select(draw.alias("d"), df[page].alias("page")).collect()
-    return train([r["page"] for r in sorted(rows, key=lambda r: (r["d"], r["page"]))])
+    rate = min(1.0, 1.3 * sample / count)
+    given = usable.select(df[page].cast("string").alias("page"), F.xxhash64(df[key].cast("string"), df[page], F.lit("page")).alias("h"))
+    rows = distinct_draws(given.where(F.pmod("h", F.lit(1 << 24)) < int(rate * (1 << 24))), F.col("h"), sample).collect()
+    return train([r["page"] for r in sorted(rows, key=lambda r: (r["h"], r["page"]))])
 
 
 def _extractor(model, schema: pa.Schema):
@@ -405,6 +407,6 @@ def extract_text(df: DataFrame, model: TreeModel, page: str = "html", column: st
     ship(spark)
     names = [c for c in df.columns if c not in (page, column)]
     out = T.StructType([df.schema[c] for c in names]).add(column, "string")
-    given = df.select(*[df[c] for c in names], df[page].cast("string").alias("_page"))
+    given = df.select(*[df[c] for c in names], df[page].cast("string").alias(free_name(df, "_page")))
     # The model has one weight per feature name of the bounded sample.
     return given.mapInArrow(_extractor(spark.sparkContext.broadcast(model), to_arrow_schema(out)), out)

@@ -24,15 +24,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.session import ship
+from riskloom.llm.carry import distinct_draws, free_name
 
 UNDETERMINED = "und"
 SIZES = (2, 3, 4)
 BUCKET_BITS = 16
 DIMENSIONS = 16
-# Bounds of the training sample: rows per language, languages, and bytes of a sampled text.
+# Bounds of the training sample: rows per language, languages, and characters taken of a sampled text.
 ROWS_PER_LANGUAGE = 700
 MAX_LANGUAGES = 200
-MAX_TEXT_BYTES = 20_000
+MAX_TEXT_CHARS = 20_000
 # Characters handled at a time.
 PIECE_CHARS = 1 << 16
 # A small sample is gone through more often, up to this many steps.
@@ -193,23 +194,27 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(
     df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows_per_language: int = ROWS_PER_LANGUAGE
 ) -> list[tuple[str, str]]:
-    """At most about ``rows_per_language`` labelled rows of each language, chosen by a hash of ``key``.
+    """At most ``rows_per_language`` labelled rows of each language, chosen by a hash of key and text.
 
-    Rows without text or label and texts over ``MAX_TEXT_BYTES`` bytes are not sampled. One count
-    per language over all rows sets the sampling rate; the sample itself is all that is collected.
+    Rows without text or label are not sampled; of a text over ``MAX_TEXT_CHARS`` a piece is. Rows equal
+    in key and text are drawn once, rows without a key each by its text. One count per language over all
+    rows sets the sampling rate; the sample itself is all that is collected.
     """
-    usable = df.where(df[lang].isNotNull() & (F.octet_length(df[text]) <= MAX_TEXT_BYTES) & (F.length(df[text]) > 0))
-    counts = usable.groupBy(df[lang].alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    usable = df.where(df[lang].isNotNull() & (F.length(df[text]) > 0))
+    given = usable.select(df[lang].alias("lang"), df[key].cast("string").alias("key"), df[text].cast("string").alias("text"))
+    counts = given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not counts:
         return []
     # 24 bits of a hash against the language's rate.
-    draw = F.pmod(F.xxhash64(df[key].cast("string"), F.lit("language")), F.lit(1 << 24))
+    hashed = F.xxhash64("key", "text", F.lit("language"))
     wanted = F.lit(False)
     for r in counts:
         rate = min(1.0, rows_per_language / r["count"])
-        wanted = wanted | ((df[lang] == r["lang"]) & (draw < int(rate * (1 << 24))))
-    got = usable.where(wanted).select(draw.alias("d"), df[lang].alias("lang"), df[text].alias("text")).collect()
-    return [(r["text"], r["lang"]) for r in sorted(got, key=lambda r: (r["d"], r["lang"], r["text"]))]
+        wanted = wanted | ((F.col("lang") == r["lang"]) & (F.pmod(hashed, F.lit(1 << 24)) < int(rate * (1 << 24))))
+    spare = F.greatest(F.length("text") - MAX_TEXT_CHARS, F.lit(0)).cast("long")
+    piece = F.substring(F.col("text"), (F.pmod(hashed, spare + 1) + 1).cast("int"), F.lit(MAX_TEXT_CHARS))
+    got = distinct_draws(given.where(wanted).select("lang", piece.alias("text"), hashed.alias("h")), F.col("h"), rows_per_language, "lang")
+    return [(r["text"], r["lang"]) for r in sorted(got.collect(), key=lambda r: (r["h"], r["lang"], r["text"]))]
 
 
 def _predictor(model, schema: pa.Schema):
@@ -236,10 +241,11 @@ def predict_language(df: DataFrame, model: LanguageModel, text: str = "text") ->
     ship(spark)
     added = T.StructType().add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
     keep = df.drop(*added.names)
-    given = keep.select(*[keep[c] for c in keep.columns], df[text].cast("string").alias("_text"))
+    name = free_name(df, "_text")
+    given = keep.select(*[keep[c] for c in keep.columns], df[text].cast("string").alias(name))
     out = T.StructType(given.schema.fields + added.fields)
     # The model has a fixed number of buckets: 65,536 rows of one float per language.
-    return given.mapInArrow(_predictor(spark.sparkContext.broadcast(model), to_arrow_schema(out)), out).drop("_text")
+    return given.mapInArrow(_predictor(spark.sparkContext.broadcast(model), to_arrow_schema(out)), out).drop(name)
 
 
 def fit_language_model(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> LanguageModel:

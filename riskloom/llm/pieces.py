@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.session import ship
+from riskloom.llm.carry import free_name
 
 SPACE = "▁"
 # Chunks remembered per Python worker: two generations of this many (about 150 MB together), and
@@ -263,10 +264,11 @@ def encode_pieces(df: DataFrame, model_path: str, text: str = "text", bos: bool
     added = T.StructType().add("n_tokens", "long").add("ids", "binary").add("decoded", "string").add("library_agrees", "boolean")
     keep = df.drop(*added.names)
     # The text goes in under a name of its own, so that an output column may replace it.
-    given = keep.select(*[keep[c] for c in keep.columns], df[text].cast("string").alias("_text"))
+    name = free_name(df, "_text")
+    given = keep.select(*[keep[c] for c in keep.columns], df[text].cast("string").alias(name))
     out = T.StructType(given.schema.fields + added.fields)
     fn = _encoder(model_path, len(keep.columns), bos, eos, to_arrow_schema(out))
-    return given.mapInArrow(fn, out).drop("_text")
+    return given.mapInArrow(fn, out).drop(name)
 
 
 def unpack_ids(column: str) -> F.Column:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.session import ship
+from riskloom.llm.carry import distinct_draws, free_name
 
 # Bounds of the training sample: rows per value of the last category, and bytes of a sampled text.
 ROWS_PER_CLASS = 2_000
@@ -167,23 +168,26 @@ def train(
 def labelled_sample(
     df: DataFrame, labels: DataFrame, last: str, key: str = "doc_id", rows_per_class: int = ROWS_PER_CLASS
 ) -> DataFrame:
-    """Rows of ``df`` with their labels, at most about ``rows_per_class`` for each value of ``last``.
+    """Rows of ``df`` with their labels, at most ``rows_per_class`` for each value of ``last``.
 
-    Labels are chosen by a hash of ``key``, at a rate set by one count of all labels, and so few are
-    left that they are broadcast: the texts are scanned once and not shuffled. ``sample_weight`` is
-    the number of labels that a row stands for. Labels that are neither 0 nor 1, or have no key, are
-    not used.
+    Labels are chosen by a hash of all their columns, at a rate set by one count; equal ones count once
+    and at most ``rows_per_class`` of a class are left, so few that they are broadcast: the texts are
+    scanned once and not shuffled. Where an id has many rows or labels, the joined rows are reduced to the
+    bound once more, equal ones to one. ``sample_weight`` is the number of labels that a row stands for.
+    Labels that are neither 0 nor 1, or have no key, are not used.
     """
     usable = labels.where(labels[last].isin(0, 1) & labels[key].isNotNull())
     counts = {r[0]: r[1] for r in usable.groupBy(F.col(last).cast("int")).count().collect()}
-    draw = F.pmod(F.xxhash64(labels[key].cast("string"), F.lit("toxicity")), F.lit(1 << 24))
+    draw = F.xxhash64(*[labels[c].cast("string") for c in labels.columns], F.lit("toxicity"))
     wanted, weight = F.lit(False), F.lit(1.0)
     for value, n in counts.items():
         rate = min(1.0, rows_per_class / n)
-        wanted = wanted | ((labels[last] == value) & (draw < int(rate * (1 << 24))))
+        wanted = wanted | ((labels[last] == value) & (F.pmod(draw, F.lit(1 << 24)) < int(rate * (1 << 24))))
         weight = F.when(labels[last] == value, 1 / rate).otherwise(weight)
     chosen = usable.where(wanted).select(key, *[c for c in labels.columns if c != key], weight.alias("sample_weight"))
-    return df.join(F.broadcast(chosen), key)
+    few = distinct_draws(chosen, F.xxhash64(*[F.col(c).cast("string") for c in chosen.columns]), rows_per_class, last).drop("draw_")
+    joined = df.join(F.broadcast(few), key)
+    return distinct_draws(joined, F.xxhash64(*[F.col(c).cast("string") for c in joined.columns]), rows_per_class, last).drop("draw_")
 
 
 def fit_chain(sample: DataFrame, categories: Sequence[str], text: str = "text", key: str = "doc_id") -> Chain:
@@ -230,10 +234,11 @@ def predict_toxicity(df: DataFrame, chain: Chain, text: str = "text", flag: str
         added = added.add(f"p_{c}", "double")
     added = added.add(flag, "boolean")
     keep = df.drop(*added.names)
-    given = keep.select(*[keep[c] for c in keep.columns], df[text].cast("string").alias("_text"))
+    name = free_name(df, "_text")
+    given = keep.select(*[keep[c] for c in keep.columns], df[text].cast("string").alias(name))
     out = T.StructType(given.schema.fields + added.fields)
     # At most MAX_FEATURES weights for each category.
-    return given.mapInArrow(_predictor(spark.sparkContext.broadcast(chain), to_arrow_schema(out)), out).drop("_text")
+    return given.mapInArrow(_predictor(spark.sparkContext.broadcast(chain), to_arrow_schema(out)), out).drop(name)
 
 
 def holds_word(text: Column, words: Sequence[str]) -> Column:

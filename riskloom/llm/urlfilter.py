@@ -105,18 +105,19 @@ def judge_urls(
     joined by token, distinct urls only, and the verdicts joined back by url.
     """
     added = ["host", "path", "rule", "pattern", "verdict"]
-    keep = [df[c] for c in df.columns if c not in added]
+    names = [c for c in df.columns if c not in added]
     host, path = host_and_path(df[url])
-    base = df.select(*keep, host.alias("host"), path.alias("path")).withColumn("_subject", F.concat("host", "path"))
+    # The caller's columns travel as one, whatever they are called.
+    row = F.struct(*[df[c] for c in names]) if names else F.struct(F.lit(0).alias("none"))
+    base = df.select(row.alias("_row"), host.alias("host"), path.alias("path")).withColumn("_subject", F.concat("host", "path"))
     index = index_rules(base, rules)
     if len(index) <= literal_rules:
         judged = base.withColumn("_best", _by_literal(index))
     else:
         judged = base.join(_by_join(base.select("_subject").distinct(), index), "_subject", "left")
     site = F.col("_best.site")
-    names = [c for c in df.columns if c not in added]
     return judged.select(
-        *[F.col(f"`{c}`") for c in names],
+        *[F.col("_row").getField(c).alias(c) for c in names],
         "host",
         "path",
         F.when(site, F.col("_best.name")).alias("rule"),
