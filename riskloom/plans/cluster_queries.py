@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.session import materialise
+from riskloom.functions.session import local_table, materialise
 from riskloom.operators import density, kmeans, neighbours, preparation, reduction
 from riskloom.operators.dbscan import dbscan, knee
 from riskloom.plans.apps import APPS_SQL, applications, read
@@ -182,18 +182,25 @@ def k_distances(spark: SparkSession, sf: str) -> DataFrame:
     return with_micro(neighbours.k_distances(emb, "vec_id", "x", 5, 10).drop("idx"), "distance")
 
 
-@query(
-    "k_distance_knee",
-    f"""{_KDIST}, s AS (SELECT distance AS v, row_number() OVER (ORDER BY distance DESC, vec_id) - 1 AS i FROM kd),
+_KNEE = f"""{_KDIST}, s AS (SELECT distance AS v, row_number() OVER (ORDER BY distance DESC, vec_id) - 1 AS i FROM kd),
     n AS (SELECT v, i, 1.0 - (v - min(v) OVER ()) / (max(v) OVER () - min(v) OVER ()) - i / (max(i) OVER ())::double AS d,
       1.0 / max(i) OVER () AS step FROM s),
     t AS (SELECT *, lead(d) OVER w AS nx, d >= coalesce(lag(d) OVER w, d) AND d >= coalesce(lead(d) OVER w, d) AS top,
       d <= coalesce(lag(d) OVER w, d) AND d <= coalesce(lead(d) OVER w, d) AS bottom FROM n WINDOW w AS (ORDER BY i)),
     l AS (SELECT *, last_value(CASE WHEN bottom THEN 0 WHEN top THEN d - step END IGNORE NULLS) OVER (ORDER BY i) AS lim,
       last_value(CASE WHEN top THEN i END IGNORE NULLS) OVER (ORDER BY i) AS at_i,
-      last_value(CASE WHEN top THEN v END IGNORE NULLS) OVER (ORDER BY i) AS at_v FROM t)
-    SELECT cast(at_i AS int) AS idx, {u('at_v')} AS value FROM l WHERE at_i IS NOT NULL AND nx < lim ORDER BY i LIMIT 1""",
-)
+      last_value(CASE WHEN top THEN v END IGNORE NULLS) OVER (ORDER BY i) AS at_v FROM t),
+    k AS (SELECT cast(at_i AS int) AS idx, at_v AS value FROM l WHERE at_i IS NOT NULL AND nx < lim ORDER BY i LIMIT 1)"""
+
+
+@query("chosen_eps", f"{_KNEE} SELECT {u('coalesce(max(value), 0.5)')} AS eps FROM k")
+def chosen_eps(spark: SparkSession, sf: str) -> DataFrame:
+    """The radius at the knee, one half where the curve has none."""
+    eps = density.choose_eps(_embeddings(spark, sf), "vec_id", "x", 5, 10)
+    return with_micro(local_table(spark, [(eps,)], "eps double"), "eps")
+
+
+@query("k_distance_knee", f"{_KNEE} SELECT idx, {u('value')} AS value FROM k")
 def k_distance_knee(spark: SparkSession, sf: str) -> DataFrame:
     emb = _embeddings(spark, sf)
     curve = materialise(neighbours.k_distances(emb, "vec_id", "x", 5, 10), "curve")
