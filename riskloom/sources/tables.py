@@ -149,8 +149,9 @@ class Database:
         df = self.spark.sql(sql, args=dict(args)) if args else self.spark.sql(sql)
         if cache_key is None:
             return df
-        canonical = " ".join(sql.split()) + repr(sorted((args or {}).items()))
-        digest = hashlib.sha256(f"{self._state()}\x00{cache_key}\x00{canonical}".encode()).hexdigest()[:24]
+        # The text as it is given: blanks inside a literal are part of the query.
+        asked = repr((self._state(), cache_key, sql.strip(), sorted((args or {}).items())))
+        digest = hashlib.sha256(asked.encode()).hexdigest()[:24]
         label = re.sub(r"[^0-9A-Za-z_-]", "", cache_key)[:40]
         path = f"{self._results()}/{label}-{digest}"
         if digest not in self._cached:

@@ -118,3 +118,10 @@ def test_two_writers_get_versions_of_their_own(spark, tmp_path):
         got = [v for versions in pool.map(work, range(2)) for v in versions]
     assert sorted(got) == list(range(1, 13))
     assert sorted(r["version"] for r in kept.events().collect()) == list(range(1, 13))
+
+
+def test_blanks_in_literals_are_told_apart(spark, tmp_path):
+    spark.range(1).write.parquet(f"{tmp_path}/db/t.parquet")
+    db = Database(spark, f"{tmp_path}/db")
+    got = [db.execute_query(f"SELECT '{x}' AS v FROM t", cache_key="k").first()["v"] for x in ("a b", "a  b")]
+    assert got == ["a b", "a  b"]
