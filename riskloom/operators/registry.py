@@ -147,16 +147,28 @@ class ModelRegistry:
         version = after
         while len(found) < count:
             version += 1
-            path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{version}")
-            try:
-                path.getFileSystem(conf).create(path, False).close()
-            except Py4JJavaError as e:
-                if "AlreadyExists" not in e.java_exception.getClass().getName():
-                    raise
-                continue
-            found.append(version)
+            if self._create(jvm, conf, f"{folder}/{version}"):
+                found.append(version)
         return found
 
+    @staticmethod
+    def _create(jvm, conf, name: str) -> bool:
+        """Create a file that must not exist; False if it does. Atomic on shared file systems and on local disks."""
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        fs = path.getFileSystem(conf)
+        if fs.getScheme() == "file":
+            # The local file system of Hadoop looks first and creates then; the JVM's own call does both at once.
+            file = jvm.java.io.File(path.toUri().getPath())
+            file.getParentFile().mkdirs()
+            return file.createNewFile()
+        try:
+            fs.create(path, False).close()
+        except Py4JJavaError as e:
+            if "AlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+            return False
+        return True
+
     def register(self, registrations: DataFrame) -> dict[str, list[int]]:
         """Append the events of ``(name, run_id, logged_at, promote)`` rows, in time order per name.
 

@@ -121,7 +121,18 @@ def test_two_writers_get_versions_of_their_own(spark, tmp_path):
 
 
 def test_blanks_in_literals_are_told_apart(spark, tmp_path):
-    spark.range(1).write.parquet(f"{tmp_path}/db/t.parquet")
+    create_database({"t": spark.range(1)}, f"{tmp_path}/db")
     db = Database(spark, f"{tmp_path}/db")
     got = [db.execute_query(f"SELECT '{x}' AS v FROM t", cache_key="k").first()["v"] for x in ("a b", "a  b")]
     assert got == ["a b", "a  b"]
+
+
+def test_claims_of_many_threads_are_distinct(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from riskloom.operators.registry import ModelRegistry
+
+    kept = ModelRegistry(spark, str(tmp_path / "registry"))
+    with ThreadPoolExecutor(4) as pool:
+        got = [v for versions in pool.map(lambda _: kept._claim("m", 0, 25), range(4)) for v in versions]
+    assert sorted(got) == list(range(1, 101))
