@@ -45,11 +45,12 @@ class HashCounts:
     local: dict | None  # stratum -> {prefix: rows}; None when there are too many strata
 
     @classmethod
-    def of(cls, df: DataFrame, id_col: str, stratum: str | None = None, seed: int = 42) -> HashCounts:
+    def of(cls, df: DataFrame, id_col: str, stratum: str | None = None, seed: int = 42, held: int | None = None) -> HashCounts:
+        held = MAX_COUNTERS if held is None else held
         keyed = _keyed(df, id_col, stratum, seed)
         counts = keyed.groupBy("stratum", F.substring("key", 1, _STEP).alias("prefix")).agg(F.count("*").alias("n"))
-        rows = counts.limit(MAX_COUNTERS + 1).collect()
-        if len(rows) > MAX_COUNTERS:
+        rows = counts.limit(held + 1).collect()
+        if len(rows) > held:
             return cls(keyed, materialise(counts, "hash_counts"), None)
         local: dict = {}
         for r in rows:
@@ -238,29 +239,75 @@ def allocate(draws: int, sizes: Mapping) -> dict:
     return base
 
 
+def _first_places(table: DataFrame, order: Sequence[Column], n: int, output: str) -> DataFrame:
+    """Add ``output``: true for the first ``n`` rows by ``order``, which no two rows may share.
+
+    Rows are dealt by ranges of the order and ranked inside them; what comes before a range is the
+    sum of the counts of the ranges before it, one row each.
+    """
+    dealt = materialise(table.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "places")
+    before, offsets = 0, []
+    for p, rows in sorted(map(tuple, dealt.groupBy("_p").count().collect())):
+        offsets.append((p, before))
+        before += rows
+    starts = local_table(table.sparkSession, offsets, "_p int, _before long")
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_p").orderBy(*order))
+    return dealt.join(starts, "_p").withColumn(output, place <= n).drop("_p", "_before")
+
+
+def allocated(sizes: DataFrame, size: str, draws: int, output: str) -> DataFrame:
+    """:func:`allocate` for a table of any number of classes: adds ``output`` to ``sizes(stratum, ...)``."""
+    total = sizes.agg(F.sum(size)).first()[0] or 0
+    if total == 0:
+        return sizes.withColumn(output, F.lit(0).cast("long"))
+    whole = F.lit(total).cast("decimal(19,0)")
+    exact = F.lit(draws).cast("decimal(19,0)") * F.col(size).cast("decimal(19,0)")
+    shared = sizes.withColumn("_rem", exact % whole).withColumn("_base", ((exact - F.col("_rem")) / whole).cast("long"))
+    odd = draws - shared.agg(F.sum("_base")).first()[0]
+    marked = _first_places(shared, [F.col("_rem").desc(), F.col("stratum").asc()], odd, "_odd")
+    return marked.withColumn(output, F.col("_base") + F.col("_odd").cast("long")).drop("_rem", "_base", "_odd")
+
+
+def _cut_rows(df: DataFrame, stratum: str, counts: HashCounts, ranks: dict[str, Column], sizes: DataFrame) -> DataFrame:
+    """:func:`_join_cuts` from a table of classes; ``ranks`` names each cut's rank in ``sizes``."""
+    cuts = F.explode(F.array(*[F.struct(F.lit(n).alias("cut"), r.cast("long").alias("rank")) for n, r in ranks.items()]))
+    keys = counts.key_table(sizes.select("stratum", cuts.alias("c")).select("stratum", "c.cut", "c.rank"))
+    wide = keys.groupBy(F.col("stratum").alias(stratum)).agg(
+        *[F.max(F.when(F.col("cut") == n, F.col("key"))).alias(f"cut_{n}") for n in ranks]
+    )
+    return df.join(wide, stratum, "left")
+
+
 def split_rows(
-    df: DataFrame, id_col: str, target: str, test_size: float = 0.2, val_size: float = 0.2, seed: int = 42
+    df: DataFrame, id_col: str, target: str, test_size: float = 0.2, val_size: float = 0.2, seed: int = 42, held: int | None = None
 ) -> DataFrame:
     """Add ``split``: 'test_final', 'val' or 'train', stratified on ``target``.
 
     Every id falls in one split by construction. ``val_size`` is a share of what is left after
-    the test rows. Rows without a target are left out.
+    the test rows. Rows without a target are left out. Any number of classes is taken: up to ``held``
+    counters (by default 100,000, 256 a class) the quotas are numbers of the driver, beyond that they
+    are a table; the result is the same.
     """
-    counts = HashCounts.of(df, id_col, target, seed)
-    sizes = counts.sizes()
-    test = allocate(math.ceil(test_size * sum(sizes.values())), sizes)
-    left = {k: sizes[k] - test[k] for k in sizes}
-    val = allocate(math.ceil(val_size * sum(left.values())), left)
-    cuts = counts.keys_at([(k, "test", test[k]) for k in sizes] + [(k, "val", test[k] + val[k]) for k in sizes])
+    counts = HashCounts.of(df, id_col, target, seed, held)
+    known = df.where(col(target).isNotNull())
+    if counts.local is None:
+        classes = materialise(counts.table.groupBy("stratum").agg(F.sum("n").alias("n")), "classes")
+        total = classes.agg(F.sum("n")).first()[0]
+        test = materialise(allocated(classes, "n", math.ceil(test_size * total), "test"), "classes")
+        left = test.withColumn("left", F.col("n") - F.col("test"))
+        rest = left.agg(F.sum("left")).first()[0]
+        quotas = materialise(allocated(left, "left", math.ceil(val_size * rest), "val"), "classes")
+        marked = _cut_rows(known, target, counts, {"test": F.col("test"), "val": F.col("test") + F.col("val")}, quotas)
+    else:
+        sizes = counts.sizes()
+        test = allocate(math.ceil(test_size * sum(sizes.values())), sizes)
+        left = {k: sizes[k] - test[k] for k in sizes}
+        val = allocate(math.ceil(val_size * sum(left.values())), left)
+        cuts = counts.keys_at([(k, "test", test[k]) for k in sizes] + [(k, "val", test[k] + val[k]) for k in sizes])
+        marked = _join_cuts(known, target, cuts, ["test", "val"])
     key = sample_key(id_col, seed)
-    return (
-        _join_cuts(df.where(col(target).isNotNull()), target, cuts, ["test", "val"])
-        .withColumn(
-            "split",
-            F.when(key <= F.col("cut_test"), "test_final").when(key <= F.col("cut_val"), "val").otherwise("train"),
-        )
-        .select(*map(col, df.columns), "split")
-    )
+    split = F.when(key <= F.col("cut_test"), "test_final").when(key <= F.col("cut_val"), "val").otherwise("train")
+    return marked.withColumn("split", split).select(*map(col, df.columns), "split")
 
 
 def split_sets(split_df: DataFrame) -> dict[str, DataFrame]:
@@ -288,20 +335,29 @@ def split_overlap(df: DataFrame, id_col: str, split_col: str = "split") -> DataF
     )
 
 
-def stratified_folds(df: DataFrame, id_col: str, target: str, k: int = 3, seed: int = 42) -> DataFrame:
-    """Add ``fold`` 0..k-1: consecutive hash ranges per class, sizes differing by at most one."""
-    counts = HashCounts.of(df, id_col, target, seed)
-    wanted = []
-    for label, n in counts.sizes().items():
-        upto = 0
-        for j in range(k - 1):
-            upto += n // k + (1 if j < n % k else 0)
-            wanted.append((label, str(j), upto))
-    cuts = counts.keys_at(wanted)
+def stratified_folds(df: DataFrame, id_col: str, target: str, k: int = 3, seed: int = 42, held: int | None = None) -> DataFrame:
+    """Add ``fold`` 0..k-1: consecutive hash ranges per class, sizes differing by at most one.
+
+    Any number of classes is taken; ``held`` is that of :func:`split_rows`.
+    """
+    counts = HashCounts.of(df, id_col, target, seed, held)
+    known = df.where(col(target).isNotNull())
+    names = [str(j) for j in range(k - 1)]
+    if counts.local is None:
+        classes = materialise(counts.table.groupBy("stratum").agg(F.sum("n").alias("n")), "classes")
+        whole, odd = F.floor(F.col("n") / k), F.col("n") % k
+        upto = {n: (int(n) + 1) * whole + F.least(odd, F.lit(int(n) + 1)) for n in names}
+        rows = _cut_rows(known, target, counts, upto, classes) if names else known
+    else:
+        wanted = []
+        for label, n in counts.sizes().items():
+            upto = 0
+            for j in range(k - 1):
+                upto += n // k + (1 if j < n % k else 0)
+                wanted.append((label, str(j), upto))
+        rows = _join_cuts(known, target, counts.keys_at(wanted), names)
     key = sample_key(id_col, seed)
     fold = F.lit(k - 1)
     for j in reversed(range(k - 1)):
         fold = F.when(key <= F.col(f"cut_{j}"), F.lit(j)).otherwise(fold)
-    names = [str(j) for j in range(k - 1)]
-    rows = _join_cuts(df.where(col(target).isNotNull()), target, cuts, names)
     return rows.withColumn("fold", fold.cast("int")).select(*map(col, df.columns), "fold")

@@ -348,3 +348,26 @@ def feature_labels(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_MANY = SPLIT[SPLIT.index("cls AS") :].replace("apps", "many")
+_CUSTOMERS = "many AS (SELECT o_orderkey AS app_id, o_custkey AS target FROM orders)"
+
+
+def _orders_by_customer(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "orders").select(F.col("o_orderkey").alias("app_id"), F.col("o_custkey").alias("target"))
+
+
+@query("split_many_classes", f"WITH {_CUSTOMERS}, {_MANY} SELECT app_id, target, split FROM sp")
+def split_many_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders split within each customer, with quotas kept as a table."""
+    return sampling.split_rows(_orders_by_customer(spark, sf), "app_id", "target", held=1000)
+
+
+@query(
+    "folds_many_classes",
+    f"""WITH {_CUSTOMERS}, k AS (SELECT *, count(*) OVER (PARTITION BY target) AS n,
+      row_number() OVER (PARTITION BY target ORDER BY md5(cast(app_id AS varchar) || '|42')) AS r FROM many)
+    SELECT app_id, target, CASE WHEN r <= n // 3 + least(n % 3, 1) THEN 0
+      WHEN r <= 2 * (n // 3) + least(n % 3, 2) THEN 1 ELSE 2 END AS fold FROM k""",
+)
+def folds_many_classes(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.stratified_folds(_orders_by_customer(spark, sf), "app_id", "target", 3, held=1000)

@@ -70,14 +70,14 @@ def test_tiny_buckets_and_many_strata_give_the_same_rows(spark, monkeypatch):
     df = frame(spark, {0: 700, 1: 200, 2: 100})
     plain = [sorted(r[0] for r in f.collect()) for f in (S.sample_rows(df, "id", 57), S.stratified_sample(df, "id", "y", 55))]
     capped = sorted(r[0] for r in S.noise_capped_sample(df, "id", "y", 90).collect())
+    split = sorted(map(tuple, S.split_rows(df, "id", "y").collect()))
     monkeypatch.setattr(S, "BUCKET_ROWS", 1)
     again = [sorted(r[0] for r in f.collect()) for f in (S.sample_rows(df, "id", 57), S.stratified_sample(df, "id", "y", 55))]
     assert again == plain
     monkeypatch.setattr(S, "MAX_COUNTERS", 300)
     assert sorted(r[0] for r in S.stratified_sample(df, "id", "y", 55).collect()) == plain[1]
     assert sorted(r[0] for r in S.noise_capped_sample(df, "id", "y", 90).collect()) == capped
-    with pytest.raises(ValueError):
-        S.split_rows(df, "id", "y")
+    assert sorted(map(tuple, S.split_rows(df, "id", "y").collect())) == split
 
 
 def test_noise_is_capped(spark):
@@ -97,3 +97,29 @@ def test_summary_shares(spark):
     split = S.split_rows(frame(spark, {0: 80, 1: 20}), "id", "y")
     got = {r["split"]: r["pct"] for r in S.split_summary(split).collect()}
     assert got == {"train": 80.0, "val": 20.0, "test_final": 20.0}
+
+
+@pytest.mark.parametrize("sizes", [{i: 1 + i % 7 for i in range(60)}, {i: 3 for i in range(40)}, {0: 500, 1: 1, 2: 2, 9: 60}])
+def test_quotas_as_a_table_equal_those_of_the_driver(spark, sizes):
+    df = frame(spark, sizes).unionByName(spark.createDataFrame([(10**6, None)], "id long, y int"))
+    for make in (S.split_rows, S.stratified_folds):
+        want = sorted(map(tuple, make(df, "id", "y").collect()))
+        assert sorted(map(tuple, make(df, "id", "y", held=2).collect())) == want
+        assert len(want) == sum(sizes.values())
+
+
+def test_thousands_of_classes_are_split_and_folded(spark):
+    df = spark.range(0, 40000).select("id", F.concat(F.lit("c"), F.col("id") % 5000).alias("y"))
+    split = S.split_rows(df, "id", "y", held=1000).cache()
+    n = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
+    assert n == {"test_final": 8000, "val": 6400, "train": 25600} and S.split_overlap(split, "id").count() == 0
+    tests = {r["y"]: r["count"] for r in split.where("split = 'test_final'").groupBy("y").count().collect()}
+    assert set(tests.values()) == {1, 2} and [y for y in sorted({f"c{i}" for i in range(5000)}) if tests[y] == 2] == sorted(tests)[:3000]
+    folds = S.stratified_folds(df, "id", "y", 3, held=1000).groupBy("y", "fold").count().collect()
+    assert {r["count"] for r in folds} == {2, 3} and len(folds) == 15000
+
+
+def test_empty_and_unlabelled_tables_have_no_classes(spark):
+    none = spark.createDataFrame([(1, None)], "id long, y int")
+    assert S.split_rows(none, "id", "y", held=0).count() == 0
+    assert S.stratified_folds(none.limit(0), "id", "y", held=0).count() == 0
