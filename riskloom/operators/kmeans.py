@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from riskloom.functions.expr import col
 from riskloom.functions.session import local_table, materialise, small_table
 from riskloom.operators import sampling
+from riskloom.operators.minibatch import fit_minibatch
 from riskloom.operators.neighbours import group_silhouettes, mean_silhouette, silhouette_samples
 
 MAX_CLUSTERS = 2_000
@@ -86,9 +87,18 @@ def assign_nearest(df: DataFrame, features: str, centres: DataFrame, output: str
 
 
 def elbow(
-    df: DataFrame, id_col: str, features: str, ks: Sequence[int] = range(2, 9), sample_size: int | None = None, seed: int = 42
+    df: DataFrame,
+    id_col: str,
+    features: str,
+    ks: Sequence[int] = range(2, 9),
+    sample_size: int | None = None,
+    seed: int = 42,
+    batch_size: int | None = None,
 ) -> DataFrame:
-    """``(k, inertia, silhouette)``: cost on all rows, mean silhouette (of a sample if asked for), 0 for k = 1."""
+    """``(k, inertia, silhouette)``: cost on all rows, mean silhouette (of a sample if asked for), 0 for k = 1.
+
+    With ``batch_size`` the centres are fitted by mini-batches, otherwise by passes over all rows.
+    """
     rows = materialise(df.select(id_col, F.col(features).cast("array<double>").alias("x")), "elbow")
     out = []
     for k in ks:
@@ -97,10 +107,15 @@ def elbow(
             inertia = assign_nearest(rows, "x", centre).agg(F.sum(F.col("distance") * F.col("distance")).alias("s")).first()["s"]
             out.append((1, float(inertia), 0.0))
             continue
-        model, labelled = fit_kmeans(rows, "x", k, seed=seed)
+        if batch_size is None:
+            model, labelled = fit_kmeans(rows, "x", k, seed=seed)
+            inertia = model.summary.trainingCost
+        else:
+            model = fit_minibatch(rows, id_col, "x", k, batch_size, seed=seed)
+            labelled, inertia = model.transform(rows, "x").drop("distance"), model.cost(rows, "x")
         scores = silhouette_samples(labelled, id_col, "x", "cluster", sample_size, seed=seed)
         mean = scores.agg(F.avg("silhouette").alias("s")).first()["s"]
-        out.append((int(k), float(model.summary.trainingCost), None if mean is None else float(mean)))
+        out.append((int(k), float(inertia), None if mean is None else float(mean)))
     return local_table(df.sparkSession, out, "k int, inertia double, silhouette double")
 
 

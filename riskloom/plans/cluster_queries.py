@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.session import local_table, materialise
-from riskloom.operators import density, kmeans, neighbours, preparation, reduction
+from riskloom.operators import density, kmeans, minibatch, neighbours, preparation, reduction
 from riskloom.operators.dbscan import dbscan, knee
 from riskloom.plans.apps import APPS_SQL, applications, read
 from riskloom.plans.catalogue import query, u, with_micro
@@ -163,6 +163,21 @@ def kmeans_elbow(spark: SparkSession, sf: str) -> DataFrame:
     return kmeans.elbow(pc, "vec_id", "pc", [1, *range(2, 9)])
 
 
+@query("minibatch_labels")
+def minibatch_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters by mini-batches, all rows assigned; checked against plain numpy in the tests."""
+    emb = materialise(_embeddings(spark, sf), "emb")
+    model = minibatch.fit_minibatch(emb, "vec_id", "x", 4, batch_size=1_000)
+    return with_micro(model.transform(emb, "x").select("vec_id", "cluster", "distance"), "distance")
+
+
+@query("minibatch_elbow")
+def minibatch_elbow(spark: SparkSession, sf: str) -> DataFrame:
+    emb = materialise(_embeddings(spark, sf), "emb")
+    pc = reduction.Components.fit(emb, "x", 3).transform(emb, "x")
+    return kmeans.elbow(pc, "vec_id", "pc", [1, *range(2, 9)], batch_size=1_000)
+
+
 @query("kmeans_importance")
 def kmeans_importance(spark: SparkSession, sf: str) -> DataFrame:
     z = reduction.feature_array(_complete(spark, sf), _SCALED)
