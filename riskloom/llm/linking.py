@@ -8,13 +8,27 @@ from pyspark.sql import functions as F
 from riskloom.functions.session import materialise
 
 
+PARTS = 64  # tasks that the rows of one key may be dealt to
+
+
+def join_split(rows: DataFrame, table: DataFrame, key: str, by: str, parts: int = PARTS) -> DataFrame:
+    """``rows`` joined with ``table``, of which a key has one row, with no task holding all rows of a key.
+
+    Rows are dealt by key and a part of ``by``; only distinct (key, part) pairs, at most ``parts`` a key,
+    meet the table itself.
+    """
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
+    owned = dealt.select(key, "_part").distinct().join(table, key)
+    return dealt.join(owned, [key, "_part"]).drop("_part")
+
+
 def _star(links: DataFrame) -> DataFrame:
     """One round: every node's neighbours are tied to its smallest neighbour, larger ones first."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m"))
-    tied = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u <> v")
+    tied = join_split(both.where("v > u"), low, "u", "v").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u <> v")
     low = tied.groupBy("u").agg(F.min("v").alias("m"))
-    below = tied.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    below = join_split(tied, low, "u", "v").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return below.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.session import materialise, ship
-from riskloom.llm.linking import component_roots
+from riskloom.llm.linking import component_roots, join_split
 
 GROUP = 2048
 SHINGLE = 3
@@ -283,4 +283,4 @@ def near_duplicate_groups(df: DataFrame, id_column: str = "doc_id", text: str =
     rooted = first.join(roots, first["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(smallest, "root").select("fp", "root", "component_id")
-    return prints.join(classes, "fp").select(F.col("_id").alias(id_column), "fp", "root", "component_id")
+    return join_split(prints, classes, "fp", "_id").select(F.col("_id").alias(id_column), "fp", "root", "component_id")
