@@ -94,10 +94,11 @@ def elbow(
     sample_size: int | None = None,
     seed: int = 42,
     batch_size: int | None = None,
+    steps: int = 50,
 ) -> DataFrame:
     """``(k, inertia, silhouette)``: cost on all rows, mean silhouette (of a sample if asked for), 0 for k = 1.
 
-    With ``batch_size`` the centres are fitted by mini-batches, otherwise by passes over all rows.
+    With ``batch_size`` the centres are fitted by up to ``steps`` mini-batches, otherwise by passes over all rows.
     """
     rows = materialise(df.select(id_col, F.col(features).cast("array<double>").alias("x")), "elbow")
     out = []
@@ -111,7 +112,7 @@ def elbow(
             model, labelled = fit_kmeans(rows, "x", k, seed=seed)
             inertia = model.summary.trainingCost
         else:
-            model = fit_minibatch(rows, id_col, "x", k, batch_size, seed=seed)
+            model = fit_minibatch(rows, id_col, "x", k, batch_size, steps, seed=seed)
             labelled, inertia = model.transform(rows, "x").drop("distance"), model.cost(rows, "x")
         scores = silhouette_samples(labelled, id_col, "x", "cluster", sample_size, seed=seed)
         mean = scores.agg(F.avg("silhouette").alias("s")).first()["s"]

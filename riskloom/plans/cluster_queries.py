@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.session import local_table, materialise
-from riskloom.operators import density, kmeans, minibatch, neighbours, preparation, reduction
+from riskloom.operators import density, kmeans, minibatch, neighbours, preparation, reduction, wide_components
 from riskloom.operators.dbscan import dbscan, knee
 from riskloom.plans.apps import APPS_SQL, applications, read
 from riskloom.plans.catalogue import query, u, with_micro
@@ -66,6 +66,19 @@ def pca_total_variance(spark: SparkSession, sf: str) -> DataFrame:
     return with_micro(table.agg(F.sum("variance").alias("total")), "total")
 
 
+@query(
+    "pca_wide_moments",
+    f"""{_EMB}, v AS (SELECT vec_id, i, x[i] AS v FROM e, range(1, {_DIMS + 1}) g(i)),
+    c AS (SELECT a.i, b.i AS j, covar_samp(a.v, b.v) AS c FROM v a JOIN v b ON a.vec_id = b.vec_id GROUP BY ALL)
+    SELECT {u("sum(CASE WHEN i = j THEN c END)")} AS total, {u("sum(c * c)")} AS squares FROM c""",
+)
+def pca_wide_moments(spark: SparkSession, sf: str) -> DataFrame:
+    """The variances of all components, found in passes, add up to the trace; their squares to the covariances' squares."""
+    model = wide_components.fit_wide(_embeddings(spark, sf), "x", _DIMS)
+    table = model.explained_variance(spark)
+    return with_micro(table.agg(F.sum("variance").alias("total"), F.sum(F.col("variance") * F.col("variance")).alias("squares")), "total", "squares")
+
+
 @query("pca_explained_variance")
 def pca_explained_variance(spark: SparkSession, sf: str) -> DataFrame:
     return reduction.Components.fit(_embeddings(spark, sf), "x", 20).explained_variance(spark)
@@ -175,7 +188,7 @@ def minibatch_labels(spark: SparkSession, sf: str) -> DataFrame:
 def minibatch_elbow(spark: SparkSession, sf: str) -> DataFrame:
     emb = materialise(_embeddings(spark, sf), "emb")
     pc = reduction.Components.fit(emb, "x", 3).transform(emb, "x")
-    return kmeans.elbow(pc, "vec_id", "pc", [1, *range(2, 9)], batch_size=1_000)
+    return kmeans.elbow(pc, "vec_id", "pc", [1, *range(2, 9)], batch_size=1_000, steps=10)
 
 
 @query("kmeans_importance")
