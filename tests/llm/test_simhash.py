@@ -78,7 +78,7 @@ def test_links_join_what_brute_force_joins(spark, group):
     df = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
     links = [(r["u"], r["v"]) for r in simhash.fingerprint_links(df, group=group).collect()]
     mask = (1 << 64) - 1
-    assert all(bin((u ^ v) & mask).count("1") <= 64 for u, v in links)
+    assert all(u != v for u, v in links)
     root = {p: p for p in prints}
 
     def top(p):
