@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,7 @@ _GAP = re.compile(rb"[\x20\x09-\x0D]")
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
-def _shingles(text: str, size: int) -> Iterator[list[bytes]]:
+def shingles_of(text: str, size: int) -> Iterator[list[bytes]]:
     """Word shingles of a text, piece by piece; a text of fewer words is one shingle."""
     data = text.encode().lower()  # on bytes: A-Z only
     held: list[bytes] = []
@@ -61,7 +61,7 @@ def fingerprint(text: str | None, size: int = SHINGLE, seed: int = SEED) -> int:
     ones = np.zeros(64, np.int64)
     count = 0
     digest = xxhash.xxh64_digest
-    for shingles in _shingles(text or "", size):
+    for shingles in shingles_of(text or "", size):
         hashes = np.frombuffer(b"".join([digest(s, seed) for s in shingles]), np.uint8).reshape(-1, 8)
         count += len(hashes)
         for byte in range(8):
@@ -251,17 +251,28 @@ def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     smallest by its other columns. Ids need not be unique: a row is found by its id and its text's
     digest, which lie in one component only. Columns are returned as given.
     """
-    digest = F.coalesce(F.unhex(F.sha2(docs[text].cast("string").cast("binary"), 256)), F.unhex(F.lit("")))
-    marked = docs.select(docs[id_column].alias("_id"), digest.alias("_digest"), docs[text].alias("_t"))
+    marked = docs.select(docs[id_column].alias("_id"), text_digest(docs[text]).alias("_digest"), docs[text].alias("_t"))
     prints = materialise(add_fingerprint(marked, "_t"), "fingerprints")
     first = prints.groupBy("fp").agg(F.min(F.struct(F.col("_id").isNull().alias("nameless"), "_id", "_digest")).alias("row"))
     roots = component_roots(fingerprint_links(prints))
     rooted = first.join(roots, first["fp"] == roots["node"], "left").select(F.coalesce("root", "fp").alias("root"), "row")
     chosen = rooted.groupBy("root").agg(F.min("row").alias("row")).select("row._id", "row._digest")
-    staying = materialise(chosen, "staying")
+    return rows_of(docs, prints, materialise(chosen, "staying"), id_column, text)
+
+
+def text_digest(text: Column) -> Column:
+    """SHA-256 of a text; a null one has an empty digest."""
+    return F.coalesce(F.unhex(F.sha2(text.cast("string").cast("binary"), 256)), F.unhex(F.lit("")))
+
+
+def rows_of(docs: DataFrame, marked: DataFrame, staying: DataFrame, id_column: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``staying(_id, _digest)`` names; of rows equal in both, one.
+
+    ``marked`` holds ``_id`` and ``_digest`` of every row.
+    """
     same = staying["_id"].eqNullSafe(F.col("_own_id")) & (staying["_digest"] == F.col("_own_digest"))
-    repeated = prints.groupBy(F.col("_id").alias("_own_id"), F.col("_digest").alias("_own_digest")).count().where("count > 1")
-    given = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[id_column].alias("_own_id"), digest.alias("_own_digest"))
+    repeated = marked.groupBy(F.col("_id").alias("_own_id"), F.col("_digest").alias("_own_digest")).count().where("count > 1")
+    given = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[id_column].alias("_own_id"), text_digest(docs[text]).alias("_own_digest"))
     if not repeated.join(staying, same, "left_semi").isEmpty():
         # Rows equal in id and text: one of them, reduced before anything is dealt out.
         others = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in (id_column, text)]
