@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.session import materialise
-from riskloom.llm import decontam, langid, pieces, queries, simhash, suffixes
+from riskloom.llm import decontam, langid, nearcopies, pieces, queries, suffixes
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -25,8 +25,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of smallest id."""
-    return simhash.keep_one_of_each(docs.select(*COLUMNS))
+    """One document of each group of near copies (five words, 0.8 or more), the one of smallest id."""
+    return nearcopies.keep_one_of_near_copies(docs.select(*COLUMNS))
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
