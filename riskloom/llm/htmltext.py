@@ -8,7 +8,8 @@ content if its marginal says so, and comes out block by block in page order.
 
 The weights are fitted by gradient ascent on the likelihood of labelled pages, drawn towards priors
 that know the usual names of page furniture, so that names the sample lacks still count. Pages label
-themselves where their markup names the article.
+themselves where their markup names the article. Where hardly a page of the sample does, the article
+is the smallest element with most of the page's plain text (outside links and furniture).
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ from riskloom.llm.carry import distinct_draws, free_name
 # Bounds of the training sample.
 SAMPLE_PAGES = 150
 SAMPLE_BYTES = 60_000
+# With fewer pages that name their article, the others are labelled by where their text lies.
+NAMED_PAGES = 20
+# Share of an element's plain text that a child must hold to be entered.
+MOST = 0.7
 ROUNDS = 25
 # Output rows are handed on in batches of about this many bytes.
 OUT_BYTES = 4 << 20
@@ -305,16 +310,39 @@ class TreeModel:
         return "\n\n".join(t for n, t in blocks if t and belief[n] >= 0.5)
 
 
-def labelled(nodes: list[Node]) -> list[int] | None:
+def densest(nodes: list[Node]) -> int | None:
+    """The smallest element with most of the page's plain text; none if there is no plain text."""
+    barred = [False] * len(nodes)
+    plain = [0] * len(nodes)
+    for i, n in enumerate(nodes):
+        barred[i] = n.furniture or (n.parent >= 0 and barred[n.parent])
+        plain[i] = 0 if barred[i] else n.size - n.linked
+    for i in range(len(nodes) - 1, 0, -1):
+        plain[nodes[i].parent] += plain[i]
+    if not plain[0]:
+        return None
+    at = 0
+    while nodes[at].children:
+        child = max(nodes[at].children, key=plain.__getitem__)
+        # A paragraph among others is not entered, nor one that stands alone in its element.
+        if plain[child] < MOST * plain[at] or not nodes[child].children:
+            break
+        at = child
+    return at
+
+
+def labelled(nodes: list[Node], article: int | None = None) -> list[int] | None:
     """States of a page whose markup names its article; none if it names none or holds no text in it.
 
+    ``article`` is the element to take instead of those that the markup names.
+
     Furniture is boilerplate with all it holds. Other nodes are content if they or nodes below them
     hold text inside the article.
     """
     inside = [False] * len(nodes)
     barred = [False] * len(nodes)
     for i, n in enumerate(nodes):
-        inside[i] = n.main or (n.parent >= 0 and inside[n.parent])
+        inside[i] = (n.main if article is None else i == article) or (n.parent >= 0 and inside[n.parent])
         barred[i] = (n.furniture and not n.main) or (n.parent >= 0 and barred[n.parent])
     state = [int(inside[i] and not barred[i] and n.size > 0) for i, n in enumerate(nodes)]
     if not any(state):
@@ -332,12 +360,12 @@ def labelled(nodes: list[Node]) -> list[int] | None:
 def train(pages: list[str], rounds: int = ROUNDS, rate: float = 0.05, pull: float = 0.02) -> TreeModel:
     """Fit weights and potentials to labelled pages by gradient ascent from the priors."""
     model = TreeModel()
-    examples = []
-    for page in pages:
-        nodes, _ = parse(page)
-        state = labelled(nodes)
-        if state is not None:
-            examples.append((nodes, state))
+    trees = [parse(page)[0] for page in pages]
+    states = [labelled(nodes) for nodes in trees]
+    if sum(s is not None for s in states) < NAMED_PAGES:
+        found = [densest(nodes) if s is None else None for nodes, s in zip(trees, states)]
+        states = [s if a is None else labelled(nodes, a) for nodes, s, a in zip(trees, states, found)]
+    examples = [(nodes, state) for nodes, state in zip(trees, states) if state is not None]
     for _ in range(rounds if examples else 0):
         for nodes, state in examples:
             belief, expected = model.marginals(nodes)

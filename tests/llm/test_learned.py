@@ -4,6 +4,7 @@ import html
 import re
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,3 +162,23 @@ def test_brackets_in_quoted_values():
     assert told('<p title="open>one</p><p>two</p>') == (["p", "p"], ["one", "two"])
     nodes, _ = htmltext.parse("""<div data-x='<i class="ad">' CLASS = "main post"id=story>text</div>""")
     assert nodes[1].words == {"main", "post", "story"}
+
+
+def test_pages_whose_markup_names_no_article():
+    """The same texts come out when ``article`` and ``main`` are plain divisions in the whole table."""
+    rows = duckdb.sql(f"SELECT html FROM '{SF}/pages.parquet' ORDER BY page_id").fetchall()
+    pages = [r[0] for r in rows]
+    plain = [re.sub(r"(</?)(article|main)\b", r"\1div", p) if p else p for p in pages]
+    model, other = htmltext.train(pages[:150]), htmltext.train(plain[:150])
+    want, got = [model.text(p) for p in pages], [other.text(p) for p in plain]
+    assert sum(a == b for a, b in zip(want, got)) >= 0.95 * len(pages)
+    assert not [1 for a, b in zip(want, got) if a and not b]
+
+
+def test_densest_element():
+    page = "<body><nav><a href=x>one link and another</a></nav><div><div><p>a text of some length</p><p>and its second part</p></div><div><a href=y>more</a></div></div></body>"
+    nodes, _ = htmltext.parse(page)
+    article = htmltext.densest(nodes)
+    assert nodes[article].tag == "div" and [nodes[c].tag for c in nodes[article].children] == ["p", "p"]
+    assert htmltext.densest(htmltext.parse("<nav>menu</nav>")[0]) is None
+    assert htmltext.densest(htmltext.parse("")[0]) is None
