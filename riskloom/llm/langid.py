@@ -29,6 +29,7 @@ from riskloom.llm.carry import distinct_draws, free_name
 UNDETERMINED = "und"
 SIZES = (2, 3, 4)
 BUCKET_BITS = 16
+BUCKET_TYPE = np.uint16  # the training sample is kept in the driver as buckets, one per subword
 DIMENSIONS = 16
 # Bounds of the training sample: rows per language, languages, and characters taken of a sampled text.
 ROWS_PER_LANGUAGE = 700
@@ -130,7 +131,7 @@ def train(texts: list[str], labels: list[str], epochs: int = 12, batch: int = 32
     for text, label in zip(texts, labels, strict=True):
         got = list(subwords(text or ""))
         if got:
-            bags.append(np.concatenate(got))
+            bags.append(np.concatenate(got).astype(BUCKET_TYPE))
             ys.append(number[label])
     rng = np.random.default_rng(seed)
     buckets = 1 << BUCKET_BITS
