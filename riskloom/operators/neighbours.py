@@ -1,8 +1,8 @@
 """Silhouettes and k-distances.
 
-Silhouettes need every pair of rows: rows are cut into blocks, each pair of blocks meets in one group of
-a cogroup, and only sums per row leave it, so no pair is ever emitted and nothing passes through the
-driver. k-distances come from the pruned nearest-neighbour join of ``metric``.
+Silhouettes need every pair of rows: each block of rows meets a stream of all blocks in one task, which keeps
+sums per row and cluster, so no pair is ever emitted, no row is copied, and only the clusters' sizes pass
+through the driver. k-distances come from the pruned nearest-neighbour join of ``metric``.
 """
 
 from __future__ import annotations
@@ -11,33 +11,20 @@ import json
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskloom.functions.session import materialise, ship, small_table
-from riskloom.operators import metric, sampling
+from riskloom.functions.session import local_table, materialise, ship, small_table
+from riskloom.operators import blocks, metric, sampling
 from riskloom.operators.ordering import running_totals
 
-# Rows of a block, and rows compared at a time within a pair of blocks.
-BLOCK_ROWS = 4_000
-_STEP = 32
+BLOCK_ROWS = 4_000  # rows of a block
 _CLUSTERS = 500  # clusters whose moments a row looks at together
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype("float64") if len(column) else np.empty((0, 0))
-
-
-def distances(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(rows), len(others)))
-    for j in range(rows.shape[1]):
-        diff = rows[:, j][:, None] - others[:, j][None, :]
-        total += diff * diff
-    return np.sqrt(total)
-
-
 def block_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_ROWS):
     """Both tables cut into blocks by a hash of ``id``, every block of one met with every block of the other.
 
@@ -56,35 +43,139 @@ def block_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], block_ro
     return cut(left, "_i", n_left, "_j", n_right).groupBy(*by).cogroup(cut(right, "_j", n_right, "_i", n_left).groupBy(*by))
 
 
-def _silhouettes(rows: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
-    """``(keys..., id, cluster, silhouette)`` of ``(keys..., id, x, cluster)``; keys with one cluster are left out."""
+def _packed_points(columns: pa.Table) -> dict:
+    """Rows ``(id, x, code)`` of a block as places ``(id, x)``, ordered by the clusters they are in.
+
+    Places that are in the same clusters, equally often, are a set: ``starts`` are the first places of the
+    sets, ``set_at``, ``code`` and ``w`` list the clusters of each and how often its places are in them.
+    """
+    ids, x, code = columns["id"].combine_chunks(), blocks.matrix(columns["x"]), columns["code"].to_numpy()
+    known = ids.dictionary_encode()
+    named = known.indices.fill_null(len(known.dictionary)).to_numpy(zero_copy_only=False)
+    place, first = np.arange(len(x)), np.arange(len(x))
+    if len(np.unique(named)) < len(x):
+        both = np.column_stack([named.astype("float64"), x + 0.0])
+        _, first, place = np.unique(both, axis=0, return_index=True, return_inverse=True)
+        place = place.ravel()
+    pairs, w = np.unique(np.column_stack([place, code]), axis=0, return_counts=True)
+    begin = np.flatnonzero(np.r_[True, pairs[1:, 0] != pairs[:-1, 0]])
+    each = np.split(np.column_stack([pairs[:, 1], w]), begin[1:])
+    sets = {}
+    own = np.array([sets.setdefault(e.tobytes(), len(sets)) for e in each])
+    order = np.argsort(own, kind="stable")
+    starts = np.flatnonzero(np.r_[True, own[order][1:] != own[order][:-1]])
+    held = [np.frombuffer(k, "i8").reshape(-1, 2) for k in sets]
+    lists = np.concatenate(held)
+    return {
+        "ids": blocks.listed(ids.take(pa.array(first[order]))),
+        "x": blocks.raw(x[first[order]], "f8"),
+        "starts": blocks.raw(starts, "i8"),
+        "set_at": blocks.raw(np.repeat(np.arange(len(held)), [len(h) for h in held]), "i8"),
+        "code": blocks.raw(lists[:, 0], "i8"),
+        "w": blocks.raw(lists[:, 1], "i8"),
+    }
+
+
+def _scores(sums: np.ndarray, n: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Silhouettes from each row's sums of distances to the clusters of sizes ``n``, and which rows have one."""
+    at = np.arange(len(sums))
+    alone = n[own] <= 1
+    near = sums[at, own] / np.maximum(n[own] - 1, 1)
+    means = sums / n
+    means[at, own] = np.inf
+    far = means.min(axis=1) if sums.shape[1] else np.full(len(sums), np.inf)
+    top = np.maximum(near, far)
+    value = np.divide(far - near, top, out=np.zeros(len(sums)), where=top != 0)
+    return np.where(alone, 0.0, value), np.full(len(sums), len(n) > 1)
+
+
+def _silhouettes(rows: DataFrame, keys: Sequence[str], block_rows: int, shared: bool = False) -> DataFrame:
+    """``(keys..., id, cluster, silhouette)`` of ``(keys..., id, x, cluster)``; keys with one cluster are left out.
+
+    ``shared`` says that a row has the same ``x`` under all keys: distances are then measured once for all of them.
+    A task keeps a sum for each of its rows and clusters; the clusters' sizes are collected. ``rows`` are read twice.
+    """
     keys = list(keys)
-    rows = materialise(rows.select(*keys, "id", "x", "cluster"), "points")
-    kinds = {c: rows.schema[c].dataType.simpleString() for c in [*keys, "id", "cluster"]}
-    schema = ", ".join(f"{c} {kinds[c]}" for c in [*keys, "id", "cluster"]) + f", other {kinds['cluster']}, s double"
-    given = [*keys, "id", "cluster"]
-
-    def add_up(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        if not len(ours) or not len(theirs):
-            return pd.DataFrame({c: pd.Series(dtype="object") for c in [*given, "other", "s"]})
-        names, code = np.unique(theirs["cluster"].to_numpy(), return_inverse=True)
-        member = np.zeros((len(theirs), len(names)))
-        member[np.arange(len(theirs)), code] = 1.0
-        points, others = _matrix(ours["x"]), _matrix(theirs["x"])
-        sums = np.concatenate([distances(points[i : i + _STEP], others) @ member for i in range(0, len(points), _STEP)])
-        out = ours[given].loc[ours.index.repeat(len(names))].reset_index(drop=True)
-        return out.assign(other=np.tile(names, len(ours)), s=sums.ravel())
-
-    parts = block_pairs(rows, rows, keys, block_rows).applyInPandas(add_up, schema)
-    sizes = rows.groupBy(*keys, F.col("cluster").alias("other")).agg(F.count("*").alias("n"))
-    sums = parts.groupBy(*given, "other").agg(F.sum("s").alias("s")).join(sizes, [*keys, "other"])
-    own = F.col("other") == F.col("cluster")
-    means = sums.groupBy(*given).agg(
-        F.max(F.when(own & (F.col("n") > 1), F.col("s") / (F.col("n") - 1))).alias("a"),
-        F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"),
-    )
-    value = F.when(F.col("a").isNull(), 0.0).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
-    return means.where("b IS NOT NULL").select(*given, value.alias("silhouette"))
+    spark = rows.sparkSession
+    rows = rows.select(*keys, "id", "x", "cluster")
+    for c in [*keys, "cluster"]:
+        rows = rows.where(F.col(c).isNotNull())
+    kinds = {c: rows.schema[c].dataType for c in [*keys, "id", "cluster"]}
+    found = sorted(rows.groupBy(*keys, "cluster").agg(F.count("*").alias("n")).collect(), key=lambda r: tuple(r)[:-1])
+    out = T.StructType([T.StructField(c, kinds[c]) for c in [*keys, "id", "cluster"]]).add("silhouette", "double")
+    if not found:
+        return spark.createDataFrame([], out)
+    runs = list(dict.fromkeys(tuple(r)[: len(keys)] for r in found))
+    group = {run: 0 if shared else i for i, run in enumerate(runs)}
+    named, spans, sizes, rows_of = [], {}, {}, {}
+    for r in found:
+        run = tuple(r)[: len(keys)]
+        g = group[run]
+        n = sizes.setdefault(g, [])
+        spans.setdefault(g, {}).setdefault(run, [len(n), len(n)])[1] += 1
+        named.append((g, len(n), *run, r["cluster"]))
+        n.append(r["n"])
+        rows_of[g, run] = rows_of.get((g, run), 0) + r["n"]
+    table = local_table(spark, named, T.StructType([T.StructField("g", T.IntegerType()), T.StructField("code", T.LongType()), *[T.StructField(c, kinds[c]) for c in [*keys, "cluster"]]]))
+    held = {g: ([tuple(s) for s in spans[g].values()], np.array(sizes[g], dtype="float64")) for g in sizes}
+    known = spark.sparkContext.broadcast(held)
+    largest = {g: max(v for (h, _), v in rows_of.items() if h == g) for g in sizes}
+    counts = blocks.block_counts(rows, largest, block_rows, {g: len(n) for g, n in sizes.items()})
+
+    pack = T.StructType().add("g", "integer").add("block", "integer").add("ids", T.ArrayType(kinds["id"]))
+    for c in ("x", "starts", "set_at", "code", "w"):
+        pack = pack.add(c, "binary")
+    dealt = blocks.packed(rows.join(table, [*keys, "cluster"]).select("g", "id", "x", "code"), counts, _packed_points, pack)
+
+    def points(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        x = blocks.numbers(block["x"]).reshape(len(block["ids"].values), -1)
+        return x, *[blocks.numbers(block[c], "i8") for c in ("starts", "set_at", "code", "w")]
+
+    def start(block: dict) -> dict:
+        x, starts, set_at, code, w = points(block)
+        g = block["g"].as_py()
+        return {"g": g, "ids": block["ids"].values, "x": x, "sets": (starts, set_at, code, w), "sums": np.zeros((len(x), len(known.value[g][1])))}
+
+    def meet(state: dict, block: dict) -> None:
+        x, starts, set_at, code, w = points(block)
+        weight = np.zeros((len(starts), state["sums"].shape[1]))
+        weight[set_at, code] = w
+        for low, high, d in blocks.distance_tiles(state["x"], x):
+            state["sums"][low:high] += np.add.reduceat(d, starts, axis=1) @ weight
+
+    def finish(state: dict) -> dict:
+        spans, n = known.value[state["g"]]
+        starts, set_at, code, w = state["sets"]
+        ids = state["ids"].dictionary_encode()
+        named = ids.indices.fill_null(len(ids.dictionary)).to_numpy(zero_copy_only=False)
+        sets = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(named)]))
+        entries = np.bincount(set_at, minlength=len(starts))
+        skip = np.r_[0, np.cumsum(entries)]
+        at = np.repeat(np.arange(len(named)), entries[sets])
+        entry = skip[sets[at]] + np.arange(len(at)) - np.repeat(np.r_[0, np.cumsum(entries[sets])[:-1]], entries[sets])
+        code, w = code[entry], w[entry]
+        rows_at, codes, values = [], [], []
+        for low, high in spans:
+            own = np.flatnonzero((code >= low) & (code < high))
+            if not len(own):
+                continue
+            # Rows of one id and cluster are one.
+            _, first, same = np.unique(np.column_stack([named[at[own]], code[own]]), axis=0, return_index=True, return_inverse=True)
+            part = state["sums"][at[own], low:high] * w[own][:, None]
+            if len(first) < len(own):
+                total = np.zeros((len(first), high - low))
+                np.add.at(total, same.ravel(), part)
+            else:
+                first, total = np.arange(len(own)), part
+            value, has = _scores(total, n[low:high], code[own][first] - low)
+            rows_at.append(at[own][first][has])
+            codes.append(code[own][first][has])
+            values.append(value[has])
+        rows_at, codes, values = (np.concatenate(v) if v else np.empty(0, k) for v, k in ((rows_at, "i8"), (codes, "i8"), (values, "f8")))
+        return {"g": pa.array(np.full(len(values), state["g"]), pa.int32()), "id": state["ids"].take(pa.array(rows_at)), "code": pa.array(codes), "silhouette": pa.array(values)}
+
+    scored = T.StructType().add("g", "integer").add("id", kinds["id"]).add("code", "long").add("silhouette", "double")
+    return blocks.streamed(dealt, dealt, start, meet, finish, scored).join(table, ["g", "code"]).select(*keys, "id", "cluster", "silhouette")
 
 
 def silhouette_samples(
@@ -106,7 +197,7 @@ def silhouette_samples(
     rows = rows.select(F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("x"), F.col(label).alias("cluster"))
     if sample_size is not None:
         rows = sampling.stratified_sample(rows, "id", "cluster", sample_size, seed)
-    return _silhouettes(rows, [], block_rows).withColumnRenamed("id", id_col)
+    return _silhouettes(materialise(rows, "points"), [], block_rows).withColumnRenamed("id", id_col)
 
 
 def squared_silhouettes(df: DataFrame, id_col: str, features: str, label: str, drop_noise: bool = False) -> DataFrame:
@@ -208,10 +299,13 @@ def k_distances(
     return placed.select("idx", F.col("id").alias(id_col), "distance")
 
 
-def group_silhouettes(df: DataFrame, keys: Sequence[str], features: str, label: str, id_col: str = "id", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``(keys..., silhouette)``: mean silhouette of each group; 0 below two clusters."""
+def group_silhouettes(df: DataFrame, keys: Sequence[str], features: str, label: str, id_col: str = "id", block_rows: int = BLOCK_ROWS, shared: bool = False) -> DataFrame:
+    """``(keys..., silhouette)``: mean silhouette of each group; 0 below two clusters.
+
+    ``shared``: a row has the same features in all groups, and its distances are measured once.
+    """
     names = list(keys)
     rows = df.select(*names, F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("x"), F.col(label).alias("cluster"))
     rows = materialise(rows, "groups")
-    means = _silhouettes(rows, names, block_rows).groupBy(*names).agg(F.avg("silhouette").alias("silhouette"))
+    means = _silhouettes(rows, names, block_rows, shared).groupBy(*names).agg(F.avg("silhouette").alias("silhouette"))
     return rows.select(*names).distinct().join(means, names, "left").na.fill(0.0, ["silhouette"])
