@@ -15,7 +15,7 @@ from riskloom.functions.expr import col
 from riskloom.functions.session import local_table, materialise, small_table
 from riskloom.operators import sampling
 from riskloom.operators.minibatch import fit_minibatch
-from riskloom.operators.neighbours import group_silhouettes, mean_silhouette, silhouette_samples
+from riskloom.operators.neighbours import group_silhouettes, mean_silhouettes
 
 MAX_CLUSTERS = 2_000
 
@@ -99,14 +99,15 @@ def elbow(
     """``(k, inertia, silhouette)``: cost on all rows, mean silhouette (of a sample if asked for), 0 for k = 1.
 
     With ``batch_size`` the centres are fitted by up to ``steps`` mini-batches, otherwise by passes over all rows.
+    The silhouettes of all ``ks`` come from one pass over the pairs of rows.
     """
     rows = materialise(df.select(id_col, F.col(features).cast("array<double>").alias("x")), "elbow")
-    out = []
-    for k in ks:
+    out, scored = [], None
+    for i, k in enumerate(ks):
         if k == 1:
             centre = centroids(rows.withColumn("c", F.lit(0)), "c", "x")
             inertia = assign_nearest(rows, "x", centre).agg(F.sum(F.col("distance") * F.col("distance")).alias("s")).first()["s"]
-            out.append((1, float(inertia), 0.0))
+            out.append((1, float(inertia), i))
             continue
         if batch_size is None:
             model, labelled = fit_kmeans(rows, "x", k, seed=seed)
@@ -114,9 +115,13 @@ def elbow(
         else:
             model = fit_minibatch(rows, id_col, "x", k, batch_size, steps, seed=seed)
             labelled, inertia = model.transform(rows, "x").drop("distance"), model.cost(rows, "x")
-        scores = silhouette_samples(labelled, id_col, "x", "cluster", sample_size, seed=seed)
-        mean = scores.agg(F.avg("silhouette").alias("s")).first()["s"]
-        out.append((int(k), float(inertia), None if mean is None else float(mean)))
+        each = labelled.select(F.lit(i).alias("i"), F.col(id_col).alias("id"), "x", "cluster")
+        if sample_size is not None:
+            each = sampling.stratified_sample(each, "id", "cluster", sample_size, seed)
+        scored = each if scored is None else scored.unionByName(each)
+        out.append((int(k), float(inertia), i))
+    means = {} if scored is None else mean_silhouettes(materialise(scored, "labelled"), ["i"])
+    out = [(k, inertia, 0.0 if k == 1 else means.get((i,))) for k, inertia, i in out]
     return local_table(df.sparkSession, out, "k int, inertia double, silhouette double")
 
 

@@ -200,6 +200,15 @@ def silhouette_samples(
     return _silhouettes(materialise(rows, "points"), [], block_rows).withColumnRenamed("id", id_col)
 
 
+def mean_silhouettes(rows: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_ROWS) -> dict[tuple, float]:
+    """Mean silhouette of each labelling ``keys`` of the same points, ``(keys..., id, x, cluster)``; none below two clusters.
+
+    Distances are measured once for all labellings. ``rows`` are read twice.
+    """
+    means = _silhouettes(rows, keys, block_rows, shared=True).groupBy(*keys).agg(F.avg("silhouette").alias("s"))
+    return {tuple(r)[:-1]: float(r["s"]) for r in means.collect()}
+
+
 def squared_silhouettes(df: DataFrame, id_col: str, features: str, label: str, drop_noise: bool = False) -> DataFrame:
     """``(id, cluster, silhouette)`` with squared Euclidean distances, in two aggregates for any number of rows.
 
