@@ -26,13 +26,13 @@ def choose_eps(
     return float(found[0]["value"]) if found else DEFAULT_EPS
 
 
-def _run_scores(points: DataFrame, labels: DataFrame, x: Sequence[str], keys: list[str], per_run: int | None) -> DataFrame:
+def _run_scores(points: DataFrame, labels: DataFrame, x: Sequence[str], keys: list[str], per_run: int | None, shared: bool = False) -> DataFrame:
     """Mean silhouette of the clustered points of each run, on at most ``per_run`` of them if given."""
     joined = points.join(labels, ["run", "id"]).where("label <> -1")
     if per_run is not None:
         order = Window.partitionBy("run").orderBy(F.md5(F.concat_ws("|", "id", F.lit("42"))))
         joined = joined.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_run)
-    return group_silhouettes(joined.withColumn("x", F.array(*x)), keys, "x", "label")
+    return group_silhouettes(joined.withColumn("x", F.array(*x)), keys, "x", "label", shared=shared)
 
 
 def parameter_sensitivity(
@@ -67,7 +67,7 @@ def parameter_sensitivity(
         F.count_if(F.col("label") == -1).alias("n_noise"),
         F.count("*").alias("n"),
     )
-    scores = _run_scores(points, labels, coords, ["run"], score_size)
+    scores = _run_scores(points, labels, coords, ["run"], score_size, shared=True)
     table = local_table(spark, [(r, float(e), int(m)) for r, (e, m) in params.items()], "run int, eps double, min_samples int")
     usable = (F.col("n_clusters") >= 2) & (F.col("n") - F.col("n_noise") > F.col("n_clusters"))
     out = small_table(

@@ -89,3 +89,19 @@ def test_density_clusters_of_crowded_cells(spark, monkeypatch, d, eps, m):
     for run, (e, n) in {0: (eps, m), 1: (eps / 2, 2)}.items():
         assert [labels[run, i] for i in range(len(x))] == brute_dbscan(x, e, n).tolist()
     assert not visited
+
+
+def test_grid_measures_each_point_once(spark, monkeypatch):
+    """The silhouettes of all cells of a grid come from one block of each point, with the labels of every cell."""
+    from riskloom.operators import density
+
+    rng = np.random.default_rng(6)
+    x = np.vstack([rng.normal(c, 0.05, (30, 2)) for c in (0, 1, 2)])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "id long, a double, b double")
+    held, real = [], blocks.packed
+    monkeypatch.setattr(blocks, "packed", lambda *a: held.append(real(*a)) or held[-1])
+    got = density.parameter_sensitivity(df, "id", ["a", "b"], 0.3, 4, eps_values=[0.25, 0.3, 0.4], min_samples_values=[3, 4])
+    assert [r["n_clusters"] for r in got.collect()] == [3] * 6
+    want = brute_silhouette(x, np.repeat([0, 1, 2], 30)).mean()
+    assert all(r["silhouette"] == pytest.approx(want) for r in got.collect())
+    assert len(held) == 1 and held[0].agg(F.sum(F.size("ids"))).first()[0] == 90
