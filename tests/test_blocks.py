@@ -105,3 +105,15 @@ def test_grid_measures_each_point_once(spark, monkeypatch):
     want = brute_silhouette(x, np.repeat([0, 1, 2], 30)).mean()
     assert all(r["silhouette"] == pytest.approx(want) for r in got.collect())
     assert len(held) == 1 and held[0].agg(F.sum(F.size("ids"))).first()[0] == 90
+
+
+def test_groups_with_points_of_their_own(spark):
+    """Groups whose points differ meet only their own blocks, without copies."""
+    rng = np.random.default_rng(9)
+    x, label = rng.random((3, 50, 2)), rng.integers(0, 3, (3, 50))
+    rows = [(run, i, [float(v) for v in x[run, i]], int(label[run, i])) for run in range(3) for i in range(50)]
+    df = spark.createDataFrame(rows, "run int, id long, x array<double>, c int")
+    out = neighbours.group_silhouettes(df, ["run"], "x", "c", block_rows=16)
+    assert "Generate" not in out._jdf.queryExecution().toString()
+    for r in out.collect():
+        assert r["silhouette"] == pytest.approx(brute_silhouette(x[r["run"]], label[r["run"]]).mean())
